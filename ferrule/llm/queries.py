@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from ferrule.llm import simhash
+from ferrule.llm import decontaminate, mixing, sharding, simhash
 
 QUERIES = {
+    "op5_sharding": sharding.query,
+    "op7_mixing": mixing.query,
     "op9_simhash": simhash.query,
+    "op10_decontaminate": decontaminate.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_mixing": mixing.SQL,
+}
