@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from ferrule.llm import decontaminate, mixing, sharding, simhash
+from ferrule.llm import ctw, decontaminate, mixing, sharding, simhash, toxicity
 
 QUERIES = {
+    "op2_ctw": ctw.query,
+    "op3_toxicity": toxicity.query,
     "op5_sharding": sharding.query,
     "op7_mixing": mixing.query,
     "op9_simhash": simhash.query,
