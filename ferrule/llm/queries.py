@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from ferrule.llm import ctw, decontaminate, mixing, sharding, simhash, toxicity
+from ferrule.llm import ctw, decontaminate, gif, linededup, mixing, sharding, simhash, toxicity, warc
 
 QUERIES = {
+    "op1_gif": gif.query,
     "op2_ctw": ctw.query,
     "op3_toxicity": toxicity.query,
     "op5_sharding": sharding.query,
+    "op6_warc": warc.query,
     "op7_mixing": mixing.query,
+    "op8_line_dedup": linededup.query,
     "op9_simhash": simhash.query,
     "op10_decontaminate": decontaminate.query,
 }
 
 ORACLE: dict[str, str] = {
     "op7_mixing": mixing.SQL,
+    "op8_line_dedup": linededup.SQL,
 }
