@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, if they can't otherwise."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ferrule-{uuid.uuid4().hex}/{name}"
 

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from ferrule.llm import ctw, decontaminate, gif, linededup, mixing, sharding, simhash, toxicity, warc
+from collections.abc import Callable
 
-QUERIES = {
+from pyspark.sql import DataFrame, SparkSession
+
+from ferrule.llm import ctw, decontaminate, gif, linededup, mixing, sharding, simhash, suffixdedup, toxicity, warc
+from ferrule.llm.common import importable
+
+
+def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_ALL = {
     "op1_gif": gif.query,
     "op2_ctw": ctw.query,
     "op3_toxicity": toxicity.query,
+    "op4_suffix_dedup": suffixdedup.query,
     "op5_sharding": sharding.query,
     "op6_warc": warc.query,
     "op7_mixing": mixing.query,
@@ -16,6 +31,8 @@ QUERIES = {
     "op10_decontaminate": decontaminate.query,
 }
 
+QUERIES = {name: _ready(query) for name, query in _ALL.items()}
+
 ORACLE: dict[str, str] = {
     "op7_mixing": mixing.SQL,
     "op8_line_dedup": linededup.SQL,
