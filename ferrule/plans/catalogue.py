@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from ferrule.plans import browsing, changes, curation, merging, publishing, rankings, resolution, statistics, text  # noqa: F401  they register their queries
+from ferrule.plans.base import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -22,3 +23,11 @@ def get_session(app: str = "ferrule", cores: str | None = None, **conf: str) ->
     for key, value in (settings | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, if they can't otherwise."""
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
