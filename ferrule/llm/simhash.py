@@ -134,7 +134,7 @@ def links_at_anchor(residents: np.ndarray, visitors: np.ndarray, half: int) -> l
         a, b = a[order_a], b[order_b]
         for value in np.unique(a):
             kept += _compare(residents[order_a[slice(*np.searchsorted(a, [value, value + np.uint64(1)]))]], everyone[order_b[slice(*np.searchsorted(b, [value, value + np.uint64(1)]))]])
-    return kept
+    return _forest(*np.array(kept, np.uint64).reshape(-1, 2).T)
 
 
 def links(fps: DataFrame) -> DataFrame:
