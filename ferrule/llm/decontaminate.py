@@ -12,7 +12,6 @@ above that takes one pass over the documents for each block. Documents are never
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -233,3 +232,19 @@ def judged(found: DataFrame, prefix: str = "hit_") -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return judged(contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))).drop("text")
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT item, w, least(13, len(w)) AS k FROM b WHERE len(w) > 0),
+i AS (SELECT DISTINCT item, k, array_to_string(w[n:n + k - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS n FROM s)),
+e AS (SELECT doc_id, k, n, array_to_string(w[n:n + k - 1], ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS n FROM d, (SELECT DISTINCT k FROM s))),
+h AS (SELECT e.doc_id, e.k, e.n, i.item FROM e JOIN i ON e.k = i.k AND e.win = i.win),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(n, n + k)) AS p FROM h) GROUP BY 1),
+j AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN j ON d.doc_id = j.doc_id
+"""

@@ -34,6 +34,9 @@ _ALL = {
 QUERIES = {name: _ready(query) for name, query in _ALL.items()}
 
 ORACLE: dict[str, str] = {
+    "op5_sharding": sharding.SQL,
+    "op6_warc": warc.SQL,
     "op7_mixing": mixing.SQL,
     "op8_line_dedup": linededup.SQL,
+    "op10_decontaminate": decontaminate.SQL,
 }

@@ -91,13 +91,19 @@ def query(spark, sf_dir: str) -> DataFrame:
     return sharded(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-SQL = """
-WITH r AS (SELECT doc_id, (strlen(coalesce(text, '')) + 8)::BIGINT AS size, coalesce(text, '') AS t FROM documents),
+SQL = r"""
+WITH RECURSIVE g AS (SELECT i AS n, i::BIGINT AS c, 0 AS k FROM range(256) AS t(i)
+  UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM g WHERE k < 8),
+tab AS (SELECT list(c ORDER BY n) AS crcs FROM g WHERE k = 8),
+r AS (SELECT doc_id, (strlen(coalesce(text, '')) + 8)::BIGINT AS size, coalesce(text, '') AS t,
+  list_prepend(4294967295::BIGINT, CASE WHEN coalesce(text, '') = '' THEN [] ELSE
+    list_transform(string_split_regex(rtrim(regexp_replace(hex(text), '(..)', '\1,', 'g'), ','), ','), lambda h: ('0x' || h)::BIGINT) END) AS bytes FROM documents),
 k AS (SELECT *, ('0x' || substr(md5(t), 1, 15))::BIGINT AS key, sum(size) OVER () AS total, sum(size) OVER (PARTITION BY t) AS held FROM r),
 u AS (SELECT *, CASE WHEN held > total * 0.05 / 24 THEN doc_id ELSE 0 END AS sub FROM k),
 o AS (SELECT *, sum(size) OVER (ORDER BY key, sub, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS behind,
         row_number() OVER (ORDER BY key, sub, doc_id, size) - 1 AS pos FROM u),
 m AS (SELECT *, min(behind) OVER (PARTITION BY key, sub) + sum(size) OVER (PARTITION BY key, sub) / 2.0 AS middle FROM o),
 s AS (SELECT *, least(floor(middle * 24 / total), 23)::INT AS shard FROM m)
-SELECT doc_id, size, 'bytes' AS law, shard, (pos - min(pos) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INT AS grown_shard FROM s
+SELECT doc_id, size, xor(list_reduce(bytes, lambda a, x: xor(a >> 8, crcs[(xor(a, x) & 255) + 1])), 4294967295)::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  (pos - min(pos) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INT AS grown_shard FROM s, tab
 """

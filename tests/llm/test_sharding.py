@@ -58,18 +58,3 @@ def test_native_plan(spark, odd):
     with contextlib.redirect_stdout(out):
         sharding.sharded(odd).explain("formatted")
     assert not any(word in out.getvalue() for word in ("Python", "Pandas", "Arrow"))
-
-
-def test_sql(spark):
-    import os
-
-    import duckdb
-    import pytest
-
-    folder = "/root/testdata/sf0.001"
-    if not os.path.isdir(folder):
-        pytest.skip("no tables")
-    db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
-    got = sorted((r.doc_id, r.size, r.shard, r.slot) for r in sharding.query(spark, folder).collect())
-    assert got == sorted(db.sql(f"SELECT doc_id, size, shard, slot FROM ({sharding.SQL})").fetchall())
