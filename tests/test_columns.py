@@ -20,7 +20,7 @@ def test_slug(spark):
     assert got == ["okami-and-friends", "bobs-game", "untitled", "pokemon-edition", "a" * 80]
 
 
-@pytest.mark.parametrize(("name", "want"), [("Acme Co., Ltd.", "acme"), ("Inc", "inc"), ("Foo Games LLC", "foo games"), ("Bar S.A.S.", "bar s a s"), ("X Sp. z o.o. Inc", "x")])
+@pytest.mark.parametrize(("name", "want"), [("Acme Co., Ltd.", "acme"), ("Inc", "inc"), ("Foo Games LLC", "foo games"), ("Bar S.A.S.", "bar s"), ("X Sp. z o.o. Inc", "x")])
 def test_company_name(spark, name, want):
     assert values(spark, C.company_name(F.col("x")), [name]) == [want]
 
