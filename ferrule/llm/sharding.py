@@ -6,7 +6,7 @@ shards; records are range-partitioned by them. Within a range a running sum of s
 the ranges before it, tells where each record starts in the whole order, and thereby its shard and slot.
 
 Equal texts stay in one shard while they hold at most GROUP of a shard's share. A larger group would make its range
-and shard overfull: it is subdivided by doc_id. As the shards can't be smaller, at most shards / GROUP keys are that
+and shard overfull: it is subdivided by doc_id, row by row. As the shards can't be smaller, at most shards / GROUP keys are that
 large, which bounds the list of them.
 """
 
@@ -64,7 +64,7 @@ def shard(records: DataFrame, shards: int = SHARDS, group: float = GROUP) -> Dat
     total = records.agg(F.sum("size")).first()[0] or 0
     ranges = int(min(MOST_RANGES, max(RANGES, shards * 4, total // RANGE_BYTES)))
     hot = records.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > total * group / shards).select("key", F.lit(True).alias("divided"))
-    units = records.join(F.broadcast(hot), "key", "left").withColumn("sub", F.when(F.col("divided"), F.coalesce("doc_id", F.lit(-(1 << 62)))).otherwise(F.lit(0)).cast("long")).drop("divided")
+    units = records.join(F.broadcast(hot), "key", "left").withColumn("sub", F.when(F.col("divided"), F.coalesce("doc_id", F.lit(-(1 << 62)))).otherwise(F.lit(0)).cast("long"))
     where = units.withColumn("cell", _cell(F.col("key"))).join(F.broadcast(boundaries(units, total, ranges)), "cell")
     above = F.size(F.filter("inside", lambda x: (x["key"] < F.col("key")) | ((x["key"] == F.col("key")) & (x["sub"] <= F.col("sub")))))
     ranged = where.withColumn("range", (F.col("skipped") + above).cast("long")).drop("cell", "inside", "skipped")
@@ -75,7 +75,8 @@ def shard(records: DataFrame, shards: int = SHARDS, group: float = GROUP) -> Dat
     order = Window.partitionBy("range").orderBy("key", "sub", F.col("doc_id").asc_nulls_first(), "size")
     unit = Window.partitionBy("range", "key", "sub")
     run = placed.withColumn("behind", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("row", F.row_number().over(order))
-    run = run.withColumn("middle", F.min("behind").over(unit) + F.sum("size").over(unit) / 2).join(F.broadcast(starts), "range")
+    middle = F.when(F.col("divided"), F.col("behind") + F.col("size") / 2).otherwise(F.min("behind").over(unit) + F.sum("size").over(unit) / 2)
+    run = run.withColumn("middle", middle).join(F.broadcast(starts), "range")
     shard_of = F.least(F.floor((F.col("bytes_at") + F.col("middle")) * shards / max(total, 1)), F.lit(shards - 1)).cast("int")
     done = run.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), shard_of.alias("shard"), (F.col("rows_at") + F.col("row") - 1).alias("at"))
     done = saved(done, "shard-order")
