@@ -115,3 +115,33 @@ def output_diff(t):
     a = t.supplier.where(k % 4 != 0).select(k.alias("path"), F.sha2("s_name", 256).alias("old"))
     b = t.supplier.where(k % 5 != 0).select(k.alias("path"), F.sha2(F.when(k % 6 == 0, "x").otherwise(F.col("s_name")), 256).alias("new"))
     return a.join(b, "path", "full").where(~F.col("old").eqNullSafe(F.col("new"))).select("path", F.when(F.col("old").isNull(), "missing").when(F.col("new").isNull(), "extra").otherwise("differs").alias("state"))
+
+
+#: What a decision edits, by category and action; other approvals are only logged.
+EFFECTS = {
+    ("new-game", "reject"): "exclude", ("new-game", "merge"): "mapping", ("new-game", "edit"): "override",
+    ("relationship-change", "reject"): "inverse relationship override", ("source-conflict", "edit"): "override",
+    ("source-conflict", "merge"): "mapping",
+}
+ACTIONS = ("approve", "reject", "merge", "edit")
+_EFFECT_SQL = "CASE " + " ".join(f"WHEN category = '{c}' AND action = '{a}' THEN '{e}'" for (c, a), e in EFFECTS.items()) + " ELSE 'log' END"
+
+
+@query("decision_effects", f"WITH {CANDIDATES}, d AS (SELECT id, category, (['approve', 'reject', 'merge', 'edit'])[1 + ('0x' || substr(sha256(id), 1, 2))::INT % 4] AS action FROM i) SELECT id, action, {_EFFECT_SQL} AS effect FROM d")
+def decision_effects(t):
+    digest = F.conv(F.substring(F.sha2("id", 256), 1, 2), 16, 10).cast("int")
+    decided = candidates_of(t).withColumn("action", F.get(F.array(*(F.lit(a) for a in ACTIONS)), digest % 4))
+    effects = t.spark.createDataFrame([(c, a, e) for (c, a), e in EFFECTS.items()], "category string, action string, effect string")
+    return decided.join(F.broadcast(effects), ["category", "action"], "left").select("id", "action", F.coalesce("effect", F.lit("log")).alias("effect"))  # a fixed table of a few rows
+
+
+@query(
+    "report_sections",
+    f"""WITH {CANDIDATES}, n AS (SELECT category, id, row_number() OVER (PARTITION BY category ORDER BY id) AS k, count(*) OVER (PARTITION BY category) AS total FROM i)
+    SELECT category, k::BIGINT AS position, '* ' || id AS line FROM n WHERE k <= 15 UNION ALL SELECT DISTINCT category, 16, '* and ' || (total - 15) || ' more' FROM n WHERE total > 15""",
+)
+def report_sections(t):
+    every = candidates_of(t)
+    first = top_by(every, [F.col("id")], 15, ["category"], name="position").select("category", "position", F.concat(F.lit("* "), "id").alias("line"))
+    rest = every.groupBy("category").agg(F.count("*").alias("n")).where("n > 15")
+    return first.unionByName(rest.select("category", F.lit(16).cast("long").alias("position"), F.format_string("* and %d more", F.col("n") - 15).alias("line")))
