@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferrule.session import importable
+
+__all__ = ["SPACE", "components", "discard", "id_crc", "importable", "new_path", "saved", "shared_folder", "text_or_empty", "total_bytes"]
+
 SPACE = r"[^\x20\x09-\x0D]+"
 
 
@@ -25,22 +27,19 @@ def shared_folder(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it, if they can't otherwise."""
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ferrule-{uuid.uuid4().hex}/{name}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read back: cuts the lineage and survives lost executors."""
+def saved(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """df written as Parquet in the shared folder and read back: cuts the lineage and survives lost executors.
+
+    free: the driver collects its garbage afterwards, as Spark deletes shuffle files once nothing refers to them.
+    """
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    if free:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -29,13 +29,14 @@ from pyspark.sql import functions as F
 from ferrule.llm.common import saved, total_bytes
 from ferrule.llm.ctw import packed, unpacked
 
-WIDTH, GRAM = 100, 24
-CHUNK_BYTES, BATCH_BYTES = 4_000_000, 4_000_000
+WIDTH, GRAM = 100, 40
+CHUNK_BYTES, BATCH_BYTES = 4_000_000, 2_000_000
 LEAST_BUCKETS, MOST_BUCKETS = 16, 4096
 HOT = 20_000
 #: Ends a document in a transform; no byte of UTF-8.
 DONE = 255
-BLOCK = 512
+#: Bytes of the transform whose symbols are counted together; as many as a byte can number.
+BLOCK = 256
 
 _INDEX_BITS = 28
 _ROOT = 0x9E3779B97F4A7C15 | 1
@@ -47,37 +48,46 @@ def bwt(texts: list[bytes]) -> np.ndarray:
     n = len(texts)
     lengths = np.fromiter(map(len, texts), np.int64, n)
     flat = np.frombuffer(b"".join(texts), np.uint8)
+    used = np.flatnonzero(np.bincount(flat, minlength=256))
+    done = len(used)  # symbols are numbered in order, the end of a document above them
+    number = np.full(256, done, np.uint8)
+    number[used] = np.arange(done)
+    flat = number[flat]
+    width = max(8, 1 << done.bit_length())
     ends = np.cumsum(lengths)
-    out = np.where(lengths > 0, flat[np.maximum(ends - 1, 0)] if len(flat) else 0, DONE).astype(np.uint8)
+    out = np.where(lengths > 0, flat[np.maximum(ends - 1, 0)] if len(flat) else 0, done).astype(np.uint8)
     place, left, doc = np.arange(n), lengths.copy(), np.arange(n)
+    first = ends - lengths
+    base = (np.arange(-(-(len(flat) + n + 1) // BLOCK) * BLOCK, dtype=np.int64) // BLOCK) * width
+    columns = np.arange(BLOCK, dtype=np.uint8)
     while True:
         symbol = out[place]
-        go = symbol != DONE
-        place, left, doc, symbol = place[go], left[go] - 1, doc[go], symbol[go].astype(np.int64)
-        if not len(place):
-            return out
+        go = np.flatnonzero(symbol != done)
+        if not len(go):
+            return np.append(used, DONE).astype(np.uint8)[out]
+        place, left, doc, symbol = place[go], left[go] - 1, doc[go], symbol[go]
         # how often each symbol occurs before its place: by block, then within the block
         blocks = -(-len(out) // BLOCK)
-        filled = np.full(blocks * BLOCK, DONE, np.uint8)
+        filled = np.full(blocks * BLOCK, done, np.uint8)
         filled[: len(out)] = out
-        index = (np.arange(blocks * BLOCK) // BLOCK << 8) + filled
-        ahead = np.bincount(index, minlength=blocks * 256).reshape(blocks, 256)
-        total = ahead.sum(axis=0)
-        before = np.cumsum(ahead, axis=0) - ahead
-        rank = before[place // BLOCK, symbol]
-        rows = filled.reshape(blocks, BLOCK)
-        columns = np.arange(BLOCK)
-        for at in range(0, len(place), 16_384):
-            part = slice(at, at + 16_384)
-            rank[part] += ((rows[place[part] // BLOCK] == symbol[part, None]) & (columns < (place[part] % BLOCK)[:, None])).sum(axis=1)
-        smaller = np.cumsum(total) - total
-        to = n + smaller[symbol] + rank
+        ahead = np.bincount(base[: len(filled)] + filled, minlength=blocks * width).reshape(blocks, width)
+        before = np.cumsum(ahead, axis=0)
+        total = before[-1].copy()
+        before -= ahead
+        block = place // BLOCK
+        rank = before[block, symbol]
+        rows, within = filled.reshape(blocks, BLOCK), (place % BLOCK).astype(np.uint8)
+        for at in range(0, len(place), 8192):
+            part = slice(at, at + 8192)
+            hit = (rows[block[part]] == symbol[part, None]) & (columns < within[part, None])
+            # eight counters of a byte in each word; fewer than 256 hits in all
+            rank[part] += (hit.view(np.uint64).sum(axis=1) * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
+        to = n + (np.cumsum(total) - total)[symbol] + rank
         grown = np.empty(len(out) + len(to), np.uint8)
         old = np.ones(len(grown), bool)
         old[to] = False
         grown[old] = out
-        starts = ends[doc] - lengths[doc] + left - 1
-        grown[to] = np.where(left > 0, flat[np.maximum(starts, 0)], DONE)
+        grown[to] = np.where(left > 0, flat[np.maximum(first[doc] + left - 1, 0)], done)
         out, place = grown, to
 
 
@@ -344,9 +354,9 @@ def deduplicated(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT
         return pd.DataFrame(rows, columns=["place", "n_bytes", "spans", "kept"])
 
     counts = texts.groupBy("chunk").applyInPandas(ask, "bucket int, keys binary, counts binary, chunk long")
-    known = saved(counts.groupBy("bucket").applyInPandas(lambda frame: repeated(frame, hot), "chunk long, bucket int, kind string, answer binary"), "anchors")
+    known = saved(counts.groupBy("bucket").applyInPandas(lambda frame: repeated(frame, hot), "chunk long, bucket int, kind string, answer binary"), "anchors", free=True)
     strings = texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(deal, "bucket int, keys binary, ids binary, starts binary, lengths binary, data binary, chunk long")
-    verdicts = saved(strings.groupBy("bucket").applyInPandas(judged, "chunk long, bucket int, kind string, answer binary"), "verdicts")
+    verdicts = saved(strings.groupBy("bucket").applyInPandas(judged, "chunk long, bucket int, kind string, answer binary"), "verdicts", free=True)
     both = known.unionByName(verdicts).groupBy("chunk")
     out = texts.groupBy("chunk").cogroup(both).applyInPandas(finish, "place long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     doc_id = F.when(F.col("place") != -(1 << 62), F.col("place")).cast(kind)
