@@ -14,7 +14,7 @@ being a running hash of its word; a match then begins where words begin.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,18 +57,31 @@ def widened(segment: bytes) -> bytes:
     return bytes(out)
 
 
-def segments(texts: list[list[bytes]], toxic: np.ndarray, ratio: float = SEGMENT_RATIO) -> list[bytes]:
+def _beginnings(words: list[bytes]) -> set[bytes]:
+    return {s[:n] for s in {b" " + w + b" " for w in words} for n in SEGMENT_BYTES if n <= len(s)}
+
+
+def counted(texts: list[list[bytes]], toxic: np.ndarray) -> tuple[dict[bytes, int], Counter]:
+    """In how many toxic texts segments are that are in SEGMENT_DOCS or more of them, and in how many others."""
+    own, other = Counter(), Counter()
+    for words in (w for w, y in zip(texts, toxic.tolist(), strict=True) if y):
+        own.update(_beginnings(words))
+    often = {s: k for s, k in own.items() if k >= SEGMENT_DOCS}
+    del own
+    for words in (w for w, y in zip(texts, toxic.tolist(), strict=True) if not y):
+        other.update(often.keys() & _beginnings(words))
+    return often, other
+
+
+def segments(counts: tuple[dict[bytes, int], Counter], toxic: np.ndarray, ratio: float = SEGMENT_RATIO) -> list[bytes]:
     """Segments at least `ratio` times as frequent in toxic texts as in others, the most telling last; so are their
     beginnings of STEM_BYTES."""
-    count: tuple[Counter, Counter] = (Counter(), Counter())
-    for words, y in zip(texts, toxic.tolist(), strict=True):
-        count[y].update({s[:n] for s in {b" " + w + b" " for w in words} for n in SEGMENT_BYTES if n <= len(s)})
+    often, rest = counts
     n1, n0 = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
     found = []
-    for s, k in count[1].items():
-        other = count[0][s]
-        stem = s[:STEM_BYTES]
-        if k >= SEGMENT_DOCS and all(count[1][t] / n1 >= ratio * (count[0][t] + 0.5) / n0 for t in (s, stem)):
+    for s, k in often.items():
+        if all(often[t] / n1 >= ratio * (rest[t] + 0.5) / n0 for t in (s, s[:STEM_BYTES])):
+            other = rest[s]
             p = (k + other) / (n1 + n0)
             z = (k / n1 - other / n0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
             if z >= SEGMENT_Z:
@@ -164,7 +177,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
 def fit(rows: list[tuple[str | None, int]]) -> Model:
     """A model of labelled texts. Without both labels the score is the same for all: the labels' mean, 0 without any."""
     unique = list(dict.fromkeys(rows))
-    texts, toxic = [windows(t, FIT_BYTES) for t, _ in unique], np.array([y for _, y in unique], np.int64)
+    same: dict[bytes, bytes] = {}  # one object for equal words
+    texts, toxic = [[same.setdefault(w, w) for w in windows(t, FIT_BYTES)] for t, _ in unique], np.array([y for _, y in unique], np.int64)
     if not len(toxic) or toxic.min() == toxic.max():
         level = float(toxic.mean()) if len(toxic) else 0.0
         return Model((b"", b"", b""), [40.0 if level else -40.0, *[0.0] * 5])
@@ -172,7 +186,8 @@ def fit(rows: list[tuple[str | None, int]]) -> Model:
     def dictionaries(which: np.ndarray) -> tuple[bytes, bytes, bytes]:
         own = [texts[i] for i in np.flatnonzero(which)]
         plain = background([w for w, y in zip(own, toxic[which].tolist(), strict=True) if not y])
-        weak, strong = (b"".join(widened(s) + b"\x00" * 2 for s in segments(own, toxic[which], ratio)) for ratio in (SEGMENT_RATIO, STRONG_RATIO))
+        counts = counted(own, toxic[which])
+        weak, strong = (b"".join(widened(s) + b"\x00" * 2 for s in segments(counts, toxic[which], ratio)) for ratio in (SEGMENT_RATIO, STRONG_RATIO))
         return plain, weak + plain, strong + plain
 
     half = np.arange(len(toxic)) % 2 == 0
