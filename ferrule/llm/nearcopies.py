@@ -1,0 +1,152 @@
+"""Near copies by the Jaccard similarity of word shingles: MinHash bands find candidates, the shingles decide.
+
+A text is the set of its shingles, as op9's tokens make them. Texts with the same set are one class. A class has
+BANDS x ROWS minima of its shingles; classes that share a band and may be alike by size are candidates. Two classes of
+similarity s share no band with probability (1 - s^ROWS)^BANDS: 3 in a million at 0.8, less above. Neighbours in the
+order of size within a band are joined to groups, so a band of m classes gives at most m - 1 rows; every group's
+classes then meet in one task, where those that share a band are compared by all their shingles, unless links found
+before join them. No similarity is estimated, and no band or group is capped.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ferrule.llm.common import components, saved
+
+#: Fixed values of the method.
+WORDS, SIMILARITY = 5, 0.8
+BANDS, ROWS = 32, 5
+SEED = 42
+
+_FACTORS, _SHIFTS = np.random.default_rng(SEED).integers(0, 2**32, (2, BANDS * ROWS, 1), dtype=np.uint32)
+_FACTORS |= np.uint32(1)
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The XXH64 of all shingles, sorted, each once; none where there is no word, one where there are few."""
+    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(tokens)
+    if len(tokens) <= words:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-words] + 1)).tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)], np.uint64))
+
+
+def bands(found: np.ndarray) -> list[int]:
+    """A number for each band, equal where all minima of the band are; none for an empty set."""
+    if not len(found):
+        return []
+    low, least = found.astype(np.uint32), np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
+    for at in range(0, len(low), 2048):
+        np.minimum(least, (low[None, at : at + 2048] * _FACTORS + _SHIFTS).min(axis=1), out=least)
+    rows = least.reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], np.uint64).view(np.int64).tolist()
+
+
+def alike(x: np.ndarray, y: np.ndarray, similarity: float = SIMILARITY) -> bool:
+    """Whether two sets of shingles have that Jaccard similarity."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both)
+
+
+def group_links(keys: list[int], found: list[np.ndarray], placed: list[list[int]], similarity: float = SIMILARITY) -> list[tuple[int, int]]:
+    """A spanning forest of the links between classes that share a band."""
+    parent = list(range(len(keys)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    meet: dict[int, list[int]] = {}
+    for i, row in enumerate(placed):
+        for b in row:
+            meet.setdefault(b, []).append(i)
+    kept, unlike = [], set()
+    for members in meet.values():
+        parts: dict[int, list[int]] = {}
+        for i in members:
+            parts.setdefault(root(i), []).append(i)
+        done: list[list[int]] = []
+        for part in parts.values():
+            apart = []
+            for other in done:
+                link = None
+                for i in part:
+                    for j in other:
+                        pair = (i, j) if i < j else (j, i)
+                        if pair in unlike:
+                            continue
+                        if alike(found[i], found[j], similarity):
+                            link = pair
+                            break
+                        unlike.add(pair)
+                    if link:
+                        break
+                if link:
+                    kept.append((keys[link[0]], keys[link[1]]))
+                    parent[root(link[0])] = root(link[1])
+                    part = part + other
+                else:
+                    apart.append(other)
+            done = [*apart, part]
+    return kept
+
+
+def near_copies(rows: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """(row, component) for each row of (row, text); component is the same for rows that links join.
+
+    row is a long that tells the rows apart; rows must be written, as they are read twice. Null texts and texts without
+    words are one class, which is linked to no other. An empty table gives an empty result.
+    """
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingles(t, words) for t in batch["text"]]
+            keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+            yield pd.DataFrame({"row": batch["row"], "key": keys, "n": [len(s) for s in sets], "bands": [bands(s) for s in sets]})
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(found=[shingles(t, words).tobytes() for t in batch["text"]]).drop(columns="text")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def done(held: list[tuple]) -> pd.DataFrame:
+            _, keys, placed, found = zip(*held, strict=True)
+            links = group_links(list(keys), [np.frombuffer(f, np.uint64) for f in found], [list(p) for p in placed], similarity)
+            return pd.DataFrame(np.array(links, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+        held: list[tuple] = []
+        for batch in batches:
+            for one in zip(batch["group"], batch["key"], batch["bands"], batch["found"], strict=True):
+                if held and held[-1][0] != one[0]:
+                    yield done(held)
+                    held = []
+                held.append(one)
+        if held:
+            yield done(held)
+
+    prints = saved(rows.select("row", "text").mapInPandas(sketch, "row long, key long, n long, bands array<long>"), "sketches")
+    classes = saved(prints.groupBy("key").agg(F.min_by(F.struct("row", "n", "bands"), "row").alias("s")).select("key", "s.*"), "sketched")
+    by_size = Window.partitionBy("band").orderBy("n", "key")
+    near = classes.select("key", "n", F.explode("bands").alias("band")).select(F.col("key").alias("a"), "n", F.lag("key").over(by_size).alias("b"), F.lag("n").over(by_size).alias("m"))
+    groups = components(near.where(F.col("m") >= similarity * F.col("n")).select("a", "b").distinct(), "near-groups")
+    some = classes.join(groups.select(F.col("node").alias("key"), F.col("component").alias("group")), "key").select("row", "key", "bands", "group")
+    texts = rows.select("row", "text").join(some, "row").select("group", "key", "bands", "text")
+    met = texts.mapInPandas(sets, "group long, key long, bands array<long>, found binary").repartition("group").sortWithinPartitions("group")
+    linked = components(met.mapInPandas(compare, "a long, b long"), "near-links").select(F.col("node").alias("key"), "component")
+    return prints.select("row", "key").join(linked, "key", "left").select("row", F.coalesce("component", "key").alias("component"))
