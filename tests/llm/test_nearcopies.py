@@ -58,3 +58,13 @@ def test_links_of_a_group_are_all_found():
     found = [nearcopies.shingles(t) for t in texts]
     kept = nearcopies.group_links(list(range(len(texts))), found, [nearcopies.bands(f) for f in found])
     assert len(kept) == len(texts) - len(set(brute_groups(texts)))
+
+
+def test_rows_are_decided_one_by_one(spark):
+    """Rows without an id, and rows that share one, stay if their texts are no copies."""
+    texts = ["the first text has seven own words", "a second text with quite other words in it", "something else entirely is said in this third one"]
+    more = ["here a repeated id has its first text", "and there the same id comes with another text"]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (5, more[0]), (5, more[1]), (5, more[1]), (9, texts[2])]
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, COLUMNS).repartition(3), "").collect()
+    want = [(5, more[0]), (5, more[1]), (9, texts[2]), (None, texts[0]), (None, texts[1])]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got))) == sorted(map(str, want))
