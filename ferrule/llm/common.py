@@ -4,24 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from ferrule.session import importable
 
-__all__ = ["SPACE", "components", "discard", "id_crc", "importable", "new_path", "saved", "shared_folder", "text_or_empty", "total_bytes"]
+__all__ = ["SPACE", "components", "discard", "forget", "free_name", "id_crc", "importable", "new_path", "saved", "shared_folder", "text_or_empty", "total_bytes", "with_values"]
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session (tests) gets
+    one of its own; on a cluster that is an error, as no folder of one machine would do."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     known = spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ferrule-"))
         known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/")
@@ -50,6 +57,41 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table that saved() wrote, once nothing will read it again."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        discard(df.sparkSession, path)
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """name, or name with underscores in front until no taken name equals it without regard to case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
+def with_values(df: DataFrame, fields: str, values: Callable[[list], Iterable[tuple]], column: str = "text", rows: int = 500) -> DataFrame:
+    """df with further columns (fields, as DDL), which values() makes of the given column, `rows` at a time.
+
+    The rows pass through as Arrow batches and no column of df is converted: ids and other nullable numbers stay what
+    they are. The new names must be free in df.
+    """
+    added = StructType.fromDDL(fields)
+    kinds = [to_arrow_type(f.dataType) for f in added.fields]
+    place = [c.lower() for c in df.columns].index(column.lower())
+    names = [*df.columns, *added.names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                new = list(zip(*values(part.column(place).to_pylist()), strict=True))
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, k) for c, k in zip(new, kinds, strict=True))], names=names)
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -85,7 +127,8 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
     now = saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-edges")
     seen = None
     for _ in range(rounds):
-        now = saved(star(star(now, True), False), f"{name}-round")
+        before, now = now, saved(star(star(now, True), False), f"{name}-round")
+        forget(before)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break

@@ -15,6 +15,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ferrule.llm.common import with_values
 
 #: Samples in a row and rows in a frame of an encoded payload; hundredths of a second that a frame is shown.
 WIDTH, ROWS, DELAY = 192, 64, 4
@@ -23,6 +26,8 @@ UNIT = 192
 KEEP, TO_BACKGROUND, TO_PREVIOUS = 1, 2, 3
 MOST_CODES = 4096
 HISTOGRAM_BITS = 2  # of each colour channel
+#: Pixels of a canvas or frame that decode() takes at the most; the format allows four thousand million.
+MOST_PIXELS = 1 << 26
 
 _GREYS = bytes(b for i in range(256) for b in (i, i, i))
 
@@ -171,15 +176,33 @@ def _rows_in_order(rows: int) -> np.ndarray:
     return np.concatenate([np.arange(a, rows, step) for a, step in ((0, 8), (4, 8), (2, 4), (1, 2))])
 
 
-def decode(data: bytes) -> Iterator[Frame]:
-    """The frames, one after another, each composed on what the one before left."""
+def _palette(data: bytes, at: int, flags: int) -> tuple[np.ndarray, int]:
+    n = 3 * (2 << (flags & 7))
+    if at + n > len(data):
+        raise GifError("ends within a palette")
+    return np.frombuffer(data[at : at + n], np.uint8).reshape(-1, 3), at + n
+
+
+def _byte(data: bytes, at: int) -> int:
+    if at >= len(data):
+        raise GifError("ends too early")
+    return data[at]
+
+
+def decode(data: bytes, most_pixels: int = MOST_PIXELS) -> Iterator[Frame]:
+    """The frames, one after another, each composed on what the one before left.
+
+    Whatever isn't a whole image raises GifError: a truncated header, palette or block, a code size that the format
+    doesn't have, a code that isn't in the table. So does a canvas or frame of more than most_pixels.
+    """
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         raise GifError("no GIF header")
     width, height, flags = int.from_bytes(data[6:8], "little"), int.from_bytes(data[8:10], "little"), data[10]
+    if width * height > most_pixels:
+        raise GifError("a canvas above the limit")
     at, shared = 13, None
     if flags & 0x80:
-        n = 3 * (2 << (flags & 7))
-        shared, at = np.frombuffer(data[at : at + n], np.uint8).reshape(-1, 3), at + n
+        shared, at = _palette(data, at, flags)
     canvas = np.zeros((height, width, 4), np.uint8)
     delay, disposal, transparent = 0, 0, None
     while at < len(data):
@@ -187,7 +210,7 @@ def decode(data: bytes) -> Iterator[Frame]:
         if kind == 0x3B:
             return
         if kind == 0x21:
-            label, at = data[at], at + 1
+            label, at = _byte(data, at), at + 1
             block, at = _blocks(data, at)
             if label == 0xF9 and len(block) >= 4:
                 disposal, delay = block[0] >> 2 & 7, 10 * int.from_bytes(block[1:3], "little")
@@ -198,12 +221,15 @@ def decode(data: bytes) -> Iterator[Frame]:
         left, top, w, h = (int.from_bytes(data[at + i : at + i + 2], "little") for i in (0, 2, 4, 6))
         own, at = data[at + 8], at + 9
         palette = shared
+        if w * h > most_pixels:
+            raise GifError("a frame above the limit")
         if own & 0x80:
-            n = 3 * (2 << (own & 7))
-            palette, at = np.frombuffer(data[at : at + n], np.uint8).reshape(-1, 3), at + n
+            palette, at = _palette(data, at, own)
         if palette is None:
             raise GifError("no palette")
-        size, at = data[at], at + 1
+        size, at = _byte(data, at), at + 1
+        if not 2 <= size <= 8:
+            raise GifError("no code size of the format")
         stream, at = _blocks(data, at)
         found = lzw_decode(stream, size, w * h)
         samples = np.zeros(w * h, np.uint8)
@@ -278,7 +304,10 @@ def padded(text: str | None) -> tuple[bytes, int]:
 
 def frames_table(media: DataFrame) -> DataFrame:
     """One row per timed frame of media (id, gif): id, frame, at_ms, delay_ms, left, top, width, height, disposal,
-    transparent (null: none), histogram. A null or broken image has no frames."""
+    transparent (null: none), histogram. A null or broken image, or one above MOST_PIXELS, has no frames; repeated rows
+    give their frames again; other columns are ignored; an empty table gives an empty result."""
+
+    kind = dict(media.dtypes)["id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["id", "frame", "at_ms", "delay_ms", "left", "top", "width", "height", "disposal", "transparent", "histogram"]
@@ -290,22 +319,25 @@ def frames_table(media: DataFrame) -> DataFrame:
                     for i, f in enumerate(decode(data or b"")):
                         own.append((key, i, clock, f.delay_ms, f.left, f.top, f.samples.shape[1], f.samples.shape[0], f.disposal, f.transparent, histogram_of(f.canvas).tolist()))
                         clock += f.delay_ms
-                except (GifError, IndexError):
+                except GifError:
                     own = []
                 rows += own
             out = pd.DataFrame(rows, columns=names)
             out["transparent"] = out["transparent"].astype("Int32")
             yield out
 
-    kind = dict(media.dtypes)["id"]
-    return media.select("id", "gif").mapInPandas(run, f"id {kind}, frame int, at_ms long, delay_ms long, left int, top int, width int, height int, disposal int, transparent int, histogram array<long>")
+    # the id travels as text: a null among numbers would turn them all into doubles
+    found = media.select(F.col("id").cast("string"), "gif").mapInPandas(run, "id string, frame int, at_ms long, delay_ms long, left int, top int, width int, height int, disposal int, transparent int, histogram array<long>")
+    return found.withColumn("id", F.col("id").cast(kind))
 
 
 def stored(docs: DataFrame, keep_media: bool = True) -> DataFrame:
     """Each row's text as a GIF and what is read back from it: doc_id, gif (unless keep_media is false), n_bytes,
     payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, n_frames, duration_ms, histogram.
 
-    A null text is the empty one. Equal texts give equal values; repeated rows stay repeated.
+    A null text is the empty one. A text of any length is stored whole, in as many frames as it needs. Equal texts give
+    equal values; repeated rows stay repeated; doc_id is whatever it was, null included; other columns are ignored; an
+    empty table gives an empty result.
     """
 
     def row(text: str | None) -> tuple:
@@ -317,20 +349,8 @@ def stored(docs: DataFrame, keep_media: bool = True) -> DataFrame:
         out = (n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature, frames, shown, histogram.tolist())
         return (media, *out) if keep_media else out
 
-    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames", "duration_ms", "histogram"]
-    names = ["gif", *names] if keep_media else names
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
-                out = pd.DataFrame([row(t) for t in part["text"]], columns=names)
-                out.insert(0, "doc_id", part["doc_id"].to_numpy())
-                yield out
-
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, {'gif binary, ' if keep_media else ''}n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int, duration_ms long, histogram array<long>"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    fields = f"{'gif binary, ' if keep_media else ''}n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames int, duration_ms long, histogram array<long>"
+    return with_values(docs.select("doc_id", "text"), fields, lambda texts: map(row, texts), rows=100).drop("text")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
