@@ -1,11 +1,12 @@
 """Toxicity by compression distance.
 
-Zstandard dictionaries are trained from labelled text: one on ordinary text, and two on toxic text, which hold the
-same ordinary background and before it the segments by which toxic documents stand out, so that all compress
-ordinary text alike. One toxic dictionary has every such segment, the other those that ordinary text hardly ever has.
-A text's windows are its words with their spaces; a window's gain is its length compressed with the ordinary
-dictionary less that with a toxic one. A document's score is the calibrated chance of the label given the gains of
-its windows. The calibration sees other labelled rows than the dictionaries it judges.
+Two zstandard dictionaries are trained: one on windows of ordinary text, one on the words by which toxic documents
+stand out, as often as they stand there; the toxic one is followed by the ordinary one, so that both compress ordinary
+text alike. (Trained on plain toxic text, zstandard's trainer keeps what is frequent in either class: its dictionaries
+tell held-out documents apart hardly better than chance, see README.) Windows of running text, WINDOW words each and
+STEP words apart, are compressed with both; a window's gain is its length with the ordinary dictionary less that with
+the toxic one. Gains above a threshold count as evidence; the threshold and the chance of the label given a document's
+evidence are calibrated on labelled rows that the dictionaries then judging them haven't seen.
 
 So that what a match saves stands out from what zstandard spends on it, each byte is written as three, the other two
 being a running hash of its word; a match then begins where words begin.
@@ -19,34 +20,35 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import id_crc
+from ferrule.llm.common import id_crc, with_values
 
 THRESHOLD = 0.7
-#: The classifier is fitted on at most so many labelled rows of each class, by hash order, and so many bytes of each.
-FIT_ROWS, FIT_BYTES = 3000, 20_000
-#: Segments are words or their beginnings, with the space before; least documents, least z, least ratio of rates.
-SEGMENT_BYTES, SEGMENT_DOCS, SEGMENT_Z, SEGMENT_RATIO, SEGMENTS = range(5, 15), 6, 6.0, 5.0, 200
-#: Least ratio of rates of the segments that ordinary text hardly ever has.
-STRONG_RATIO, STEM_BYTES = 40.0, 7
-BACKGROUND_BYTES = 2048
-WINDOW_BYTES = 32
-#: Gains kept by window in a Python worker before it starts afresh.
+#: The classifier is fitted on at most so many labelled rows of each class, by hash order; their texts are whole.
+FIT_ROWS = 3000
+#: Words of a window, and from one window's beginning to the next.
+WINDOW, STEP = 3, 2
+#: Bytes of a dictionary, and its trainer's segment and shortest match.
+DICTIONARY_BYTES, TRAIN_K, TRAIN_D = 8192, 42, 8
+#: Words of a sample of ordinary text, and samples of it that the trainer takes, spread over all ordinary rows.
+SAMPLE_WORDS, SAMPLES = 8, 30_000
+#: Toxic documents stand out by words and beginnings of words; least documents, least z, least ratio of rates, most of them.
+SEGMENT_BYTES, SHORT_BYTES, SEGMENT_DOCS, SEGMENT_Z, SEGMENT_RATIO, SEGMENTS, STEM_BYTES = range(5, 15), 8, 6, 6.0, 5.0, 200, 7
+#: Thresholds of a window's gain among which calibration chooses.
+GAINS = range(4, 18, 2)
+#: Words whose widened form a Python worker keeps.
 MEMO = 300_000
-#: Gains up to this are left out.
-NOISE = 9
 
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
-def windows(text: str | None, most: int | None = None) -> list[bytes]:
+def words_of(text: str | None) -> list[bytes]:
     """The words of a text in lower case without punctuation around them."""
     raw = (text or "").encode("utf-8", "surrogatepass")
-    return [w for x in (raw if most is None else raw[:most]).lower().split() if (w := x.strip(_PUNCTUATION))]
+    return [w for x in raw.lower().split() if (w := x.strip(_PUNCTUATION))]
 
 
 def widened(segment: bytes) -> bytes:
@@ -57,25 +59,49 @@ def widened(segment: bytes) -> bytes:
     return bytes(out)
 
 
-def _beginnings(words: list[bytes]) -> set[bytes]:
-    return {s[:n] for s in {b" " + w + b" " for w in words} for n in SEGMENT_BYTES if n <= len(s)}
+_BLANK = widened(b" ")
+_WIDE: dict[bytes, bytes] = {}
 
 
-def counted(texts: list[list[bytes]], toxic: np.ndarray) -> tuple[dict[bytes, int], Counter]:
-    """In how many toxic texts segments are that are in SEGMENT_DOCS or more of them, and in how many others."""
-    own, other = Counter(), Counter()
+def wide(words: list[bytes]) -> bytes:
+    """A window, widened: a blank before each word and one at the end."""
+    if len(_WIDE) > MEMO:
+        _WIDE.clear()
+    return b"".join([_WIDE.get(w) or _WIDE.setdefault(w, widened(b" " + w)) for w in words]) + _BLANK
+
+
+def windows(words: list[bytes]) -> Iterator[list[bytes]]:
+    """Windows that together have every word; a text without words has none."""
+    return (words[i : i + WINDOW] for i in range(0, max(1, len(words) - WINDOW + STEP) if words else 0, STEP))
+
+
+def _beginnings(words: set[bytes], sizes: range, among: set[bytes] | None = None) -> set[bytes]:
+    padded = (b" " + w + b" " for w in words)
+    return {s[:n] for s in padded if among is None or s[:SHORT_BYTES] in among for n in sizes if n <= len(s)}
+
+
+def counted(texts: list[set[bytes]], toxic: np.ndarray) -> tuple[dict[bytes, int], Counter]:
+    """In how many toxic texts segments are that are in SEGMENT_DOCS or more of them, and in how many others.
+
+    Long beginnings are counted only where their first SHORT_BYTES are that frequent, as they can't be more so.
+    """
+    short, long = range(SEGMENT_BYTES.start, SHORT_BYTES + 1), range(SHORT_BYTES + 1, SEGMENT_BYTES.stop)
+    own, other, often = Counter(), Counter(), {}
     for words in (w for w, y in zip(texts, toxic.tolist(), strict=True) if y):
-        own.update(_beginnings(words))
+        own.update(_beginnings(words, short))
     often = {s: k for s, k in own.items() if k >= SEGMENT_DOCS}
-    del own
+    own.clear()
+    among = {s for s in often if len(s) == SHORT_BYTES}
+    for words in (w for w, y in zip(texts, toxic.tolist(), strict=True) if y):
+        own.update(_beginnings(words, long, among))
+    often |= {s: k for s, k in own.items() if k >= SEGMENT_DOCS}
     for words in (w for w, y in zip(texts, toxic.tolist(), strict=True) if not y):
-        other.update(often.keys() & _beginnings(words))
+        other.update(often.keys() & (_beginnings(words, short) | _beginnings(words, long, among)))
     return often, other
 
 
-def segments(counts: tuple[dict[bytes, int], Counter], toxic: np.ndarray, ratio: float = SEGMENT_RATIO) -> list[bytes]:
-    """Segments at least `ratio` times as frequent in toxic texts as in others, the most telling last; so are their
-    beginnings of STEM_BYTES."""
+def segments(counts: tuple[dict[bytes, int], Counter], toxic: np.ndarray, ratio: float = SEGMENT_RATIO) -> set[bytes]:
+    """Segments at least `ratio` times as frequent in toxic texts as in others, and so are their beginnings of STEM_BYTES."""
     often, rest = counts
     n1, n0 = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
     found = []
@@ -94,31 +120,49 @@ def segments(counts: tuple[dict[bytes, int], Counter], toxic: np.ndarray, ratio:
             kept.append((s, k))
         if len(kept) == SEGMENTS:
             break
-    return [s for s, _ in kept][::-1]
+    return {s for s, _ in kept}
 
 
-def background(texts: list[list[bytes]]) -> bytes:
-    """Content of a zstandard dictionary trained on ordinary text, widened."""
-    samples = [widened(b" " + b" ".join(words[i : i + 8]) + b" ") for words in texts for i in range(0, min(len(words), 400), 8)]
+def trained(samples: list[bytes]) -> bytes:
+    """A zstandard dictionary of the samples; what there is of them where they are too few to train on."""
     try:
-        return zstandard.train_dictionary(BACKGROUND_BYTES, samples[:20_000], k=64, d=8, level=3).as_bytes()[-BACKGROUND_BYTES + 256 :]
-    except zstandard.ZstdError:  # too little text to train on
-        return b"".join(samples[:20])[-BACKGROUND_BYTES:]
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=TRAIN_K, d=TRAIN_D, level=3).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))[-DICTIONARY_BYTES:]
+
+
+def dictionaries(texts: list[list[bytes]], toxic: np.ndarray) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary."""
+    telling = segments(counted([set(w) for w in texts], toxic), toxic)
+    sizes = sorted({len(s) for s in telling})
+    stands: dict[bytes, bool] = {}
+
+    def stands_out(word: bytes) -> bool:
+        if word not in stands:
+            padded = b" " + word + b" "
+            stands[word] = any(padded[:n] in telling for n in sizes)
+        return stands[word]
+
+    own = [wide([w]) for words, y in zip(texts, toxic.tolist(), strict=True) if y for w in words if stands_out(w)]
+    places = [(i, at) for i, (words, y) in enumerate(zip(texts, toxic.tolist(), strict=True)) if not y for at in range(0, len(words), SAMPLE_WORDS)]
+    chosen = np.random.default_rng(len(places)).permutation(len(places))[:SAMPLES]
+    ordinary = trained([wide(texts[i][at : at + SAMPLE_WORDS]) for i, at in (places[j] for j in chosen.tolist())])
+    return ordinary, (trained(own) if own else b"") + ordinary
 
 
 @dataclass
 class Model:
-    """The dictionaries' contents (ordinary, toxic, strongly toxic) and the calibration of the score."""
+    """The dictionaries (ordinary, toxic), the least gain of a window that counts, and the calibration of the score."""
 
-    contents: tuple[bytes, bytes, bytes]
+    contents: tuple[bytes, bytes]
+    least: int
     weights: list[float]
 
     def __post_init__(self) -> None:
-        self._memo: dict[bytes, tuple[int, int]] = {}
         self._ready: tuple | None = None
 
     def __getstate__(self) -> dict:
-        return {"contents": self.contents, "weights": self.weights}
+        return {"contents": self.contents, "least": self.least, "weights": self.weights}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -126,42 +170,37 @@ class Model:
 
     def _compressors(self) -> tuple:
         if self._ready is None:
-            params = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, strategy=zstandard.STRATEGY_GREEDY, min_match=6, search_log=4, window_log=14, hash_log=12, chain_log=12, write_content_size=False, write_checksum=False, write_dict_id=False)
+            params = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, strategy=zstandard.STRATEGY_GREEDY, min_match=6, search_log=4, window_log=16, hash_log=14, chain_log=14, write_content_size=False, write_checksum=False, write_dict_id=False)
             made = []
             for content in self.contents:
                 held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 held.precompute_compress(compression_params=params)
-                made.append(zstandard.ZstdCompressor(compression_params=params, dict_data=held))
+                made.append(zstandard.ZstdCompressor(compression_params=params, dict_data=held).compress)
             self._ready = tuple(made)
         return self._ready
 
-    def gain(self, word: bytes) -> tuple[int, int]:
-        """Bytes that each toxic dictionary saves over the ordinary one, over all pieces of a word."""
-        known = self._memo.get(word)
-        if known is None:
-            plain, toxic, strong = self._compressors()
-            whole = b" " + word + b" "
-            pieces = [widened(whole[i : i + WINDOW_BYTES]) for i in range(0, max(1, len(whole) - 8), WINDOW_BYTES - 8)]
-            base = sum(len(plain.compress(p)) for p in pieces)
-            weak = base - sum(len(toxic.compress(p)) for p in pieces)
-            known = (weak, base - sum(len(strong.compress(p)) for p in pieces)) if weak > NOISE else (0, 0)
-            if len(self._memo) >= MEMO:
-                self._memo.clear()
-            self._memo[word] = known
-        return known
-
-    def features(self, words: list[bytes]) -> list[float]:
-        gain, memo = self.gain, self._memo.get
-        gains = [g for w in words if (g := (k if (k := memo(w)) is not None else gain(w)))[0]]
-        strong = float(sum(g[1] for g in gains if g[1] > NOISE))
-        weak = float(sum(g[0] for g in gains if g[1] <= NOISE))
-        return [1.0, float(strong > 0), math.log1p(strong), math.log1p(weak), math.log1p(100.0 * weak / (len(words) + 20.0)), math.log1p(len(words))]
+    def gain(self, window: list[bytes]) -> int:
+        """Bytes that the toxic dictionary saves over the ordinary one."""
+        ordinary, toxic = self._compressors()
+        text = wide(window)
+        return len(ordinary(text)) - len(toxic(text))
+
+    def gains(self, words: list[bytes]) -> list[int]:
+        """The gains of the windows that have any."""
+        return [g for w in windows(words) if (g := self.gain(w)) >= GAINS.start]
 
     def score(self, text: str | None) -> float:
-        x = sum(w * f for w, f in zip(self.weights, self.features(windows(text)), strict=True))
+        words = words_of(text)
+        x = sum(w * f for w, f in zip(self.weights, features(self.gains(words), self.least, len(words)), strict=True))
         return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, x))))
 
 
+def features(gains: list[int], least: int, n: int) -> list[float]:
+    """What calibration sees of a text of n words: whether and how many windows gain enough, by how much, how densely."""
+    enough = [g for g in gains if g >= least]
+    return [1.0, float(bool(enough)), math.log1p(len(enough)), math.log1p(max(enough, default=0)), math.log1p(100.0 * len(enough) / (n + 20.0)), math.log1p(n)]
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
@@ -174,60 +213,72 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
     return w
 
 
-def fit(rows: list[tuple[str | None, int]]) -> Model:
-    """A model of labelled texts. Without both labels the score is the same for all: the labels' mean, 0 without any."""
+def fit(rows: list[tuple[str | None, int]], odds: float | None = None) -> Model:
+    """A model of labelled texts, whole ones of any length; repeated rows count once, and a row's place in the list
+    tells in which half it is. Without both labels the score is the same for all: the labels' mean, 0 without any.
+
+    odds: toxic to other rows where the rows come from, if the sample has them in another proportion.
+    """
     unique = list(dict.fromkeys(rows))
     same: dict[bytes, bytes] = {}  # one object for equal words
-    texts, toxic = [[same.setdefault(w, w) for w in windows(t, FIT_BYTES)] for t, _ in unique], np.array([y for _, y in unique], np.int64)
+    texts, toxic = [[same.setdefault(w, w) for w in words_of(t)] for t, _ in unique], np.array([y for _, y in unique], np.int64)
+    same.clear()
     if not len(toxic) or toxic.min() == toxic.max():
         level = float(toxic.mean()) if len(toxic) else 0.0
-        return Model((b"", b"", b""), [40.0 if level else -40.0, *[0.0] * 5])
-
-    def dictionaries(which: np.ndarray) -> tuple[bytes, bytes, bytes]:
-        own = [texts[i] for i in np.flatnonzero(which)]
-        plain = background([w for w, y in zip(own, toxic[which].tolist(), strict=True) if not y])
-        counts = counted(own, toxic[which])
-        weak, strong = (b"".join(widened(s) + b"\x00" * 2 for s in segments(counts, toxic[which], ratio)) for ratio in (SEGMENT_RATIO, STRONG_RATIO))
-        return plain, weak + plain, strong + plain
-
+        return Model((b"", b""), GAINS.start, [40.0 if level else -40.0, *[0.0] * 5])
     half = np.arange(len(toxic)) % 2 == 0
-    x, y = [], []
+    found: list[list[int]] = [[] for _ in texts]
     for part in (half, ~half):
-        model = Model(dictionaries(part), [0.0] * 6)
-        x += [model.features(windows(unique[i][0])) for i in np.flatnonzero(~part)]
-        y.append(toxic[~part])
-    return Model(dictionaries(np.ones(len(toxic), bool)), logistic(np.array(x), np.concatenate(y)).tolist())
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list[tuple[str | None, int]]:
-    """A bounded sample of the labelled documents outside the held-out fold, by hash order; repeated labels count once."""
+        model = Model(dictionaries([texts[i] for i in np.flatnonzero(part)], toxic[part]), GAINS.start, [])
+        for i in np.flatnonzero(~part):
+            found[i] = model.gains(texts[i])
+    best = None
+    for least in GAINS:
+        x = np.array([features(g, least, len(t)) for g, t in zip(found, texts, strict=True)])
+        weights = logistic(x, toxic)
+        p = np.clip(1 / (1 + np.exp(-np.clip(x @ weights, -40, 40))), 1e-9, 1 - 1e-9)
+        loss = float(-np.log(np.where(toxic == 1, p, 1 - p)).sum())
+        if best is None or loss < best[0]:
+            best = (loss, least, weights.tolist())
+    if odds:
+        best[2][0] += math.log(odds * (1 - toxic.mean()) / toxic.mean())
+    return Model(dictionaries(texts, toxic), best[1], best[2])
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[list[tuple[str | None, int]], float | None]:
+    """A bounded sample of the labelled documents outside the held-out fold, by hash order, with whole texts, and the
+    odds of a toxic label among all of them. Of repeated labels the largest counts, null labels and ids don't. Empty
+    tables give no rows."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.where(F.pmod(id_crc(), F.lit(3)) != 1).withColumn("rank", F.xxhash64("doc_id", F.lit("toxicity")))
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     chosen = None
     for y in (0, 1):
         part = known.where(F.col("toxic") == y).orderBy("rank").limit(rows)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return [(r["text"], r["toxic"]) for r in texts.select("doc_id", F.substring("text", 1, FIT_BYTES).alias("text"), "toxic", "rank").orderBy("rank", "text").collect()]
+    found = [(r["text"], r["toxic"]) for r in texts.select("text", "toxic", "rank").orderBy("rank", "text").toLocalIterator()]
+    return found, counts[1] / counts[0] if len(counts) == 2 else None
 
 
-def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """docs with a double column of that name; null and empty texts score like any text without words."""
-    if name in docs.columns:
-        raise ValueError(f"column clashes: {name}")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def model_of(docs: DataFrame, labels: DataFrame) -> Model:
+    """fit() of training_rows()."""
+    return fit(*training_rows(docs, labels))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = sent.value
-        for batch in batches:
-            yield batch.assign(__score=[own.score(t) for t in batch["text"]])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "__score double"])
-    return docs.mapInPandas(run, schema).withColumnRenamed("__score", name)
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """docs with a double column of that name, which must be free; all other columns come back as they were.
+
+    A text of any length is scored by all its windows; null and empty texts score like any text without words; equal
+    texts score alike and repeated rows stay repeated; an empty table gives an empty result.
+    """
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the column {name} is taken; see free_name()")
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return with_values(docs, f"`{name}` double", lambda texts: ((sent.value.score(t),) for t in texts))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    model = fit(training_rows(docs, labels))
-    out = scored(docs.select("doc_id", "text"), model)
+    out = scored(docs.select("doc_id", "text"), model_of(docs, labels))
     return out.select("doc_id", (F.pmod(id_crc(), F.lit(3)) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
