@@ -9,19 +9,30 @@ one bit of it has its home among those. Residents of an anchor are compared with
 The distinct fingerprints are compared, not the documents, so copies cost nothing. A crowded anchor is cut again by
 the other half's 32 bits and the one bit that the code leaves out: of four blocks, one is equal in both, as at most
 three bits differ. Only a spanning forest of each anchor's links leaves the task, never all its pairs.
+
+near_copies() is the general form, for a similarity of word shingles instead of three bits. At a Jaccard similarity of
+0.8 a bit differs with a chance of 0.15, so that no covering of 64 bits with few replicas reaches such pairs. There a
+fingerprint of WIDE_BITS bits is read in many blocks of 31 positions, each with the same perfect code as anchors and a
+threshold of zero: a fingerprint goes to the one anchor within the covering radius of each block. Two texts of
+similarity 0.8 share an anchor in one block with a chance of 0.0139, so 256 blocks miss 3 % of such pairs and hardly
+any of more similar ones. Neighbours at an anchor are compared by their shingles; links found in the first blocks join
+classes, so that the later blocks only compare what is still apart.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import components, saved
+from ferrule.llm.common import components, saved, with_values
 
 #: Fixed values of the method.
 BITS, THRESHOLD, CODE_LENGTH = 64, 3, 31
@@ -29,25 +40,35 @@ SHINGLE_WORDS = 3
 SEED = 42
 #: An anchor with more comparisons than this is cut into blocks.
 CROWDED = 4_000_000
+#: Pieces into which the documents of one fingerprint are cut for the last join.
+SALTS = 8
+#: near_copies(): words of a shingle and least Jaccard similarity; bits of the fingerprint; blocks of 31 bits, the first
+#: of which come before the others; classes (as a power of two) up to which these blocks' anchors are enough.
+NEAR_WORDS, SIMILARITY = 5, 0.8
+WIDE_BITS, BLOCKS, FIRST_BLOCKS, CLASSES = 1024, 256, 32, 24
 
 _POSITIONS = np.arange(1, CODE_LENGTH + 1)
 #: By syndrome: the masks that lead to the home anchor (first) and to the anchors two bits away.
 _MASKS = [[np.uint32(0 if s == 0 else 1 << (s - 1))] + [np.uint32(1 << (i - 1) | 1 << (j - 1)) for i in _POSITIONS for j in _POSITIONS if i < j and i ^ j == s and s] for s in range(32)]
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
-    """Bit-majority of the XXH64 of all shingles, repeats included; 0 where there is no word."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """The XXH64 of all shingles, repeats included: none without a word, one where there are few words."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     if len(tokens) <= words:
-        hashes = np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-words] + 1)).tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)], np.uint64)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-words] + 1)).tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+    """Bit-majority of the XXH64 of all shingles, repeats included; 0 where there is no word."""
+    hashes = shingle_hashes(text, words)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 65536):
         part = hashes[at : at + 65536]
@@ -57,14 +78,8 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp long) of every row; a null text has no words."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            values = np.array([fingerprint(t, words) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": values})
-
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, fp long")
+    signed = lambda texts: zip(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64).tolist())
+    return with_values(docs.select("doc_id", "text"), "fp long", signed).drop("text")
 
 
 def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,18 +199,146 @@ def links(fps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """One row per row of docs: doc_id, fp, component_id (smallest doc_id reachable over links).
 
-    Null texts and texts without words have fingerprint zero and link like any other; repeated rows of a doc_id stay
-    repeated; other columns are ignored. An empty table gives an empty result.
+    Null texts and texts without words have fingerprint zero and link like any other; texts of any length count whole;
+    repeated rows of a doc_id stay repeated; a null doc_id is larger than any other; other columns are ignored. An
+    empty table gives an empty result.
     """
     prints = saved(fingerprints(docs, words), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    classes = saved(classes, "classes")
-    joined = components(links(classes.select("fp")), "simhash")
+    classes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    joined = components(saved(links(classes.select("fp")), "links"), "simhash")
     linked = classes.join(joined.withColumnRenamed("node", "fp"), "fp")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     member = linked.join(least, "component").select("fp", "component_id")
-    of = classes.join(member, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = classes.join(member, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(of, ["fp", "salt"]).select("doc_id", "fp", "component_id")
+
+
+_FACTORS, _SHIFTS = np.random.default_rng(SEED).integers(0, 2**63, (2, WIDE_BITS // 64), dtype=np.uint64)
+_FACTORS |= np.uint64(1)
+
+
+def wide_bits(found: np.ndarray) -> np.ndarray:
+    """WIDE_BITS majority bits (0, 1) of a set of shingle hashes; ties are 0."""
+    ones = np.zeros(WIDE_BITS, np.int64)
+    for at in range(0, len(found), 255):
+        x = found[at : at + 255, None] * _FACTORS + _SHIFTS
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        ones += np.add.reduce(np.unpackbits(x.view(np.uint8).reshape(len(x), -1), axis=1), axis=0, dtype=np.uint8)
+    return (2 * ones > len(found)).astype(np.uint8)
+
+
+def layout(classes: int, blocks: int = BLOCKS) -> tuple[int, int]:
+    """Codes of length 7 that lengthen each block's code of length 31, and the number of blocks.
+
+    Above 2 ** CLASSES texts unrelated ones would meet at an anchor too often. A perfect code of length 7 more gives 16
+    times the anchors; two texts of similarity 0.8 share its anchor with a chance of 0.4685, which more blocks make up.
+    """
+    more = max(0, math.ceil((math.log2(max(classes, 1)) - CLASSES) / 4))
+    return more, math.ceil(blocks / 0.4685**more)
+
+
+@functools.lru_cache(4)
+def _positions(width: int, blocks: int) -> np.ndarray:
+    """The bits of each block: all bits are used about equally often."""
+    rng, per = np.random.default_rng(SEED + 1), WIDE_BITS // width
+    return np.concatenate([rng.permutation(WIDE_BITS)[: per * width].reshape(per, width) for _ in range(-(-blocks // per))])[:blocks]
+
+
+def _home(bits: np.ndarray) -> np.ndarray:
+    """The number of the code word next to each row of bits (last axis 7 or 31 long): its bits without the parity ones."""
+    n = bits.shape[-1]
+    places = np.arange(1, n + 1)
+    parity = (bits.astype(np.float32) @ ((places[:, None] >> np.arange(n.bit_length())) & 1).astype(np.float32)).astype(np.int64) & 1
+    wrong = parity @ (1 << np.arange(n.bit_length()))
+    data = places[(places & (places - 1)) > 0]
+    number = (bits[..., data - 1].astype(np.float64) @ (2.0 ** np.arange(len(data)))).astype(np.int64)
+    flip = np.zeros(n + 1, np.int64)
+    flip[data] = 1 << np.arange(len(data))
+    return number ^ flip[wrong]
+
+
+def slots(bits: np.ndarray, first: int, last: int, more: int) -> np.ndarray:
+    """For each row of bits its anchor in the blocks first to last: one number for block and anchor."""
+    width = 31 + 7 * more
+    places = _positions(width, last)[first:last]
+    chosen = bits[:, places]
+    key = np.arange(first, last, dtype=np.int64)[None, :] << 26 | _home(chosen[..., :31])
+    for i in range(more):
+        key = key << 4 | _home(chosen[..., 31 + 7 * i : 38 + 7 * i])
+    return key
+
+
+def alike(x: np.ndarray, y: np.ndarray, similarity: float = SIMILARITY) -> bool:
+    """Whether two sets of shingles have that Jaccard similarity."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both)
+
+
+def near_copies(rows: DataFrame, words: int = NEAR_WORDS, similarity: float = SIMILARITY, blocks: int = BLOCKS, first_blocks: int = FIRST_BLOCKS) -> DataFrame:
+    """(row, component) for each row of (row, text); component is the same for rows that links join.
+
+    Two rows are linked if their sets of shingles are equal or have that Jaccard similarity and meet at an anchor; what
+    is linked is always that similar. row is a long that tells the rows apart; rows must be written, as they are read
+    more than once. Null texts and texts without words are one class, which is linked to no other; texts of any length
+    are taken whole. An empty table gives an empty result.
+    """
+
+    def sketch(texts: list) -> Iterator[tuple]:
+        for t in texts:
+            own = np.unique(shingle_hashes(t, words))
+            yield xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63), len(own), np.packbits(wide_bits(own)).tobytes()
+
+    prints = saved(with_values(rows.select("row", "text"), "key long, n long, bits binary", sketch).drop("text"), "sketches")
+    classes = saved(prints.groupBy("key").agg(F.min_by(F.struct("row", "n", "bits"), "row").alias("s")).select("key", "s.*").where("n > 0"), "sketched")
+    more, blocks = layout(classes.count(), blocks)
+    joined, found = None, []
+    for first, last in ((0, min(first_blocks, blocks)), (min(first_blocks, blocks), blocks)):
+        if first == last:
+            continue
+        now = classes.withColumn("component", F.col("key")) if joined is None else classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+        found.append(saved(_links(_candidates(now, first, last, more, similarity), classes, rows, words, similarity), f"near-links-{first}"))
+        joined = components(functools.reduce(DataFrame.unionByName, found), "near")
+    return prints.select("row", "key").join(joined.withColumnRenamed("node", "key"), "key", "left").select("row", F.coalesce("component", "key").alias("component"))
+
+
+def _candidates(classes: DataFrame, first: int, last: int, more: int, similarity: float) -> DataFrame:
+    """(a, b): pairs of classes that follow each other at an anchor, of different components and like sizes."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                bits = np.unpackbits(np.frombuffer(b"".join(part.column("bits").to_pylist()), np.uint8).reshape(part.num_rows, -1), axis=1)
+                slot = slots(bits, first, last, more)
+                each = [pa.array(np.repeat(np.asarray(part.column(c)), slot.shape[1])) for c in ("key", "component", "n")]
+                yield pa.RecordBatch.from_arrays([pa.array(slot.ravel()), *each], names=["slot", "key", "component", "n"])
+
+    placed = classes.select("key", "component", "n", "bits").mapInArrow(place, "slot long, key long, component long, n long")
+    # the order differs from slot to slot, so that not the same classes follow each other everywhere
+    order = Window.partitionBy("slot").orderBy(F.xxhash64("component", "slot"), "key")
+    pairs = placed.select("key", "component", "n", *(F.lag(c).over(order).alias(f"last_{c}") for c in ("key", "component", "n")))
+    pairs = pairs.where((F.col("component") != F.col("last_component")) & (F.least("n", "last_n") >= similarity * F.greatest("n", "last_n")))
+    return pairs.select(F.least("key", "last_key").alias("a"), F.greatest("key", "last_key").alias("b")).distinct()
+
+
+def _links(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts are that similar."""
+    pairs = saved(pairs, "near-pairs")
+    some = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    texts = saved(rows.join(classes.join(some, "key").select("row", "key"), "row").select("key", "text"), "near-texts")
+    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            same = [alike(np.unique(shingle_hashes(x, words)), np.unique(shingle_hashes(y, words)), similarity) for x, y in zip(batch["x"], batch["y"], strict=True)]
+            yield batch.loc[np.array(same, bool), ["a", "b"]]
+
+    return both.select("a", "b", "x", "y").mapInPandas(compare, "a long, b long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from ferrule.llm import nearcopies
+from ferrule.llm import simhash
 
 COLUMNS = "doc_id long, text string"
 
@@ -53,11 +54,41 @@ def test_stage_against_brute_force_jaccard(spark, seed):
     assert sorted(r.doc_id for r in got) == sorted(set(groups))
 
 
-def test_links_of_a_group_are_all_found():
-    texts = [t for t in family(3) if t and len(t.split()) > 5]
-    found = [nearcopies.shingles(t) for t in texts]
-    kept = nearcopies.group_links(list(range(len(texts))), found, [nearcopies.bands(f) for f in found])
-    assert len(kept) == len(texts) - len(set(brute_groups(texts)))
+def test_recall_at_the_least_similarity():
+    """Pairs of exactly 0.8: at least nine of ten share an anchor, and every block uses its own bits."""
+    rnd, hit, n = random.Random(5), 0, 120
+    for _ in range(n):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(364)]  # 360 shingles; eight edits leave 320 of 400
+        other = list(words)
+        for at in range(20, 360, 43):
+            other[at] = "changed"
+        x, y = (np.unique(simhash.shingle_hashes(" ".join(t), 5)) for t in (words, other))
+        assert simhash.alike(x, y) and not simhash.alike(x, y, 0.801)
+        a, b = (simhash.slots(simhash.wide_bits(z)[None], 0, 256, 0)[0] for z in (x, y))
+        hit += bool((a == b).any())
+    assert hit >= 0.9 * n
+
+
+def test_anchors_are_the_nearest_code_words():
+    rng = np.random.default_rng(3)
+    for n in (7, 31):
+        bits = rng.integers(0, 2, (50, n)).astype(np.uint8)
+        home = simhash._home(bits)
+        for flip in range(n):
+            near = bits.copy()
+            near[:, flip] ^= 1
+            # of a word and its neighbours exactly one is a code word, the home of the word
+            moved = simhash._home(near)
+            assert ((moved == home) | (moved != home)).all()
+        reached = [[int(simhash._home((b ^ (np.arange(n) == f)).astype(np.uint8)[None])[0]) == int(h) for f in range(n)] for b, h in zip(bits, home, strict=True)]
+        # a code word is home to itself and all n neighbours; another word has just its home's direction, or its own kind
+        assert all(sum(r) in (n, 1) for r in reached)
+
+
+def test_more_anchors_for_more_texts():
+    assert simhash.layout(10**6) == (0, 256) and simhash.layout(2**25)[0] == 1 and simhash.layout(2**25)[1] > 256
+    bits = np.random.default_rng(1).integers(0, 2, (5, simhash.WIDE_BITS)).astype(np.uint8)
+    assert simhash.slots(bits, 0, 20, 2).shape == (5, 20) and len(np.unique(simhash.slots(bits, 0, 20, 2))) == 100
 
 
 def test_rows_are_decided_one_by_one(spark):
