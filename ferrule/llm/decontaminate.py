@@ -7,20 +7,21 @@ sides. Kept document fingerprints are joined with the items' and each meeting is
 reaches WINDOW words is a hit. Items of fewer words are matched whole, at every position.
 
 The benchmark is the query set. It travels to the executors in blocks of at most BLOCK_BYTES of text; a benchmark
-above that takes one pass over the documents for each block. Documents are never shuffled.
+above that takes one pass over the texts for each block and one join of the rows that were hit at the end.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import saved
+from ferrule.llm.common import free_name, saved, with_values
 
 WINDOW, GRAM = 13, 5
 BLOCK_BYTES = 16_000_000
@@ -177,35 +178,51 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple
     yield block
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", prefix: str = "hit_", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs with the columns <prefix>words (int), <prefix>spans (array of start and end word) and <prefix>items
-    (array of item ids as text, sorted); the prefix must not clash with columns of docs.
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "contamination", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs with one more column of that name, which must be free: a struct of n_words, n_hit (long), spans (array of
+    start and end word), items (array of item ids as text, sorted), n_items, items_sha256 and contaminated.
 
-    Null and empty texts have no words; an item without words never occurs; an empty benchmark hits nothing; repeated
-    item ids count once; repeated documents stay repeated.
+    Null and empty texts have no words and are clean; texts of any length are read whole; an item without words never
+    occurs; an empty benchmark hits nothing; repeated item ids count once; repeated documents stay repeated; an empty
+    table gives an empty result. All columns of docs come back as they were, whatever their names.
+
+    A benchmark of one block takes one pass. A larger one takes a pass for each block over a written copy of the
+    texts under a row key, of which just the rows that a block hits are kept; these meet the documents in one join.
     """
-    names = [f"{prefix}{x}" for x in ("words", "spans", "items")]
-    if clash := set(names) & set(docs.columns):
-        raise ValueError(f"columns clash: {sorted(clash)}")
-    spark, out = docs.sparkSession, None
-    for block in blocks(benchmark, block_bytes):
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            bench = Benchmark(sent.value)
-            for batch in batches:
-                found = list(match(batch[text].tolist(), bench))
-                batch = batch.assign(**{"__words": [x[0] for x in found], "__spans": [[{"start": b, "end": e} for b, e in x[1]] for x in found], "__items": [x[2] for x in found]})
-                yield batch
-
-        base = docs if out is None else saved(out, "decontaminate-block")
-        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields), "__words int, __spans array<struct<start:int,end:int>>, __items array<string>"])
-        new = base.mapInPandas(run, schema)
-        if out is None:
-            out = new.withColumnsRenamed(dict(zip(("__words", "__spans", "__items"), names, strict=True)))
-        else:
-            out = new.withColumn(names[1], F.array_sort(F.concat(names[1], "__spans"))).withColumn(names[2], F.array_sort(F.array_union(names[2], "__items"))).drop("__words", "__spans", "__items")
-    return out.withColumn(names[1], _merged(names[1])) if out is not None else docs
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the column {name} is taken; see free_name()")
+    spark = docs.sparkSession
+
+    def hits_of(rows: DataFrame, column: str, block: list, names: list[str]) -> DataFrame:
+        sent, made = spark.sparkContext.broadcast(block), []
+
+        def run(texts: list) -> Iterator[tuple]:
+            if not made:
+                made.append(Benchmark(sent.value))
+            for n, spans, items in match(texts, made[0]):
+                yield n, [{"start": b, "end": e} for b, e in spans], items
+
+        return with_values(rows, f"`{names[0]}` int, `{names[1]}` array<struct<start:int,end:int>>, `{names[2]}` array<string>", run, column)
+
+    names = [free_name(docs.columns, x) for x in ("__words", "__spans", "__items")]
+    every = blocks(benchmark, block_bytes)
+    first = next(every)
+    second = next(every, None)
+    if second is None:
+        out = hits_of(docs, text, first, names)
+    else:
+        key = free_name(docs.columns, "__row")
+        base = saved(docs.withColumn(key, F.monotonically_increasing_id()), "decontaminate-rows")
+        texts, parts = base.select(F.col(key).alias("row"), F.col(text).alias("text")), []
+        for block in itertools.chain((first, second), every):
+            found = hits_of(texts, "text", block, ["words", "spans", "items"]).drop("text")
+            parts.append(saved(found if not parts else found.where("size(spans) > 0"), "decontaminate-block"))
+        whole = functools.reduce(DataFrame.unionAll, parts).groupBy("row").agg(F.max("words").alias(names[0]), F.array_sort(F.flatten(F.collect_list("spans"))).alias(names[1]), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(names[2]))
+        out = base.join(whole.withColumnRenamed("row", key), key).drop(key).withColumn(names[1], _merged(names[1]))
+    words, spans, items = (F.col(f"`{x}`") for x in names)
+    hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + (x["end"] - x["start"]).cast("long"))
+    judged = F.struct(words.cast("long").alias("n_words"), hit.alias("n_hit"), spans.alias("spans"), items.alias("items"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), ((hit > 0) & (20 * hit >= words)).alias("contaminated"))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns), judged.alias(name))
 
 
 def _merged(spans: str):
@@ -221,17 +238,10 @@ def _merged(spans: str):
     )
 
 
-def judged(found: DataFrame, prefix: str = "hit_") -> DataFrame:
-    """Adds n_words, n_hit, n_items, items_sha256 and contaminated, in place of the columns of contamination()."""
-    hit = F.aggregate(f"{prefix}spans", F.lit(0).cast("long"), lambda n, x: n + (x["end"] - x["start"]).cast("long"))
-    out = found.withColumn("n_words", F.col(f"{prefix}words").cast("long")).withColumn("n_hit", hit).withColumn("n_items", F.size(f"{prefix}items").cast("long"))
-    out = out.withColumn("items_sha256", F.sha2(F.array_join(f"{prefix}items", ","), 256))
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).drop(*(f"{prefix}{x}" for x in ("words", "spans", "items")))
-
-
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return judged(contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))).drop("text")
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", *(f"contamination.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")))
 
 
 SQL = r"""

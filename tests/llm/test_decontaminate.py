@@ -33,12 +33,11 @@ def test_against_brute_force(spark, size):
     texts, items = some()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = dc.contamination(docs, spark.createDataFrame(items, "item_id string, text string"), block_bytes=size)
-    rows = {r.doc_id: r for r in found.collect()}
+    rows = {r.doc_id: r.contamination for r in found.collect()}
     for i, text in enumerate(texts):
         r = rows[i]
-        assert (r.hit_words, sum(s.end - s.start for s in r.hit_spans), r.hit_items) == brute(text, items)
-    judged = {r.doc_id: r for r in dc.judged(found).collect()}
-    assert all(r.contaminated == (r.n_hit > 0 and 20 * r.n_hit >= r.n_words) for r in judged.values())
+        assert (r.n_words, r.n_hit, r["items"]) == brute(text, items) and r.n_hit == sum(s.end - s.start for s in r.spans)
+        assert r.n_items == len(r["items"]) and r.contaminated == (r.n_hit > 0 and 20 * r.n_hit >= r.n_words)
 
 
 def test_winnowing_keeps_one_of_every_window():
@@ -49,10 +48,19 @@ def test_winnowing_keeps_one_of_every_window():
 
 def test_odd_rows(spark, odd, nothing):
     bench = spark.createDataFrame([(1, "the same words again"), (1, "the same words again"), (None, "no id"), (3, None)], "item_id long, text string")
-    out = dc.contamination(odd, bench, prefix="bench_")
+    out = dc.contamination(odd, bench, name="found")
     got = out.collect()
-    assert out.columns[: len(odd.columns)] == odd.columns and len(got) == odd.count()
-    assert [r.bench_items for r in got if r.doc_id == 1] == [["1"]] and [r.bench_items for r in got if r.doc_id is None] == [[""]]
-    assert dc.contamination(nothing, bench).count() == 0 and dc.contamination(odd, bench.limit(0)).where("size(hit_items) > 0").count() == 0
+    assert out.columns == [*odd.columns, "found"] and len(got) == odd.count()
+    assert [r.found["items"] for r in got if r.doc_id == 1] == [["1"]] and [r.found["items"] for r in got if r.doc_id is None] == [[""]]
+    assert dc.contamination(nothing, bench).count() == 0 and dc.contamination(odd, bench.limit(0)).where("contamination.n_hit > 0").count() == 0
     with pytest.raises(ValueError):
-        dc.contamination(odd.withColumn("hit_words", odd.doc_id), bench)
+        dc.contamination(odd.withColumn("Contamination", odd.doc_id), bench)
+
+
+@pytest.mark.parametrize("size", [10**9, 30])
+def test_columns_of_any_name_come_back(spark, odd, size):
+    bench = spark.createDataFrame([(1, "the same words again"), (2, "no id")], "item_id long, text string")
+    docs = odd.selectExpr("*", "777L as n_words", "true as contaminated", "struct(1 as `a b`) as s", "'k' as __row", "'w' as __words", "array(1) as items")
+    got = dc.contamination(docs, bench, block_bytes=size)
+    assert got.columns == [*docs.columns, "contamination"]
+    assert sorted(map(str, got.drop("contamination").collect())) == sorted(map(str, docs.collect()))
