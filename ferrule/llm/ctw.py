@@ -199,7 +199,6 @@ class Chunk:
     """The texts of a chunk and the keys it asks for."""
 
     def __init__(self, frame: pd.DataFrame):
-        frame = frame.sort_values(["doc_id"], kind="stable")
         self.frame = frame
         self.words = [tokens(t) for t in frame["text"]]
         self.texts = [b" ".join(w) + END for w in self.words]
@@ -257,11 +256,9 @@ class Chunk:
 
 def _dealt(kind: str, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, buckets: int) -> Iterator[dict]:
     order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in range(buckets):
-        own = order[ends[b] : ends[b + 1]]
-        if len(own):
-            yield {"kind": kind, "bucket": b, "keys": packed(np.diff(keys[own], prepend=np.uint64(0))), "counts": packed(counts[own])}
+    found, at = np.unique(bucket[order], return_index=True)
+    for b, own in zip(found.tolist(), np.split(order, at[1:]) if len(order) else [], strict=True):
+        yield {"kind": kind, "bucket": b, "keys": packed(np.diff(keys[own], prepend=np.uint64(0))), "counts": packed(counts[own])}
 
 
 def _merged(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -278,7 +275,8 @@ def scored(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     chunks = max(1, math.ceil(total_bytes(docs) / chunk_bytes))
     buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, chunks // 8))
     kind = dict(docs.dtypes)["doc_id"]
-    dealt = docs.select("doc_id", "text", "held_out", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(chunks)).alias("chunk"))
+    # the id travels as text: a null among numbers would turn them all into doubles
+    dealt = docs.select(F.col("doc_id").cast("string"), "text", "held_out", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"))
 
     def ask(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(list(Chunk(frame).asked(buckets))).assign(chunk=key[0])
@@ -311,8 +309,9 @@ def scored(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         of = {k: np.concatenate([np.zeros(0, t), *(unpacked(b, t) for b in got.loc[got["kind"] == k, "answers"])]) for k, t in (("g", np.float32), ("w", np.int64))}
         return Chunk(frame).scores(of["g"], of["w"], n, v, buckets)
 
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, schema)
+    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
+    out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, schema)
+    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -31,7 +31,9 @@ from ferrule.llm.ctw import packed, unpacked
 
 WIDTH, GRAM = 100, 40
 CHUNK_BYTES, BATCH_BYTES = 4_000_000, 2_000_000
-LEAST_BUCKETS, MOST_BUCKETS = 16, 4096
+LEAST_BUCKETS = 16
+#: Bytes of text whose anchors are found together; their places take the low _INDEX_BITS of a number.
+SECTION = 1 << 22
 HOT = 20_000
 #: Ends a document in a transform; no byte of UTF-8.
 DONE = 255
@@ -135,9 +137,21 @@ class Anchors:
     last: np.ndarray
 
 
-def anchors(flat: np.ndarray, lengths: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> Anchors:
+def anchors(flat: np.ndarray, lengths: np.ndarray, width: int = WIDTH, gram: int = GRAM, section: int = SECTION) -> Anchors:
+    """The anchors of concatenated texts of these lengths; strings that start in one section are dealt with together."""
+    ends = np.cumsum(lengths)
+    edge = np.zeros(len(flat) + 1, np.int8)
+    long = lengths >= width
+    np.add.at(edge, (ends - lengths)[long], 1)
+    np.add.at(edge, ends[long] - width + 1, -1)
+    valid = np.cumsum(edge[:-1], dtype=np.int8) > 0
+    found = [_anchors(flat[at : at + section + width - 1], valid[at : at + section], at, width, gram) for at in range(0, max(1, len(flat)), section)]
+    return Anchors(*(np.concatenate([getattr(x, c) for x in found]) for c in ("hashes", "first", "last")))
+
+
+def _anchors(flat: np.ndarray, valid: np.ndarray, offset: int, width: int, gram: int) -> Anchors:
     none = np.zeros(0, np.int64)
-    if len(flat) < width:
+    if len(flat) < width or not valid.any():
         return Anchors(np.zeros(0, np.uint64), none, none)
     n = len(flat) - gram + 1
     powers = np.full(len(flat), _ROOT, np.uint64)
@@ -157,17 +171,10 @@ def anchors(flat: np.ndarray, lengths: np.ndarray, width: int = WIDTH, gram: int
         least = np.minimum(least[: len(least) - step], least[step:])
         covered += step
     own = (least & np.uint64((1 << _INDEX_BITS) - 1)).astype(np.int64)
-    ends = np.cumsum(lengths)
-    valid = np.zeros(len(own) + 1, np.int64)
-    long = lengths >= width
-    np.add.at(valid, (ends - lengths)[long], 1)
-    np.add.at(valid, ends[long] - width + 1, -1)
-    starts = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
+    starts = np.flatnonzero(valid[: len(own)])
     own = own[starts]
-    if not len(own):
-        return Anchors(np.zeros(0, np.uint64), none, none)
     turn = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (starts[1:] != starts[:-1] + 1))))
-    return Anchors(hashes[own[turn]], starts[turn], starts[np.append(turn[1:], len(own)) - 1])
+    return Anchors(hashes[own[turn]], starts[turn] + offset, starts[np.append(turn[1:], len(own)) - 1] + offset)
 
 
 class Batch:
@@ -182,8 +189,9 @@ class Batch:
 
 
 def batches(frame: pd.DataFrame) -> Iterator[Batch]:
-    frame = frame.sort_values("place", kind="stable")
     ids, texts = frame["place"].to_numpy(np.int64), [(t or "").encode("utf-8", "surrogatepass") for t in frame["text"]]
+    order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))  # rows that share a place stand in the order of their texts
+    ids, texts = ids[order], [texts[i] for i in order]
     at = 0
     while at < len(texts):
         end, size = at, 0
@@ -197,14 +205,14 @@ def batches(frame: pd.DataFrame) -> Iterator[Batch]:
 def asked(frame: pd.DataFrame, buckets: int) -> Iterator[dict]:
     """The chunk's anchors with their counts, by bucket."""
     keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *(b.anchors.hashes for b in batches(frame))]), return_counts=True)
-    for b, own in _by_bucket(keys % np.uint64(buckets), buckets):
+    for b, own in _by_bucket(keys % np.uint64(buckets)):
         yield {"bucket": b, "keys": packed(keys[own]), "counts": packed(counts[own].astype(np.uint32))}
 
 
-def _by_bucket(of: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+def _by_bucket(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(of, kind="stable")
-    ends = np.searchsorted(of[order], np.arange(buckets + 1, dtype=of.dtype))
-    return ((b, order[ends[b] : ends[b + 1]]) for b in range(buckets) if ends[b] < ends[b + 1])
+    found, at = np.unique(of[order], return_index=True)
+    return zip(found.tolist(), np.split(order, at[1:]), strict=True) if len(of) else iter(())
 
 
 def repeated(frame: pd.DataFrame, hot: int = HOT) -> pd.DataFrame:
@@ -330,13 +338,16 @@ def removed(frame: pd.DataFrame, answers: pd.DataFrame, buckets: int) -> Iterato
 def deduplicated(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, spans (removed runs: start and end byte), kept (the remaining bytes).
 
-    Texts shorter than WIDTH bytes, null and empty ones keep all they have. A null doc_id counts as smaller than any
-    other. Rows that share a doc_id count one after another in no fixed order, with places of one document.
+    Texts shorter than WIDTH bytes, null and empty ones keep all they have; a text of any length is taken whole. A null
+    doc_id counts as smaller than any other; ids that aren't whole numbers are ordered by a hash. Rows that share a
+    doc_id count one after another in the order of their texts, with places of one document. Other columns are ignored;
+    an empty table gives an empty result.
     """
     kind = dict(docs.dtypes)["doc_id"]
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
     chunks = max(1, math.ceil(total_bytes(docs) / chunk_bytes))
-    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, chunks // 4))
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
+    buckets = max(LEAST_BUCKETS, chunks // 4)
+    place = F.when(F.col("doc_id").isNull(), F.lit(-(1 << 62))).otherwise(F.col("doc_id").cast("long") if whole else F.xxhash64("doc_id"))
     texts = docs.select(place.alias("place"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk"))
 
     def ask(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -359,8 +370,10 @@ def deduplicated(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, hot: int = HOT
     verdicts = saved(strings.groupBy("bucket").applyInPandas(judged, "chunk long, bucket int, kind string, answer binary"), "verdicts", free=True)
     both = known.unionByName(verdicts).groupBy("chunk")
     out = texts.groupBy("chunk").cogroup(both).applyInPandas(finish, "place long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
-    doc_id = F.when(F.col("place") != -(1 << 62), F.col("place")).cast(kind)
-    return out.select(doc_id.alias("doc_id"), "n_bytes", "spans", "kept")
+    if whole:
+        return out.select(F.when(F.col("place") != -(1 << 62), F.col("place")).cast(kind).alias("doc_id"), "n_bytes", "spans", "kept")
+    names = docs.select(place.alias("place"), "doc_id").distinct()
+    return out.join(names, "place").select("doc_id", "n_bytes", "spans", "kept")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
