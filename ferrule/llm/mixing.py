@@ -20,7 +20,7 @@ from ferrule.llm.common import SPACE, saved
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 SEED = "mix-1"
 #: Documents of one size class and source that one strand holds, about.
-STRAND_ROWS = 20_000
+STRAND_ROWS = 2_000
 #: Steps of the size classes in each doubling of the size.
 STEPS = 16
 
@@ -63,14 +63,23 @@ def offset(source: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(2**48))
 
 
-def mixed(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED, strand_rows: int = STRAND_ROWS) -> DataFrame:
+def strand_of(strands: Column) -> Column:
+    """A document's strand, by 48 bits of the MD5 of its id and size: ids with a common divisor spread all the same."""
+    named = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("size").cast("string"))
+    return F.pmod(F.conv(F.substring(F.md5(named.cast("binary")), 1, 12), 16, 10).cast("long"), strands)
+
+
+def mixed(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED, strand_rows: int = STRAND_ROWS, ties: tuple[str, ...] = ()) -> DataFrame:
     """sized (doc_id, source, size) with source_size, target, copies (int) and taken (copies times size).
 
+    ties: further columns of sized, which order rows of equal doc_id and size and are returned first.
+
     A null source is a source of its own; documents of size zero get copies like any other and take nothing; a source
-    of size zero has target zero and no copies; repeated rows count as documents of their own. An empty table gives
-    an empty result. No copies exceed `most` rounded up.
+    of size zero has target zero and no copies; repeated rows count as documents of their own, and null ids and ids of
+    any type do; a text of any length counts whole; other columns are ignored. An empty table gives an empty result. No
+    copies exceed `most` rounded up.
     """
-    rows = sized.select("doc_id", "source", "size").withColumn("class", size_class(F.col("size")))
+    rows = sized.select(*ties, "doc_id", "source", "size").withColumn("class", size_class(F.col("size")))
     n_rows = rows.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     classes = saved(n_rows, "mix-classes")
     total = targets(classes.groupBy("source").agg(F.sum("s").alias("source_size")), weights, share, most)
@@ -81,17 +90,17 @@ def mixed(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float =
     total = total.select(F.col("source").alias("t_source"), "source_size", "target")
     frame = first.join(total, F.col("c_source").eqNullSafe(F.col("t_source"))).drop("t_source")
     placed = rows.join(frame, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("class") == F.col("c_class"))).drop("c_source", "c_class")
-    placed = placed.withColumn("strand", F.coalesce(F.pmod(F.col("doc_id"), F.col("strands")), F.lit(0).cast("long")))
+    placed = placed.withColumn("strand", strand_of(F.col("strands")))
     cells = placed.groupBy("source", "class", "strand").agg(F.count("*").alias("n"))
     in_class = Window.partitionBy("source", "class").orderBy("strand").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("cell_at", F.coalesce(F.sum("n").over(in_class), F.lit(0))).select(F.col("source").alias("c_source"), F.col("class").alias("c_class"), F.col("strand").alias("c_strand"), "cell_at")
     out = placed.join(cells, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("class") == F.col("c_class")) & (F.col("strand") == F.col("c_strand")))
-    in_cell = Window.partitionBy("source", "class", "strand").orderBy("doc_id", "size")
+    in_cell = Window.partitionBy("source", "class", "strand").orderBy("doc_id", "size", *ties)
     rank = F.col("class_at") + F.col("cell_at") + F.row_number().over(in_cell) - 1
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     out = out.withColumn("rank", rank).withColumn("each", each).withColumn("at", offset(F.col("source"), seed))
     copies = F.floor((F.col("rank") + 1) * F.col("each") + F.col("at")) - F.floor(F.col("rank") * F.col("each") + F.col("at"))
-    return out.withColumn("copies", copies.cast("int")).select("doc_id", "source", "size", F.col("source_size").cast("long"), "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return out.withColumn("copies", copies.cast("int")).select(*ties, "doc_id", "source", "size", F.col("source_size").cast("long"), "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -118,8 +127,8 @@ tg AS (SELECT source, CASE WHEN ratio <= level THEN bound
 r AS (
   SELECT *, CASE WHEN size <= 0 THEN -1 ELSE k * 16 + ((size - (1::BIGINT << k)) * 16) // (1::BIGINT << k) END AS class
   FROM (SELECT *, CASE WHEN size > 0 THEN length(bin(size)) - 1 ELSE 0 END AS k FROM d)),
-c AS (SELECT *, ceil(count(*) OVER (PARTITION BY source, class) / 20000.0)::BIGINT AS strands FROM r),
-o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY class, doc_id % strands, doc_id, size) - 1 AS rank,
+c AS (SELECT *, ceil(count(*) OVER (PARTITION BY source, class) / 2000.0)::BIGINT AS strands FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY class, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || size::VARCHAR), 1, 12))::BIGINT % strands, doc_id, size) - 1 AS rank,
         (('0x' || substr(md5('mix-1:' || coalesce('s' || source, 'n')), 1, 12))::BIGINT)::DOUBLE / 281474976710656.0 AS shift FROM c)
 SELECT doc_id, size, source_size::BIGINT AS source_size, target, copies::INT AS copies, (copies * size)::BIGINT AS taken
 FROM (SELECT o.*, s.source_size, tg.target,

@@ -25,6 +25,8 @@ from ferrule.llm.common import new_path, saved
 ARCHIVE_BYTES = 64_000_000
 #: A read spans at most so many bytes, and gaps between selected records of at most so many.
 READ_BYTES, GAP_BYTES = 8_000_000, 65_536
+#: Compressed bytes of an archive that one task reads.
+UNIT_BYTES = 16_000_000
 #: Pieces into which the pages of one payload are cut for the join with the payload's holder.
 SALTS = 16
 DATE = "2024-01-01T00:00:00Z"
@@ -76,8 +78,8 @@ def write(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes pages (page_id, url, html) as archives; the index, one row per page.
 
     A null html is an empty payload. Rows with equal payload and the same page_id are all responses if theirs is the
-    largest. A null page_id is smaller than any other; it stays null, and its record's id is random. Without any page
-    no archive is written and the index is empty.
+    largest. A null page_id is smaller than any other; it stays null, and its record's id is random. A page of any length
+    is one record; other columns are ignored. Without any page no archive is written and the index is empty.
     """
     spark, folder = pages.sparkSession, new_path(pages.sparkSession, "warc")
     kind = dict(pages.dtypes)["page_id"]
@@ -156,7 +158,10 @@ def read(index: DataFrame) -> DataFrame:
 
     schema = "page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary"
     ids = {c: F.col(c).cast("string") for c in ("page_id", "refers_to")}
-    sorted_index = index.select("archive", "offset", "length", "page_id", "refers_to").withColumns(ids).repartition("archive").sortWithinPartitions("archive", "offset")
+    # tasks by bytes to read, not by the few bytes of their index rows, which the adaptive planner would join to one task
+    total = index.agg(F.sum("length")).first()[0] or 0
+    chosen = index.select("archive", "offset", "length", "page_id", "refers_to").withColumns(ids)
+    sorted_index = chosen.repartition(int(total // UNIT_BYTES) + 1, "archive", F.floor(F.col("offset") / UNIT_BYTES)).sortWithinPartitions("archive", "offset")
     return sorted_index.mapInPandas(run, schema).withColumns({c: F.col(c).cast(kind) for c in ids})
 
 
