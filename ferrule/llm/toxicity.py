@@ -15,11 +15,13 @@ being a running hash of its word; a match then begins where words begin.
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ THRESHOLD = 0.7
 FIT_ROWS = 3000
 #: Words of a window, and from one window's beginning to the next.
 WINDOW, STEP = 3, 2
+#: Words of a passage. A passage is compressed as a whole first, and its windows only where it gains.
+PASSAGE = 15
 #: Bytes of a dictionary, and its trainer's segment and shortest match.
 DICTIONARY_BYTES, TRAIN_K, TRAIN_D = 8192, 42, 8
 #: Words of a sample of ordinary text, and samples of it that the trainer takes, spread over all ordinary rows.
@@ -186,8 +190,13 @@ class Model:
         return len(ordinary(text)) - len(toxic(text))
 
     def gains(self, words: list[bytes]) -> list[int]:
-        """The gains of the windows that have any."""
-        return [g for w in windows(words) if (g := self.gain(w)) >= GAINS.start]
+        """The gains of the windows that have any, in passages that have any."""
+        found: list[int] = []
+        for at in range(0, len(words), PASSAGE - WINDOW + 1):
+            passage = words[at : at + PASSAGE]
+            if self.gain(passage) >= GAINS.start:
+                found += [g for w in windows(passage) if (g := self.gain(w)) >= GAINS.start]
+        return found
 
     def score(self, text: str | None) -> float:
         words = words_of(text)
@@ -245,10 +254,10 @@ def fit(rows: list[tuple[str | None, int]], odds: float | None = None) -> Model:
     return Model(dictionaries(texts, toxic), best[1], best[2])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[list[tuple[str | None, int]], float | None]:
-    """A bounded sample of the labelled documents outside the held-out fold, by hash order, with whole texts, and the
-    odds of a toxic label among all of them. Of repeated labels the largest counts, null labels and ids don't. Empty
-    tables give no rows."""
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """(text, toxic, rank, odds): a bounded sample of the labelled documents outside the held-out fold, by hash order,
+    with whole texts, and the odds of a toxic label among all of them (null where there is just one label). Of repeated
+    labels the largest counts, null labels and ids don't. Empty tables give no rows."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.where(F.pmod(id_crc(), F.lit(3)) != 1).withColumn("rank", F.xxhash64("doc_id", F.lit("toxicity")))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -256,14 +265,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> t
     for y in (0, 1):
         part = known.where(F.col("toxic") == y).orderBy("rank").limit(rows)
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = [(r["text"], r["toxic"]) for r in texts.select("text", "toxic", "rank").orderBy("rank", "text").toLocalIterator()]
-    return found, counts[1] / counts[0] if len(counts) == 2 else None
+    odds = F.lit(counts[1] / counts[0] if len(counts) == 2 else None).cast("double")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "rank", odds.alias("odds"))  # at most 2 * rows rows
 
 
 def model_of(docs: DataFrame, labels: DataFrame) -> Model:
-    """fit() of training_rows()."""
-    return fit(*training_rows(docs, labels))
+    """fit() of training_rows(), in one task, as these are bounded; what reaches the driver are the dictionaries."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, odds = [], None
+        for batch in batches:
+            found += zip(batch["text"], batch["toxic"].tolist(), strict=True)
+            odds = batch["odds"].iloc[0] if len(batch) else odds
+        yield pd.DataFrame({"model": [pickle.dumps(fit(found, None if odds is None or odds != odds else float(odds)))]})
+
+    rows = training_rows(docs, labels).repartition(1).sortWithinPartitions("rank", "text")
+    made = rows.select("text", "toxic", "odds").mapInPandas(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else fit([])
 
 
 def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:

@@ -57,8 +57,8 @@ def test_whole_texts_are_learned_from(spark):
     assert model.gain([b"lorem", b"nastyword", b"ipsum"]) >= model.least
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
-    got, odds = toxicity.training_rows(docs, labels)
-    assert max(len(t) for t, _ in got) > 30_000 and 0 < odds < 1
+    got = toxicity.training_rows(docs, labels).collect()
+    assert max(len(r.text) for r in got) > 30_000 and all(0 < r.odds < 1 for r in got)
 
 
 def test_without_labels():
@@ -71,4 +71,4 @@ def test_operator(spark, odd, nothing):
     out = toxicity.scored(odd, model, "tox")
     got = out.collect()
     assert out.columns == [*odd.columns, "tox"] and len(got) == odd.count() and all(0 <= r.tox <= 1 for r in got)
-    assert toxicity.scored(nothing, model, "tox").count() == 0 and toxicity.training_rows(nothing, labels)[0] == []
+    assert toxicity.scored(nothing, model, "tox").count() == 0 and toxicity.training_rows(nothing, labels).count() == 0 and toxicity.model_of(nothing, labels).score("x") < 0.01
