@@ -6,10 +6,14 @@ is Krichevsky-Trofimov's; its weighted probability is half its own and half the
 learned are the counts alone, as the estimates don't depend on the order of the training bytes. The weights after
 training mix all depths into one probability; a context never seen in training leaves it to the shorter ones.
 
-The texts are dealt into chunks of about CHUNK_BYTES. A chunk sends its distinct (DEPTH + 1)-byte strings and words,
-with their training counts, to buckets. A bucket of byte strings holds whole subtrees, those below the contexts of two
-bytes; only the 255 * 256 nodes above them pass the driver. Each bucket answers a chunk with the values of just what it
-asked, in the order it asked, and the chunk then scores its texts. So no table that grows is ever broadcast.
+The texts are dealt into chunks of about CHUNK_BYTES as they are read. A chunk sends its distinct (DEPTH + 1)-byte
+strings and words, with their training counts, to buckets, of which there are as many as the corpus needs. A bucket of
+byte strings holds whole subtrees, those below contexts of NEAR bytes, and adds up the chunks' counts one after another.
+The nodes between are sums over buckets; each bucket gets back those that lie above its own, and only the 255 * 256 nodes
+of no and of one byte of context pass the driver. Each bucket answers a chunk with the values of just what it asked, in
+the order it asked, and the chunk then scores its texts. So no table that grows is ever broadcast.
+
+The text that is scored is the contract's token sequence, joined by single blanks: a text's own white space is not.
 """
 
 from __future__ import annotations
@@ -27,12 +31,14 @@ from pyspark.sql import functions as F
 
 from ferrule.llm.common import id_crc, saved, total_bytes
 
-#: Bytes of context; byte strings of DEPTH + 1 fit 48 bits.
-DEPTH = 5
+#: Bytes of context; byte strings of DEPTH + 1 fit 48 bits. A bucket has all contexts that share the nearest NEAR bytes.
+DEPTH, NEAR = 5, 3
 CHUNK_BYTES = 6_000_000
+#: Chunks whose strings one bucket gets on average, and at least so many buckets; keys that are added up together.
+CHUNKS_A_BUCKET, LEAST_BUCKETS = 4, 8
+MERGE_KEYS = 2_000_000
 #: Texts that are sorted together.
 BATCH_BYTES, BATCH_TEXTS = 4_000_000, 60_000
-LEAST_BUCKETS, MOST_BUCKETS = 8, 4096
 END = b"\n"
 
 LOG_HALF = math.log(0.5)
@@ -117,9 +123,10 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def string_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """By the two bytes before the last, so that a bucket has whole subtrees."""
-    near = (keys >> np.uint64(8)) & np.uint64(0xFFFF)
-    return ((near * np.uint64(40503) >> np.uint64(3)) % np.uint64(buckets)).astype(np.int64)
+    """By the NEAR bytes before the last, so that a bucket has whole subtrees."""
+    near = (keys >> np.uint64(8)) & np.uint64((1 << 8 * NEAR) - 1)
+    near = near * np.uint64(0x9E3779B97F4A7C15)
+    return ((near >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
 def word_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -127,23 +134,25 @@ def word_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class Nodes:
-    """The nodes of the eight bit positions' trees from DEPTH up to two bytes of context, from distinct strings."""
+    """The nodes of the eight bit positions' trees from DEPTH up to NEAR bytes of context, from distinct strings; one
+    position after another is built, so that just one is in memory."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        last = (keys & np.uint64(0xFF)).astype(np.int64)
-        context = np.zeros(len(keys), np.uint64)
+        self.counts, self.last = counts, (keys & np.uint64(0xFF)).astype(np.int64)
+        self.context = np.zeros(len(keys), np.uint64)
         for d in range(1, DEPTH + 1):  # the nearest byte becomes the highest
-            context = context << np.uint64(8) | (keys >> np.uint64(8 * d)) & np.uint64(0xFF)
-        self.bits = []
+            self.context = self.context << np.uint64(8) | (keys >> np.uint64(8 * d)) & np.uint64(0xFF)
+
+    def positions(self) -> Iterator[tuple]:
         for j in range(8):
-            prefix = (1 << j) | (last >> (8 - j))
-            bit = (last >> (7 - j)) & 1
-            node, row = np.unique(prefix.astype(np.uint64) << np.uint64(8 * DEPTH) | context, return_inverse=True)
-            zeros, ones = (np.bincount(row, weights=np.where(bit == b, counts, 0), minlength=len(node)) for b in (0, 1))
+            prefix = (1 << j) | (self.last >> (8 - j))
+            bit = (self.last >> (7 - j)) & 1
+            node, row = np.unique(prefix.astype(np.uint64) << np.uint64(8 * DEPTH) | self.context, return_inverse=True)
+            zeros, ones = (np.bincount(row, weights=np.where(bit == b, self.counts, 0), minlength=len(node)) for b in (0, 1))
             weighted = kt_log(zeros, ones)
             levels, up = [(zeros, ones, None)], []
             key = node
-            for _ in range(DEPTH - 2):
+            for _ in range(DEPTH - NEAR):
                 key = key >> np.uint64(8)
                 starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
                 up.append(np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(key)))))
@@ -151,21 +160,25 @@ class Nodes:
                 own = LOG_HALF + kt_log(zeros, ones)
                 weighted = np.logaddexp(own, LOG_HALF + below)
                 levels.append((zeros, ones, np.exp(own - weighted)))
-            self.bits.append((bit, row, levels, up, key, weighted))
+            # the node above is that of the NEAR - 1 nearest bytes: prefix and near as one number
+            yield bit, row, levels, up, (key >> np.uint64(8)).astype(np.int64), weighted
 
     def top(self) -> pd.DataFrame:
-        """Per nearest byte and prefix: counts and the summed log weights of the two-byte contexts."""
+        """Per node of NEAR - 1 bytes of context: counts and the summed log weights of its children here."""
         found = []
-        for _, _, levels, _, key, weighted in self.bits:
+        for _, _, levels, _, key, weighted in self.positions():
             zeros, ones, _ = levels[-1]
-            found.append(pd.DataFrame({"prefix": (key >> np.uint64(16)).astype(np.int64), "near": (key >> np.uint64(8)).astype(np.int64) & 0xFF, "zeros": zeros, "ones": ones, "weighted": weighted}))
-        return pd.concat(found).groupby(["prefix", "near"], as_index=False).sum()
+            found.append(pd.DataFrame({"node": key, "zeros": zeros, "ones": ones, "weighted": weighted}))
+        return pd.concat(found).groupby("node", as_index=False).sum() if found else pd.DataFrame()
 
-    def log10(self, above: tuple[np.ndarray, ...]) -> np.ndarray:
-        """For each string the log10 of the probability of its last byte; above: see above()."""
+    def log10(self, nodes: pd.DataFrame, above: tuple[np.ndarray, ...]) -> np.ndarray:
+        """For each string the log10 of the probability of its last byte; nodes: those of top(), completed by
+        completed(); above: see above()."""
         beta0, one0, total0, beta1, one1, total1 = above
+        nodes = nodes.sort_values("node")
+        known, beta2, one2, total2 = (nodes[c].to_numpy() for c in ("node", "beta", "one", "total"))
         out = 0.0
-        for bit, row, levels, up, key, _ in self.bits:
+        for bit, row, levels, up, key, _ in self.positions():
             zeros, ones, _ = levels[0]
             mixed, total = (ones + 0.5) / (zeros + ones + 1.0), zeros + ones
             place = np.arange(len(mixed))
@@ -174,14 +187,24 @@ class Nodes:
                 own = ((ones + 0.5) / (zeros + ones + 1.0))[place]
                 mixed = np.where(total > 0, beta[place] * own + (1 - beta[place]) * mixed, own)
                 total = (zeros + ones)[place]
-            prefix, near = (key >> np.uint64(16)).astype(np.int64)[place], ((key >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64)[place]
+            at = np.searchsorted(known, key)[place]
+            mixed = np.where(total > 0, beta2[at] * one2[at] + (1 - beta2[at]) * mixed, one2[at])
+            prefix, near = key[place] >> 16, (key[place] >> 8) & 0xFF
             b, own = beta1[prefix, near], one1[prefix, near]
-            mixed = np.where(total > 0, b * own + (1 - b) * mixed, own)
+            mixed = np.where(total2[at] > 0, b * own + (1 - b) * mixed, own)
             mixed = np.where(total1[prefix, near] > 0, beta0[prefix] * one0[prefix] + (1 - beta0[prefix]) * mixed, one0[prefix])
             out = out + np.log10(np.where(bit == 1, mixed[row], 1 - mixed[row]))
         return out
 
 
+def completed(nodes: pd.DataFrame) -> pd.DataFrame:
+    """Nodes with the sums of their counts and of their children's log weights: weight, chance of a one and count."""
+    zeros, ones = nodes["zeros"].to_numpy(), nodes["ones"].to_numpy()
+    own = LOG_HALF + kt_log(zeros, ones)
+    weighted = np.logaddexp(own, LOG_HALF + nodes["weighted"].to_numpy())
+    return nodes.assign(weighted=weighted, beta=np.exp(own - weighted), one=(ones + 0.5) / (zeros + ones + 1.0), total=zeros + ones)
+
+
 def above(top: pd.DataFrame) -> tuple[np.ndarray, ...]:
     """Weight, chance of a one and count of the nodes of no and of one byte of context, from the summed top() rows."""
     zeros, ones, below = (np.zeros((256, 256)) for _ in range(3))
@@ -198,11 +221,18 @@ def above(top: pd.DataFrame) -> tuple[np.ndarray, ...]:
 class Chunk:
     """The texts of a chunk and the keys it asks for."""
 
-    def __init__(self, frame: pd.DataFrame):
-        self.frame = frame
-        self.words = [tokens(t) for t in frame["text"]]
+    def __init__(self, texts: list[str | None], held: np.ndarray):
+        self.words = [tokens(t) for t in texts]
         self.texts = [b" ".join(w) + END for w in self.words]
-        self.held = frame["held_out"].to_numpy(bool)
+        self.held = held
+
+    def packed(self) -> dict:
+        """The texts as one row."""
+        return {"kind": "t", "bucket": -1, "keys": packed(np.frombuffer(b"".join(self.texts), np.uint8)), "counts": packed(np.packbits(self.held))}
+
+    @classmethod
+    def unpacked(cls, texts: bytes, held: bytes, n: int) -> Chunk:
+        return cls(unpacked(texts, np.uint8).tobytes().decode("utf-8", "surrogatepass").split(END.decode())[:-1], np.unpackbits(unpacked(held, np.uint8))[:n].astype(bool))
 
     def strings(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct byte strings, sorted, and how often each occurs in training texts."""
@@ -230,7 +260,7 @@ class Chunk:
         every, keys = self.vocabulary()
         yield from _dealt("w", keys, np.array([seen[w] for w in every], np.int64), word_bucket(keys, buckets), buckets)
 
-    def scores(self, of_strings: np.ndarray, of_words: np.ndarray, n: int, v: int, buckets: int) -> pd.DataFrame:
+    def scores(self, of_strings: np.ndarray, of_words: np.ndarray, n: int, v: int, buckets: int) -> dict:
         """of_strings, of_words: the answers, by bucket and in the order asked."""
         parts = [(part, *placed(self.texts[part])) for part in batches_of(self.texts)]
         keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *(x[1] for x in parts)]))
@@ -246,12 +276,12 @@ class Chunk:
         whole = math.log10(n + 0.1 * (v + 1))
         known = dict(zip(every, (counts > 0).tolist(), strict=True))
         logs_of = dict(zip(every, (np.log10(counts + 0.1) - whole).tolist(), strict=True))
-        return pd.DataFrame({
-            "doc_id": self.frame["doc_id"], "held_out": self.held, "n_tokens": [len(w) + 1 for w in self.words],
+        return {
+            "held_out": self.held, "n_tokens": [len(w) + 1 for w in self.words],
             "n_known": [sum(map(known.__getitem__, w)) + known[END] for w in self.words], "train_tokens": n,
             "base_score": [math.fsum(map(logs_of.__getitem__, w)) + logs_of[END] for w in self.words], "score": score,
             "n_bytes": [len(t) for t in self.texts], "bits_per_byte": [-s / math.log10(2) / len(t) for s, t in zip(score.tolist(), self.texts, strict=True)],
-        })
+        }
 
 
 def _dealt(kind: str, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, buckets: int) -> Iterator[dict]:
@@ -261,56 +291,109 @@ def _dealt(kind: str, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray,
         yield {"kind": kind, "bucket": b, "keys": packed(np.diff(keys[own], prepend=np.uint64(0))), "counts": packed(counts[own])}
 
 
-def _merged(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    each = [np.cumsum(unpacked(b, np.uint64), dtype=np.uint64) for b in frame["keys"]]
-    return each, *summed(np.concatenate(each), np.concatenate([unpacked(b, np.int64) for b in frame["counts"]]))
+def _keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob, np.uint64), dtype=np.uint64)
+
+
+def _merged(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of all chunks with their counts, added up chunk by chunk."""
+    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    held, size = [(keys, counts)], 0
+    for blob, of in zip(frame["keys"], frame["counts"], strict=True):
+        held.append((_keys(blob), unpacked(of, np.int64)))
+        size += len(held[-1][0])
+        if size >= MERGE_KEYS:
+            held, size = [summed(*(np.concatenate(x) for x in zip(*held, strict=True)))], 0
+    return summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
 def scored(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """docs (doc_id, text, held_out): one row per row with the columns of Chunk.scores().
 
-    Rows whose held_out is false are learned from. Null and empty texts are one end. Without training rows every bit
-    has chance one half and no token is known. Repeated rows count as often as they occur.
+    Rows whose held_out is false are learned from. Null and empty texts are one end; a text of any length is scored
+    whole. Without training rows every bit has chance one half and no token is known. Repeated rows count as often as
+    they occur; equal texts score alike; ids may be null and of any type; other columns are ignored. An empty table
+    gives an empty result.
     """
     chunks = max(1, math.ceil(total_bytes(docs) / chunk_bytes))
-    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, chunks // 8))
+    buckets = max(LEAST_BUCKETS, chunks // CHUNKS_A_BUCKET)
     kind = dict(docs.dtypes)["doc_id"]
-    # the id travels as text: a null among numbers would turn them all into doubles
-    dealt = docs.select(F.col("doc_id").cast("string"), "text", "held_out", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"))
 
-    def ask(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(Chunk(frame).asked(buckets))).assign(chunk=key[0])
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def done() -> pd.DataFrame:
+            rows = pd.concat(held)
+            chunk = Chunk(rows["text"].tolist(), rows["held_out"].to_numpy(bool))
+            out = pd.DataFrame([chunk.packed(), *chunk.asked(buckets)]).assign(chunk=part << 32 | n)
+            out["ids"] = [rows["doc_id"].tolist(), *[None] * (len(out) - 1)]
+            return out
+
+        for batch in batches:
+            lengths = np.cumsum([len(t or "") for t in batch["text"]])
+            at = 0
+            while at < len(batch):
+                base = lengths[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(lengths, base + chunk_bytes - size, "right")))
+                held.append(batch.iloc[at:end])
+                size += lengths[end - 1] - base
+                at = end
+                if size >= chunk_bytes or at < len(batch):
+                    yield done()
+                    n, held, size = n + 1, [], 0
+        if held:
+            yield done()
 
-    asked = saved(dealt.groupBy("chunk").applyInPandas(ask, "chunk long, kind string, bucket int, keys binary, counts binary"), "ctw-asked")
+    # the id travels as text: a null among numbers would turn them all into doubles
+    rows = docs.select(F.col("doc_id").cast("string"), "text", "held_out")
+    every = saved(rows.mapInPandas(ask, "chunk long, kind string, bucket int, keys binary, counts binary, ids array<string>"), "ctw-asked")
+    asked, words = (every.where(F.col("kind") == k).select("chunk", "bucket", "keys", "counts") for k in "gw")
 
     def heads(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        _, keys, counts = _merged(frame)
-        if key[0] == "w":
-            return pd.DataFrame({"prefix": [-1], "near": [0], "zeros": [float((counts > 0).sum())], "ones": [float(counts.sum())], "weighted": [0.0]})
-        return Nodes(keys, counts).top()
+        return Nodes(*_merged(frame)).top().assign(bucket=key[0])
+
+    def complete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return map(completed, batches)
+
+    sums = ("zeros", "ones", "weighted")
+    own = saved(asked.groupBy("bucket").applyInPandas(heads, "bucket int, node long, zeros double, ones double, weighted double"), "ctw-nodes")
+    nodes = own.groupBy("node").agg(*(F.sum(c).alias(c) for c in sums)).mapInPandas(complete, "node long, zeros double, ones double, weighted double, beta double, one double, total double")
+    nodes = saved(nodes, "ctw-near")
+    prefix, near = F.shiftright("node", 16), F.shiftright("node", 8).bitwiseAND(0xFF)
+    top = nodes.groupBy(prefix.alias("prefix"), near.alias("near")).agg(*(F.sum(c).alias(c) for c in sums)).toPandas()  # at most 255 * 256 rows
+    head = docs.sparkSession.sparkContext.broadcast(above(top))
+
+    def count(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        _, counts = _merged(frame)
+        return pd.DataFrame({"v": [int((counts > 0).sum())], "n": [int(counts.sum())]})
+
+    whole = words.groupBy("bucket").applyInPandas(count, "v long, n long").agg(F.sum("v"), F.sum("n")).first()
+    v, n = (int(x or 0) for x in whole)
 
-    top = asked.groupBy("kind", "bucket").applyInPandas(heads, "prefix int, near int, zeros double, ones double, weighted double")
-    top = top.groupBy("prefix", "near").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted"))).toPandas()  # at most 255 * 256 + 1 rows
-    words = top[top["prefix"] < 0]
-    v, n = int(words["zeros"].sum()), int(words["ones"].sum())
-    head = docs.sparkSession.sparkContext.broadcast(above(top[top["prefix"] >= 0]))
+    def answer(frame: pd.DataFrame, above_own: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = _merged(frame)
+        values = Nodes(keys, counts).log10(above_own, head.value).astype(np.float32)
+        return pd.DataFrame({"chunk": frame["chunk"], "kind": "g", "bucket": frame["bucket"], "answers": [packed(values[np.searchsorted(keys, _keys(k))]) for k in frame["keys"]]})
 
-    def answer(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        each, keys, counts = _merged(frame)
-        values = counts if key[0] == "w" else Nodes(keys, counts).log10(head.value).astype(np.float32)
-        return pd.DataFrame({"chunk": frame["chunk"], "kind": key[0], "bucket": key[1], "answers": [packed(values[np.searchsorted(keys, k)]) for k in each]})
+    def tell(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = _merged(frame)
+        return pd.DataFrame({"chunk": frame["chunk"], "kind": "w", "bucket": key[0], "answers": [packed(counts[np.searchsorted(keys, _keys(k))]) for k in frame["keys"]]})
 
-    answers = asked.groupBy("kind", "bucket").applyInPandas(answer, "chunk long, kind string, bucket int, answers binary")
+    schema = "chunk long, kind string, bucket int, answers binary"
+    needed = own.select("bucket", "node").join(nodes.select("node", "beta", "one", "total"), "node")
+    answers = asked.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInPandas(answer, schema).unionByName(words.groupBy("bucket").applyInPandas(tell, schema))
 
     def finish(frame: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        if not len(frame):
-            return pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")})
+        ids = frame["ids"].iloc[0]
         got = got.sort_values("bucket")
         of = {k: np.concatenate([np.zeros(0, t), *(unpacked(b, t) for b in got.loc[got["kind"] == k, "answers"])]) for k, t in (("g", np.float32), ("w", np.int64))}
-        return Chunk(frame).scores(of["g"], of["w"], n, v, buckets)
+        found = Chunk.unpacked(frame["keys"].iloc[0], frame["counts"].iloc[0], len(ids)).scores(of["g"], of["w"], n, v, buckets)
+        return pd.DataFrame({"doc_id": pd.Series(ids, dtype=object)} | found)
 
-    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
-    out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, schema)
+    texts = every.where("kind = 't'").select("chunk", "keys", "counts", "ids")
+    out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 

@@ -1,4 +1,5 @@
 import math
+import os
 
 import numpy as np
 import pandas as pd
@@ -94,17 +95,53 @@ def test_against_brute_force(spark):
 
 
 def test_bits_are_a_distribution():
-    chunk = ctw.Chunk(frame().query("~held_out"))
+    chunk = ctw.Chunk(TRAIN, np.zeros(len(TRAIN), bool))
     context = b"e mat"
     probe = [context + bytes((b,)) for b in range(256)]
     keys = np.array(sorted(int.from_bytes(p, "big") for p in probe), np.uint64)
     own, n = chunk.strings()
     every, counts = ctw.summed(np.concatenate((own, keys)), np.concatenate((n, np.zeros(256, np.int64))))
     nodes = ctw.Nodes(every, counts)
-    logs = nodes.log10(ctw.above(nodes.top()))[np.searchsorted(every, keys)]
+    near = ctw.completed(nodes.top())
+    top = near.assign(prefix=near["node"].to_numpy() >> 16, near=(near["node"].to_numpy() >> 8) & 0xFF).groupby(["prefix", "near"], as_index=False)[["zeros", "ones", "weighted"]].sum()
+    logs = nodes.log10(near, ctw.above(top))[np.searchsorted(every, keys)]
     assert (10**logs).sum() == pytest.approx(1)
 
 
+def test_counts_are_added_up_chunk_by_chunk(monkeypatch):
+    rng = np.random.default_rng(1)
+    frame, whole = [], {}
+    for _ in range(20):
+        keys = np.unique(rng.integers(0, 500, 60).astype(np.uint64))
+        counts = rng.integers(0, 9, len(keys))
+        for k, c in zip(keys.tolist(), counts.tolist(), strict=True):
+            whole[k] = whole.get(k, 0) + c
+        frame.append({"keys": ctw.packed(np.diff(keys, prepend=np.uint64(0))), "counts": ctw.packed(counts)})
+    for most in (50, 10**9):
+        monkeypatch.setattr(ctw, "MERGE_KEYS", most)
+        keys, counts = ctw._merged(pd.DataFrame(frame))
+        assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == dict(sorted(whole.items()))
+
+
+def test_many_buckets_and_chunks(spark, monkeypatch):
+    """However the strings are dealt, the scores are the same."""
+    docs = spark.createDataFrame(frame().astype({"text": object})).repartition(3)
+    want = {r.doc_id: r.score for r in ctw.scored(docs).collect()}
+    monkeypatch.setattr(ctw, "LEAST_BUCKETS", 40)
+    got = {r.doc_id: r.score for r in ctw.scored(docs, chunk_bytes=5).collect()}
+    assert got == pytest.approx(want, rel=1e-5)
+
+
+def test_a_bucket_gets_no_large_share(spark):
+    """No bucket of 512 has more than a hundredth of the distinct strings of a real text."""
+    folder = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(folder):
+        pytest.skip("no tables")
+    texts = [r.text for r in spark.read.parquet(folder).select("text").collect()]
+    keys, _ = ctw.Chunk(texts, np.zeros(len(texts), bool)).strings()
+    assert np.bincount(ctw.string_bucket(keys, 512)).max() < 0.01 * len(keys)
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.floats(0.5, 1e7), min_size=1, max_size=20))
 def test_log_gamma(x):
