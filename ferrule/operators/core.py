@@ -129,6 +129,8 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder below the session's checkpoint folder, or below one of our own where none is set (tests)."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ferrule-"))
         top = spark.sparkContext.getCheckpointDir()
     return f"{top.rstrip('/')}/ferrule-{uuid.uuid4().hex}"
@@ -141,8 +143,31 @@ def _cut(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "position", parts: int | None = None) -> DataFrame:
+    """df with its place from 1 in the order of all rows; no task sees more than its range of the order.
+
+    Rows are dealt by range and written with the number of their part, as another run of the same plan may draw other
+    boundaries; a part's rows are numbered by themselves, on top of how many the parts before it have.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _cut(spark, df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
+    ahead = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    placed = dealt.withColumn("_own", F.row_number().over(Window.partitionBy("_part").orderBy(*order))).join(F.broadcast(ahead), "_part")
+    return placed.withColumn(name, (F.col("_ahead") + F.col("_own")).cast("long")).drop("_part", "_own", "_ahead")
+
+
+def content_digest(rows: DataFrame, line: Column) -> DataFrame:
+    """(records, bytes, sha256) of the lines of a table, whatever their order.
+
+    Each line's SHA-256 counts as four numbers of 60 bits; their sums over all lines, which add up in any order and in
+    any number of tasks, are hashed once more.
+    """
+    digest = F.sha2(line, 256)
+    sums = [F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)")) for at in (1, 16, 31, 46)]
+    found = rows.agg(F.count("*").alias("records"), F.coalesce(F.sum(F.octet_length(line)), F.lit(0)).alias("bytes"), *(F.coalesce(x, F.lit(0)).alias(f"s{i}") for i, x in enumerate(sums)))
+    return found.select("records", "bytes", F.sha2(F.concat_ws(":", F.col("records").cast("string"), *(F.col(f"s{i}").cast("string") for i in range(4))), 256).alias("sha256"))
 
 
 def joined_text(values: Column, separator: str = "|") -> Column:

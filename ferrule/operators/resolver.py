@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.functions.columns import company_name, loose_company_name
+from ferrule.functions.columns import company_name, loose_company_name, rounded, similarity
 
 
 def resolve(refs: DataFrame, key: str, steps: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
@@ -47,3 +47,32 @@ def evidence(names: DataFrame) -> DataFrame:
     compact = F.replace(F.col("loose"), F.lit(" "), F.lit(""))
     pairs = F.array(F.struct(F.lit("exact").alias("key_type"), F.col("exact").alias("key")), F.struct(F.lit("loose").alias("key_type"), F.col("loose").alias("key")), F.struct(F.lit("compact").alias("key_type"), F.when(F.length(compact) >= 5, compact).alias("key")))
     return keyed.select("id", F.explode(pairs).alias("p")).select("id", "p.*").where("key is not null and key <> ''").distinct()
+
+
+def similar_names(names: DataFrame, column: str, threshold: float) -> DataFrame:
+    """(a, b, score): every pair a < b of distinct names whose similarity is at least threshold, which is above 0.8.
+
+    The candidates are complete. A Jaro-Winkler similarity of t needs a Jaro similarity of (t - 0.4) / 0.6, so that of
+    lengths m and n at least s * m * n / (m + n) characters are common, with s = (3 t - 1.2) / 0.6 - 1; names that
+    have so many in common share one of the first few of their characters in any fixed order, here the repeated and the
+    rarer ones first. Likewise for words, of which a share of t must be common. Pairs that meet there are checked by
+    length and by common characters or words before they are scored; equal pairs meet once.
+    """
+    s = (3 * threshold - 1.2) / 0.6 - 1
+    distinct = names.select(F.col(column).alias("name")).where("name <> ''").distinct()
+    at = F.sequence(F.lit(1), F.length("name"))
+    head = lambda i: F.substring(F.col("name"), F.lit(1), i)
+    letter = lambda i: F.substring(F.col("name"), i, F.lit(1))
+    # the k-th occurrence of a character is a token of its own
+    letters = F.transform(at, lambda i: F.concat(F.lpad((i - F.length(F.replace(head(i), letter(i), F.lit("")))).cast("string"), 6, "0"), letter(i)))
+    words = F.transform(F.array_distinct(F.filter(F.split("name", " "), lambda w: w != "")), lambda w: F.concat(F.lit("w"), w))
+    rows = distinct.select("name", F.length("name").alias("n"), F.sort_array(letters, asc=False).alias("letters"), F.array_sort(words).alias("words"))
+    prefix = lambda tokens, share: F.slice(tokens, 1, F.size(tokens) - F.ceil(F.size(tokens) * share - 1e-9).cast("int") + 1)
+    # the shortest partner has (s - 1) n characters, all of which may be common
+    tokens = F.array_distinct(F.concat(prefix(F.col("letters"), s - 1), F.when(F.size("words") > 0, prefix(F.col("words"), threshold)).otherwise(F.expr("cast(array() as array<string>)"))))
+    keyed = rows.withColumn("token", F.explode(tokens))
+    a, b = (keyed.select(F.col("name").alias(x), F.col("n").alias(f"{x}_n"), F.col("letters").alias(f"{x}_letters"), F.col("words").alias(f"{x}_words"), "token") for x in "ab")
+    near = F.size(F.array_intersect("a_letters", "b_letters")) * (F.col("a_n") + F.col("b_n")) >= s * F.col("a_n") * F.col("b_n") - 1e-6
+    alike = F.size(F.array_intersect("a_words", "b_words")) >= threshold * F.size(F.array_union("a_words", "b_words")) - 1e-9
+    pairs = a.join(b, "token").where("a < b").where(near | alike).select("a", "b").distinct()
+    return pairs.select("a", "b", rounded(similarity(F.col("a"), F.col("b")), 4).alias("score")).where(F.col("score") >= threshold)

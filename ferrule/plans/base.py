@@ -23,6 +23,12 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def digest_sql(rows: str) -> str:
+    """The same as content_digest() over a SELECT of lines."""
+    sums = " || ':' || ".join(f"coalesce(sum(('0x' || substr(sha256(line), {at}, 15))::BIGINT), 0)::VARCHAR" for at in (1, 16, 31, 46))
+    return f"SELECT count(*)::BIGINT AS records, coalesce(sum(strlen(line)), 0)::BIGINT AS bytes, sha256(count(*) || ':' || {sums}) AS sha256 FROM ({rows})"
+
+
 def query(name: str, sql: str | None = None) -> Callable:
     """Registers a function of Tables under a name."""
 

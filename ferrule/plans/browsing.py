@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ferrule.functions import columns as C
-from ferrule.operators.core import top_by
+from ferrule.operators.core import numbered, top_by
 from ferrule.plans.base import query
 
 
@@ -100,23 +100,22 @@ def search_score(t):
 )
 def sort_nulls_last(t):
     v = F.nullif(F.when(F.col("c_custkey") % 5 == 0, F.lit(None)).when(F.col("c_custkey") % 7 == 0, "").otherwise(F.col("c_mktsegment")), F.lit(""))
-    rows = t.customer.select("c_custkey", v.alias("v"))
-    up, down = (F.row_number().over(Window.orderBy(o, "c_custkey")).cast("long") for o in (F.col("v").asc_nulls_last(), F.col("v").desc_nulls_last()))
-    return rows.select("c_custkey", up.alias("up"), down.alias("down"))
+    rows = numbered(t.customer.select("c_custkey", v.alias("v")), [F.col("v").asc_nulls_last(), F.col("c_custkey")], "up")
+    return numbered(rows, [F.col("v").desc_nulls_last(), F.col("c_custkey")], "down").drop("v")
 
 
 @query("natural_sort", "SELECT s_suppkey, row_number() OVER (ORDER BY (string_split(s_name, '#')[2])::BIGINT, s_suppkey)::BIGINT AS position FROM supplier")
 def natural_sort(t):
     padded = F.regexp_replace(F.regexp_replace(F.concat(F.lit("x"), F.regexp_extract("s_name", r"(\d+)$", 1)), "x0*", ""), r"^(\d+)$", "$1")
     key = F.lpad(padded, 20, "0")
-    return t.supplier.select("s_suppkey", F.row_number().over(Window.orderBy(key, "s_suppkey")).cast("long").alias("position"))
+    return numbered(t.supplier.select("s_suppkey", key.alias("key")), [F.col("key"), F.col("s_suppkey")]).drop("key")
 
 
-@query("related_by_category", "SELECT a AS id, b AS related FROM (SELECT x.p_partkey AS a, y.p_partkey AS b, row_number() OVER (PARTITION BY x.p_partkey ORDER BY y.p_retailprice DESC, y.p_partkey) AS k FROM (SELECT * FROM part WHERE p_partkey <= 50) AS x JOIN part AS y ON x.p_brand = y.p_brand AND x.p_type = y.p_type AND x.p_partkey <> y.p_partkey) WHERE k <= 8")
+@query("related_by_category", "SELECT a AS id, b AS related FROM (SELECT x.p_partkey AS a, y.p_partkey AS b, row_number() OVER (PARTITION BY x.p_partkey ORDER BY y.p_retailprice DESC, y.p_partkey) AS k FROM part AS x JOIN part AS y ON x.p_brand = y.p_brand AND x.p_type = y.p_type AND x.p_partkey <> y.p_partkey) WHERE k <= 8")
 def related_by_category(t):
     # of each category only its first nine can be among the first eight related ones of any member
     best = top_by(t.part, [F.col("p_retailprice").desc(), F.col("p_partkey")], 9, ["p_brand", "p_type"], name="place").select("p_brand", "p_type", F.col("p_partkey").alias("related"), "place")
-    pairs = t.part.where("p_partkey <= 50").select(F.col("p_partkey").alias("id"), "p_brand", "p_type").join(best, ["p_brand", "p_type"]).where("id <> related")
+    pairs = t.part.select(F.col("p_partkey").alias("id"), "p_brand", "p_type").join(best, ["p_brand", "p_type"]).where("id <> related")
     return top_by(pairs, [F.col("place")], 8, ["id"], name="k").select("id", "related")
 
 
@@ -148,7 +147,7 @@ def studio_names(t):
 @query("binary_id_order", "SELECT doc_id, row_number() OVER (ORDER BY source || ':' || doc_id)::BIGINT AS position FROM documents")
 def binary_id_order(t):
     key = F.concat("source", F.lit(":"), F.col("doc_id").cast("string"))
-    return t.documents.select("doc_id", key.alias("key")).select("doc_id", F.row_number().over(Window.orderBy("key")).cast("long").alias("position"))
+    return numbered(t.documents.select("doc_id", key.alias("key")), [F.col("key")]).drop("key")
 
 
 @query("category_counts", "SELECT o_orderpriority AS category, count(*)::BIGINT AS n FROM orders GROUP BY 1")

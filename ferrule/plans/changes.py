@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ferrule.operators.core import snapshot_changes, top_by
-from ferrule.plans.base import query
+from ferrule.operators.core import content_digest, snapshot_changes, top_by
+from ferrule.plans.base import digest_sql, query
 
 SNAPSHOTS = """a AS (SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '2000-01-01' AND o_orderkey % 50 <> 0), b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 9 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
   CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice + 10 ELSE o_totalprice END AS o_totalprice, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderdate <= TIMESTAMP '2001-01-01' AND o_orderkey % 60 <> 0)"""
@@ -95,10 +95,9 @@ def last_updated_stamp(t):
     return now.join(before, "id", "left").select("id", F.when(F.col("hash") == F.col("old"), F.col("stamp")).otherwise("2026-01-16").alias("last_updated"))
 
 
-@query("content_hash", "SELECT sha256(string_agg(s_suppkey || ':' || sha256(s_name), chr(10) ORDER BY s_suppkey)) AS hash FROM supplier")
+@query("content_hash", digest_sql("SELECT s_suppkey || ':' || sha256(s_name) AS line FROM supplier"))
 def content_hash(t):
-    lines = F.collect_list(F.struct("s_suppkey", F.concat_ws(":", F.col("s_suppkey").cast("string"), F.sha2("s_name", 256)).alias("line")))
-    return t.supplier.agg(F.sha2(F.array_join(F.transform(F.array_sort(lines), lambda x: x["line"]), "\n"), 256).alias("hash"))
+    return content_digest(t.supplier, F.concat_ws(":", F.col("s_suppkey").cast("string"), F.sha2("s_name", 256)))
 
 
 @query("low_confidence_claims", "SELECT game, tech, confidence FROM (SELECT p_partkey AS game, p_brand AS tech, CASE WHEN p_size % 2 = 0 THEN 'low' ELSE 'high' END AS confidence, CASE WHEN p_partkey % 3 = 0 THEN 'low' WHEN p_partkey % 3 = 1 THEN 'high' END AS before FROM part) WHERE confidence NOT IN ('verified', 'high') AND confidence IS DISTINCT FROM before")

@@ -17,9 +17,10 @@ def inclusion_semi(t):
     return chosen.union(t.part.where("p_partkey % 100 = 0").select("p_partkey")).distinct()
 
 
-@query("orphan_anti", f"SELECT s_suppkey FROM supplier WHERE NOT ({CURATED}) AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1)")
+@query("orphan_anti", "SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def orphan_anti(t):
-    return t.supplier.where(f"NOT ({CURATED})").join(t.lineitem.where("l_quantity = 50 and l_discount = 0.1").select(F.col("l_suppkey").alias("s_suppkey")), "s_suppkey", "left_anti").select("s_suppkey")
+    # neither curated nor referenced
+    return t.customer.where("c_custkey % 7 <> 0").join(t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
 @query("reference_cleanup", "SELECT l_orderkey, string_agg(DISTINCT l_suppkey::VARCHAR, '|' ORDER BY l_suppkey::VARCHAR) AS suppliers FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 6 <> 0) GROUP BY 1")
@@ -36,9 +37,9 @@ def inverse_fk(t):
     return pairs.groupBy(F.col("l_suppkey").alias("company")).agg(F.sum("d").alias("developed"), F.sum("p").alias("published"))
 
 
-@query("reciprocal_edges", "SELECT a, b FROM (SELECT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_quantity = 1 UNION SELECT l_suppkey, l_partkey FROM lineitem WHERE l_quantity = 1) WHERE a <> b")
+@query("reciprocal_edges", "SELECT a, b FROM (SELECT l_partkey AS a, l_suppkey AS b FROM lineitem UNION SELECT l_suppkey, l_partkey FROM lineitem) WHERE a <> b")
 def reciprocal_edges(t):
-    e = t.lineitem.where("l_quantity = 1").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"))
+    e = t.lineitem.select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"))
     return e.union(e.select("b", "a")).where("a <> b").distinct()
 
 
@@ -72,17 +73,16 @@ def edge_type_counts(t):
     return edges(t).groupBy("type").agg(F.count("*").alias("n"))
 
 
-CLUSTERS = """n AS (SELECT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1)"""
-
-
 @query(
     "external_id_clusters",
-    f"""WITH RECURSIVE {CLUSTERS}, m AS (SELECT a, b FROM n UNION SELECT b, a FROM n), w AS (SELECT a AS node, a AS seen FROM m UNION SELECT w.node, m.b FROM w JOIN m ON m.a = w.seen)
-    SELECT node, min(seen) AS root FROM w GROUP BY 1""",
+    """WITH n AS (SELECT 'p' || p_partkey AS node, p_partkey // 6 AS block FROM part UNION SELECT 's' || (p_partkey - p_partkey % 2), p_partkey // 6 FROM part UNION SELECT 'w' || (p_partkey - p_partkey % 3), p_partkey // 6 FROM part)
+    SELECT node, min(node) OVER (PARTITION BY block) AS root FROM n""",
 )
 def external_id_clusters(t):
-    k = t.lineitem.where("l_quantity = 50 and l_discount = 0.1")
-    return components(k.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("a"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("b")))
+    # a record has an id that two neighbours share and one that three share, so that six records make a cluster
+    k = F.col("p_partkey")
+    ids = t.part.select(F.concat(F.lit("p"), k.cast("string")).alias("a"), F.explode(F.array(F.concat(F.lit("s"), (k - k % 2).cast("string")), F.concat(F.lit("w"), (k - k % 3).cast("string")))).alias("b"))
+    return components(ids)
 
 
 @query("cluster_id_set", "SELECT l_orderkey % 500 AS cluster, min(l_partkey)::BIGINT AS steam, min('Q' || l_suppkey) AS wikidata FROM lineitem GROUP BY 1")
@@ -142,11 +142,22 @@ def validation_summary(t):
     return out
 
 
-@query("override_lint", "SELECT f AS field, CASE WHEN f = 'statistics' THEN 'computed field' ELSE 'unknown field' END AS problem FROM (VALUES ('p_name'), ('statistics'), ('colour')) AS v(f) WHERE f NOT IN ('p_name', 'p_brand', 'p_type')")
+#: What entries may set, and what is computed and must not be set.
+EDITABLE, COMPUTED = ("click", "view", "login"), ("purchase",)
+
+
+@query(
+    "override_lint",
+    f"""WITH e AS (SELECT user_id AS entry, event_type || CASE WHEN event_id % 3 = 0 THEN '.value' ELSE '' END AS path FROM events)
+    SELECT split_part(path, '.', 1) AS field, CASE WHEN split_part(path, '.', 1) IN {(*COMPUTED, "")} THEN 'computed field' ELSE 'unknown field' END AS problem, count(*)::BIGINT AS entries, count(DISTINCT entry)::BIGINT AS subjects
+    FROM e WHERE split_part(path, '.', 1) NOT IN {EDITABLE} GROUP BY 1""",
+)
 def override_lint(t):
-    fields = t.spark.createDataFrame([("p_name",), ("statistics",), ("colour",)], "field string")
-    known = t.spark.createDataFrame([(c,) for c in ("p_name", "p_brand", "p_type")], "field string")
-    return fields.join(known, "field", "left_anti").select("field", F.when(F.col("field") == "statistics", "computed field").otherwise("unknown field").alias("problem"))
+    # every entry sets a dot path, of which the first part is the field
+    entries = t.events.select(F.col("user_id").alias("entry"), F.concat("event_type", F.when(F.col("event_id") % 3 == 0, ".value").otherwise("")).alias("path"))
+    bad = entries.select("entry", F.element_at(F.split("path", r"\."), 1).alias("field")).where(~F.col("field").isin(*EDITABLE))
+    subjects = bad.groupBy("field", "entry").agg(F.count("*").alias("n")).groupBy("field").agg(F.sum("n").alias("entries"), F.count("*").alias("subjects"))
+    return subjects.select("field", F.when(F.col("field").isin(*COMPUTED), "computed field").otherwise("unknown field").alias("problem"), "entries", "subjects")
 
 
 CLAIMS = """c AS (SELECT DISTINCT p_partkey AS game, p_brand AS tech, CASE WHEN p_size < 25 THEN 'low' ELSE 'medium' END AS confidence FROM part)"""
@@ -190,13 +201,14 @@ def parent_by_name(t):
 
 @query(
     "enrichment_rounds",
-    """WITH RECURSIVE m AS (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_quantity >= 45),
-    w AS (SELECT DISTINCT p, 0 AS depth FROM m WHERE p <= 5 UNION SELECT b.p, w.depth + 1 FROM w JOIN m AS a ON a.p = w.p JOIN m AS b ON b.o = a.o WHERE w.depth < 3)
-    SELECT p, min(depth)::INT AS depth FROM w GROUP BY 1""",
+    """WITH m AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem), w0 AS (SELECT DISTINCT p FROM m WHERE p = 1),
+    w1 AS (SELECT DISTINCT p FROM m WHERE o IN (SELECT o FROM m WHERE p IN (SELECT p FROM w0))), w2 AS (SELECT DISTINCT p FROM m WHERE o IN (SELECT o FROM m WHERE p IN (SELECT p FROM w1))),
+    w3 AS (SELECT DISTINCT p FROM m WHERE o IN (SELECT o FROM m WHERE p IN (SELECT p FROM w2)))
+    SELECT p, min(depth)::INT AS depth FROM (SELECT p, 0 AS depth FROM w0 UNION ALL SELECT p, 1 FROM w1 UNION ALL SELECT p, 2 FROM w2 UNION ALL SELECT p, 3 FROM w3) GROUP BY 1""",
 )
 def enrichment_rounds(t, rounds: int = 3):
-    m = t.lineitem.where("l_quantity >= 45").select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p")).distinct()
-    known = m.where("p <= 5").select("p").distinct().withColumn("depth", F.lit(0))
+    m = t.lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p")).distinct()
+    known = m.where("p = 1").select("p").distinct().withColumn("depth", F.lit(0))
     frontier = known
     for depth in range(1, rounds + 1):
         near = frontier.select("p").join(m, "p").select("o").distinct().join(m, "o").select("p").distinct()
@@ -205,9 +217,9 @@ def enrichment_rounds(t, rounds: int = 3):
     return known
 
 
-@query("affiliations", "SELECT c_nationkey AS company, c_custkey AS person FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier) AND c_acctbal > 9000")
+@query("affiliations", "SELECT c_nationkey AS company, c_custkey AS person FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier)")
 def affiliations(t):
-    return t.customer.where("c_acctbal > 9000").join(t.supplier.select(F.col("s_nationkey").alias("c_nationkey")), "c_nationkey", "left_semi").select(F.col("c_nationkey").alias("company"), F.col("c_custkey").alias("person"))
+    return t.customer.join(t.supplier.select(F.col("s_nationkey").alias("c_nationkey")), "c_nationkey", "left_semi").select(F.col("c_nationkey").alias("company"), F.col("c_custkey").alias("person"))
 
 
 @query("first_external_id", "SELECT l_partkey AS game, arg_min(l_suppkey, l_linenumber * 1000000 + l_orderkey) AS id FROM lineitem GROUP BY 1")

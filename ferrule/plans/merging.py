@@ -221,10 +221,10 @@ def left_default(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey").join(s, "l_suppkey", "left").select("l_orderkey", "l_linenumber", F.coalesce("s_name", F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string"))).alias("name"))
 
 
-@query("hints_union", "SELECT s_suppkey AS company, 'seed' AS origin FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT l_suppkey, 'provider' FROM lineitem WHERE l_quantity = 50 UNION ALL SELECT s_suppkey, 'previous' FROM supplier")
+@query("hints_union", "SELECT s_suppkey AS company, 'seed' AS origin FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT l_suppkey, 'provider' FROM lineitem UNION ALL SELECT s_suppkey, 'previous' FROM supplier")
 def hints_union(t):
     s = F.col("s_suppkey").alias("company")
-    return t.supplier.where("s_suppkey % 2 = 0").select(s, F.lit("seed").alias("origin")).unionByName(t.lineitem.where("l_quantity = 50").select(F.col("l_suppkey").alias("company"), F.lit("provider").alias("origin"))).unionByName(t.supplier.select(s, F.lit("previous").alias("origin")))
+    return t.supplier.where("s_suppkey % 2 = 0").select(s, F.lit("seed").alias("origin")).unionByName(t.lineitem.select(F.col("l_suppkey").alias("company"), F.lit("provider").alias("origin"))).unionByName(t.supplier.select(s, F.lit("previous").alias("origin")))
 
 
 @query("array_patch", "SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN p_type || '|new' ELSE p_type || '|' || p_brand || '|new' END AS tags FROM part")
@@ -265,9 +265,17 @@ def social_links(t):
     return t.customer.select(k.alias("id"), handle.alias("handle"), mastodon.alias("mastodon")).where("handle is not null or mastodon is not null")
 
 
-@query("policy_switch", "SELECT p_partkey AS id, NULL::VARCHAR AS description, p_name AS title FROM part WHERE p_size < 10")
-def policy_switch(t, descriptions: bool = False):
-    return t.part.where("p_size < 10").select(F.col("p_partkey").alias("id"), F.when(F.lit(descriptions), F.col("p_type")).alias("description"), F.col("p_name").alias("title"))
+@query(
+    "policy_switch",
+    """SELECT p_partkey AS id, policy, CASE WHEN policy <> 'metadata only' THEN p_type END AS description, CASE WHEN policy = 'everything' THEN p_brand END AS media, p_name AS title
+    FROM part, (VALUES ('metadata only'), ('descriptions'), ('everything')) AS v(policy)""",
+)
+def policy_switch(t):
+    """What each policy lets through: descriptions and media are null where it doesn't."""
+    rules = (("metadata only", False, False), ("descriptions", True, False), ("everything", True, True))
+    each = F.explode(F.array(*(F.struct(F.lit(p).alias("policy"), F.lit(d).alias("d"), F.lit(m).alias("m")) for p, d, m in rules)))
+    rows = t.part.select("p_partkey", "p_name", "p_type", "p_brand", each.alias("x"))
+    return rows.select(F.col("p_partkey").alias("id"), "x.policy", F.when(F.col("x.d"), F.col("p_type")).alias("description"), F.when(F.col("x.m"), F.col("p_brand")).alias("media"), F.col("p_name").alias("title"))
 
 
 @query("parent_choice", "SELECT s_suppkey AS id, CASE WHEN s_suppkey % 4 = 0 THEN s_nationkey::BIGINT WHEN s_suppkey % 3 = 0 THEN s_suppkey + 1 END AS parent FROM supplier")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.plans.base import query
+from ferrule.operators.core import content_digest
+from ferrule.plans.base import digest_sql, query
 
 
 @query("compact_projection", "SELECT p_partkey AS id, p_name AS title, p_type AS type, q AS review_count, coalesce(engines, '') AS engines FROM part LEFT JOIN (SELECT l_partkey, sum(l_quantity)::BIGINT AS q, string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS engines FROM lineitem GROUP BY 1) ON l_partkey = p_partkey")
@@ -42,22 +46,21 @@ def search_index_union(t):
     return games.unionByName(companies)
 
 
-@query("nested_views", "SELECT DISTINCT l_suppkey AS company, CASE l_linenumber % 2 WHEN 1 THEN 'developed' ELSE 'published' END AS list, p_partkey AS game, p_name AS title FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey <= 20")
+@query("nested_views", "SELECT DISTINCT l_suppkey AS company, CASE l_linenumber % 2 WHEN 1 THEN 'developed' ELSE 'published' END AS list, p_partkey AS game, p_name AS title FROM lineitem JOIN part ON p_partkey = l_partkey")
 def nested_views(t):
     role = F.when(F.col("l_linenumber") % 2 == 1, "developed").otherwise("published")
-    rows = t.lineitem.where("l_suppkey <= 20").select(F.col("l_suppkey").alias("company"), role.alias("list"), F.col("l_partkey").alias("p_partkey")).distinct().join(t.part.select("p_partkey", "p_name"), "p_partkey")
+    rows = t.lineitem.select(F.col("l_suppkey").alias("company"), role.alias("list"), F.col("l_partkey").alias("p_partkey")).distinct().join(t.part.select("p_partkey", "p_name"), "p_partkey")
     docs = rows.groupBy("company").agg(F.array_sort(F.collect_list(F.struct("list", F.col("p_partkey").alias("game"), F.col("p_name").alias("title")))).alias("games"))
     return docs.select("company", F.explode("games").alias("g")).select("company", "g.*")
 
 
-@query("manifest_checksums", " UNION ALL ".join(f"SELECT '{n}' AS file, count(*)::BIGINT AS records, sum(strlen(line))::BIGINT AS bytes, sha256(string_agg(line, chr(10) ORDER BY line)) AS sha256 FROM (SELECT {c} AS line FROM {n})" for n, c in (("supplier", "s_suppkey || '|' || s_name"), ("nation", "n_nationkey || '|' || n_name"), ("part", "p_partkey || '|' || p_name"))))
+FILES = (("supplier", "s_suppkey", "s_name"), ("nation", "n_nationkey", "n_name"), ("part", "p_partkey", "p_name"))
+
+
+@query("manifest_checksums", " UNION ALL ".join(f"SELECT '{n}' AS file, * FROM ({digest_sql(f'SELECT {k} || chr(124) || {v} AS line FROM {n}')})" for n, k, v in FILES))
 def manifest_checksums(t):
-    out = None
-    for name, table, key, label in (("supplier", t.supplier, "s_suppkey", "s_name"), ("nation", t.nation, "n_nationkey", "n_name"), ("part", t.part, "p_partkey", "p_name")):
-        lines = table.select(F.concat_ws("|", F.col(key).cast("string"), label).alias("line"))
-        one = lines.agg(F.count("*").alias("records"), F.sum(F.octet_length("line")).alias("bytes"), F.sha2(F.array_join(F.array_sort(F.collect_list("line")), "\n"), 256).alias("sha256")).select(F.lit(name).alias("file"), "records", "bytes", "sha256")
-        out = one if out is None else out.unionByName(one)
-    return out
+    found = [content_digest(getattr(t, n), F.concat_ws("|", F.col(k).cast("string"), v)).select(F.lit(n).alias("file"), "*") for n, k, v in FILES]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 @query("blank_rows", "SELECT s_suppkey AS id, 'unknown' AS status, 0::BIGINT AS game_count, NULL::DOUBLE AS average FROM supplier WHERE s_suppkey % 5 = 0")
@@ -71,10 +74,12 @@ def provenance_rows(t):
     return t.part.select(F.col("p_partkey").alias("id"), F.explode(fields).alias("field", "p")).select("id", "field", "p.source")
 
 
-@query("snapshot_paths", "SELECT path FROM (VALUES ('games.json'), ('entities/games/a.json'), ('by-company/b.json'), ('full/games.json'), ('index.json')) AS v(path) WHERE NOT (starts_with(path, 'entities/') OR starts_with(path, 'by-') OR starts_with(path, 'full/'))")
+@query("snapshot_paths", r"SELECT path, count(*)::BIGINT AS n FROM (SELECT regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1) AS path FROM pages) WHERE NOT (starts_with(path, 'en/') OR starts_with(path, 'de/9')) GROUP BY 1")
 def snapshot_paths(t):
-    paths = t.spark.createDataFrame([(p,) for p in ("games.json", "entities/games/a.json", "by-company/b.json", "full/games.json", "index.json")], "path string")
-    return paths.where(~(F.startswith(F.col("path"), F.lit("entities/")) | F.startswith(F.col("path"), F.lit("by-")) | F.startswith(F.col("path"), F.lit("full/"))))
+    # the paths of pages stand for files; two prefixes for the folders that a snapshot leaves out
+    paths = t.pages.select(F.regexp_extract("url", r"^https?://[^/]+/([^?#]*)", 1).alias("path"))
+    kept = paths.where(~(F.startswith(F.col("path"), F.lit("en/")) | F.startswith(F.col("path"), F.lit("de/9"))))
+    return kept.groupBy("path").agg(F.count("*").alias("n"))
 
 
 @query("canonical_json", """SELECT s_suppkey AS id, '{"id":' || s_suppkey || ',"name":"' || s_name || '","nation":' || s_nationkey || '}' AS json, substr(sha256('{"id":' || s_suppkey || ',"name":"' || s_name || '","nation":' || s_nationkey || '}'), 1, 12) AS hash FROM supplier""")

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from ferrule.functions import columns as C
 from ferrule.operators.core import first_by
-from ferrule.operators.resolver import evidence, learn, resolve
+from ferrule.operators.resolver import evidence, learn, resolve, similar_names
 from ferrule.plans.base import query
-from ferrule.plans.text import named
 
 
 @query(
@@ -69,12 +68,20 @@ def loose_fold(t):
     return x.join(groups, "loose", "left").select("id", F.coalesce("canonical", "id").alias("canonical"))
 
 
-@query("id_conflict_guard", "SELECT a.s_suppkey AS ref, b.s_suppkey AS candidate FROM supplier AS a JOIN supplier AS b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey <> b.s_suppkey WHERE NOT (a.s_suppkey % 5 <> b.s_suppkey % 5 AND a.s_suppkey % 5 <> 0 AND b.s_suppkey % 5 <> 0)")
+@query(
+    "id_conflict_guard",
+    """WITH k AS (SELECT s_suppkey AS id, s_nationkey AS name, nullif(s_suppkey % 5, 0) AS ext FROM supplier)
+    SELECT r.id AS ref, min(c.id) AS candidate FROM k AS r JOIN k AS c ON r.name = c.name AND r.id % 2 = 1 AND c.id % 2 = 0 WHERE NOT coalesce(r.ext <> c.ext, false) GROUP BY 1""",
+)
 def id_conflict_guard(t):
-    k = F.col("s_suppkey")
-    a = t.supplier.select(k.alias("ref"), "s_nationkey", F.nullif(k % 5, F.lit(0)).alias("x"))
-    b = t.supplier.select(k.alias("candidate"), "s_nationkey", F.nullif(k % 5, F.lit(0)).alias("y"))
-    return a.join(b, "s_nationkey").where("ref <> candidate and not coalesce(x <> y, false)").select("ref", "candidate")
+    """For each reference the first company of its name whose external id doesn't differ from its own; a missing id
+    differs from none. Names meet by their least companies with each id, without one and at all, never pair by pair."""
+    k = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("name"), F.nullif(F.col("s_suppkey") % 5, F.lit(0)).alias("ext"))
+    least = k.where("id % 2 = 0").groupBy("name", "ext").agg(F.min("id").alias("id"))
+    by_name = least.groupBy("name").agg(F.min("id").alias("any"), F.min(F.when(F.col("ext").isNull(), F.col("id"))).alias("without"))
+    by_id = least.where("ext is not null").select("name", "ext", F.col("id").alias("same"))
+    refs = k.where("id % 2 = 1").join(by_name, "name").join(by_id, ["name", "ext"], "left")
+    return refs.select(F.col("id").alias("ref"), F.when(F.col("ext").isNull(), F.col("any")).otherwise(F.least("same", "without")).alias("candidate")).where("candidate is not null")
 
 
 @query("ambiguous_matches", "SELECT s_nationkey AS key, count(*)::BIGINT AS candidates, coalesce(CASE WHEN count(*) FILTER (s_suppkey % 10 = 0) = 1 THEN min(s_suppkey) FILTER (s_suppkey % 10 = 0) END, min(s_suppkey)) AS chosen FROM supplier GROUP BY 1 HAVING count(*) > 1")
@@ -93,9 +100,9 @@ def shared_prefix(t):
     return prefixes.join(t.part.select(F.col("p_name").alias("name")).distinct(), "name").select("name", "longer")
 
 
-@query("or_join_ids", "SELECT DISTINCT a.l_orderkey AS a, b.o_orderkey AS b FROM (SELECT * FROM lineitem WHERE l_quantity = 50 AND l_linenumber = 1) AS a JOIN orders AS b ON a.l_orderkey = b.o_orderkey OR a.l_partkey = b.o_orderkey OR a.l_suppkey = b.o_orderkey")
+@query("or_join_ids", "SELECT l_orderkey AS a, o_orderkey AS b FROM (SELECT l_orderkey, unnest([l_orderkey, l_partkey, l_suppkey]) AS k FROM lineitem) JOIN orders ON o_orderkey = k GROUP BY 1, 2")
 def or_join_ids(t):
-    a = t.lineitem.where("l_quantity = 50 and l_linenumber = 1").select(F.col("l_orderkey").alias("a"), F.explode(F.array_distinct(F.array("l_orderkey", "l_partkey", "l_suppkey"))).alias("b"))
+    a = t.lineitem.select(F.col("l_orderkey").alias("a"), F.explode(F.array_distinct(F.array("l_orderkey", "l_partkey", "l_suppkey"))).alias("b"))
     return a.join(t.orders.select(F.col("o_orderkey").alias("b")), "b").select("a", "b").distinct()
 
 
@@ -172,19 +179,32 @@ def seed_suggestions(t):
     return t.supplier.where("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("seed")).agg(F.count("*").alias("n"), F.min("s_suppkey").alias("suggestion")).where("n = 1").select("seed", "suggestion")
 
 
-@query("issue_dedup", "SELECT DISTINCT l_returnflag AS kind, l_partkey % 20 AS subject, least(l_suppkey, l_partkey) || '|' || greatest(l_suppkey, l_partkey) AS related FROM lineitem WHERE l_quantity = 50 AND l_suppkey <> l_partkey")
+@query("issue_dedup", "SELECT DISTINCT l_returnflag AS kind, l_partkey % 20 AS subject, least(l_suppkey, l_partkey) || '|' || greatest(l_suppkey, l_partkey) AS related FROM lineitem WHERE l_suppkey <> l_partkey")
 def issue_dedup(t):
     pair = F.transform(F.array_sort(F.array("l_suppkey", "l_partkey")), lambda x: x.cast("string"))
-    return t.lineitem.where("l_quantity = 50 and l_suppkey <> l_partkey").select(F.col("l_returnflag").alias("kind"), (F.col("l_partkey") % 20).alias("subject"), F.array_join(pair, "|").alias("related")).dropDuplicates(["kind", "subject", "related"])
+    return t.lineitem.where("l_suppkey <> l_partkey").select(F.col("l_returnflag").alias("kind"), (F.col("l_partkey") % 20).alias("subject"), F.array_join(pair, "|").alias("related")).dropDuplicates(["kind", "subject", "related"])
+
+
+def varied_names(t):
+    """Names that differ enough: twelve letters for every four suppliers, of which one is whole, one shortened, one has
+    two letters swapped and one has a word more."""
+    k = F.col("s_suppkey")
+    base = F.translate(F.substring(F.md5((k - k % 4).cast("string").cast("binary")), 1, 12), "0123456789", "ghijklmnop")
+    swapped = F.concat(F.substring(base, 1, 5), F.substring(base, 7, 1), F.substring(base, 6, 1), F.substring(base, 8, 5))
+    name = F.when(k % 4 == 0, base).when(k % 4 == 1, F.substring(base, 2, 11)).when(k % 4 == 2, swapped).otherwise(F.concat(base, F.lit(" Games")))
+    return t.supplier.select(k.alias("id"), name.alias("name"))
 
 
 @query("fuzzy_flags")
 def fuzzy_flags(t):
-    """Names at least 0.93 alike but not equal, compared within blocks of the first word's beginning."""
-    a = named(t).select("id", C.core_company_name(F.col("name")).alias("core")).withColumn("block", F.substring("core", 1, 6)).join(t.supplier.select(F.col("s_suppkey").alias("id"), "s_nationkey"), "id")
-    b = a.select(F.col("id").alias("other"), F.col("core").alias("other_core"), "block", "s_nationkey")
-    score = F.when(F.col("core") == F.col("other_core"), 0.95).otherwise(C.similarity(F.col("core"), F.col("other_core")))
-    return a.join(b, ["block", "s_nationkey"]).where("id < other").select("id", "other", C.rounded(score, 4).alias("score")).where("score >= 0.93")
+    """Companies whose core names are equal (0.95) or at least 0.93 alike, each pair once."""
+    core = varied_names(t).select("id", C.core_company_name(F.col("name")).alias("core"))
+    first = core.groupBy("core").agg(F.min("id").alias("id"))
+    equal = core.join(first.withColumnRenamed("id", "first"), "core").where("id <> first").select(F.col("first").alias("id"), F.col("id").alias("other"), F.lit(0.95).alias("score"))
+    pairs = similar_names(core, "core", 0.93)
+    x, y = (first.select(F.col("core").alias(c), F.col("id").alias(f"{c}_id")) for c in "ab")
+    found = pairs.join(x, "a").join(y, "b").select(F.least("a_id", "b_id").alias("id"), F.greatest("a_id", "b_id").alias("other"), "score")
+    return equal.unionByName(found)
 
 
 @query("evidence_keys", "SELECT key_type, count(*)::BIGINT AS n FROM (SELECT DISTINCT 'exact' AS key_type, lower(replace(s_name, '#', ' ')) AS k, s_suppkey FROM supplier UNION ALL SELECT DISTINCT 'compact', replace(lower(replace(s_name, '#', ' ')), ' ', ''), s_suppkey FROM supplier UNION ALL SELECT DISTINCT 'loose', lower(replace(s_name, '#', ' ')), s_suppkey FROM supplier) GROUP BY 1")

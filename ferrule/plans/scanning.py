@@ -10,10 +10,10 @@ from ferrule.sources import eav, files
 
 def statements(t):
     e = t.events.select((F.col("user_id") % 50).alias("item"), F.col("event_type").alias("property"), F.col("user_id").cast("string").alias("value"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("label"), F.col("event_id").alias("ordinal"))
-    return e.where("ordinal % 3 <> 0")
+    return e
 
 
-EAV = "s AS (SELECT user_id % 50 AS item, event_type AS property, user_id::VARCHAR AS value, 'u' || user_id AS label FROM events WHERE event_id % 3 <> 0)"
+EAV = "s AS (SELECT user_id % 50 AS item, event_type AS property, user_id::VARCHAR AS value, 'u' || user_id AS label FROM events)"
 
 
 @query("eav_pairs", f"WITH {EAV}, d AS (SELECT DISTINCT item, property, value, label FROM s) SELECT item, property, string_agg(label, '|' ORDER BY label) AS labels FROM d GROUP BY 1, 2")
@@ -41,19 +41,19 @@ def eav_labels(t):
 
 @query(
     "discover_games",
-    """WITH r AS (SELECT l_partkey AS item, l_suppkey AS company, CASE l_linenumber % 2 WHEN 1 THEN 'developer' ELSE 'publisher' END AS role FROM lineitem WHERE l_linenumber <= 2), i AS (SELECT l_partkey AS item, min(l_orderkey) AS store_id FROM lineitem WHERE l_discount = 0.05 GROUP BY 1)
+    """WITH r AS (SELECT l_partkey AS item, l_suppkey AS company, CASE l_linenumber % 2 WHEN 1 THEN 'developer' ELSE 'publisher' END AS role FROM lineitem), i AS (SELECT l_partkey AS item, min(l_orderkey) AS store_id FROM lineitem WHERE l_discount = 0.05 GROUP BY 1)
     SELECT DISTINCT item, company, role, store_id FROM r LEFT JOIN i USING (item) WHERE item IN (SELECT p_partkey FROM part WHERE p_type IN ('STANDARD', 'SMALL'))""",
 )
 def discover_games(t):
     r = t.lineitem.select(F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("company"), "l_linenumber")
     kinds = t.part.where(F.col("p_type").isin("STANDARD", "SMALL")).select(F.col("p_partkey").alias("item"))
     ids = t.lineitem.where("l_discount = 0.05").select(F.col("l_partkey").alias("item"), F.col("l_orderkey").cast("string").alias("id"))
-    return eav.discovered(r.where("l_linenumber = 1").drop("l_linenumber"), r.where("l_linenumber = 2").drop("l_linenumber"), kinds, ids).select("item", "company", "role", "store_id")
+    return eav.discovered(r.where("l_linenumber % 2 = 1").drop("l_linenumber"), r.where("l_linenumber % 2 = 0").drop("l_linenumber"), kinds, ids).select("item", "company", "role", "store_id")
 
 
-@query("chosen_types", "SELECT p_brand AS item, CASE WHEN bool_or(p_type = 'PROMO') THEN 'PROMO' WHEN bool_or(p_type = 'LARGE') THEN 'LARGE' WHEN bool_or(p_type = 'SMALL') THEN 'SMALL' END AS type FROM part WHERE p_type IN ('PROMO', 'LARGE', 'SMALL') AND p_size > 45 GROUP BY 1")
+@query("chosen_types", "SELECT p_brand AS item, CASE WHEN bool_or(p_type = 'PROMO') THEN 'PROMO' WHEN bool_or(p_type = 'LARGE') THEN 'LARGE' WHEN bool_or(p_type = 'SMALL') THEN 'SMALL' END AS type FROM part WHERE p_type IN ('PROMO', 'LARGE', 'SMALL') GROUP BY 1")
 def chosen_types(t):
-    return eav.chosen_type(t.part.where("p_size > 45").select(F.col("p_brand").alias("item"), F.col("p_type").alias("type")), ["PROMO", "LARGE", "SMALL"])
+    return eav.chosen_type(t.part.select(F.col("p_brand").alias("item"), F.col("p_type").alias("type")), ["PROMO", "LARGE", "SMALL"])
 
 
 @query("company_lookup", "SELECT s_nationkey AS company, s_suppkey AS candidate FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n FROM supplier) WHERE n <= 10")

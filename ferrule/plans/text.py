@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ferrule.functions import columns as C
+from ferrule.operators.resolver import similar_names
 from ferrule.plans.base import query
 
 FORMS = ("Inc.", "GmbH", "Co., Ltd", "Games LLC", "Studios", "Publishing", "(Asia) Interactive Pty Ltd", "S.A.")
@@ -68,9 +69,9 @@ def slugify(t):
     return t.part.select(F.col("p_partkey").alias("id"), C.slug(label).alias("slug"))
 
 
-@query("unicode_slugs", f"SELECT doc_id, CASE WHEN s = '' THEN 'untitled' ELSE s END AS slug FROM (SELECT doc_id, {SLUG.format('strip_accents(substr(text, 1, 60))')} AS s FROM documents WHERE text IS NOT NULL)")
+@query("unicode_slugs", f"SELECT doc_id, CASE WHEN s = '' THEN 'untitled' ELSE s END AS slug FROM (SELECT doc_id, {SLUG.format("strip_accents(coalesce(text, ''))")} AS s FROM documents)")
 def unicode_slugs(t):
-    return t.documents.where("text is not null").select("doc_id", C.slug(F.substring("text", 1, 60), unicode=True).alias("slug"))
+    return t.documents.select("doc_id", C.slug(F.coalesce("text", F.lit("")), unicode=True).alias("slug"))
 
 
 _GENRE = {"STANDARD": "Role-Playing (RPG)", "SMALL": "Platform Game", "MEDIUM": "Indie", "LARGE": "Hack and slash/Beat 'em up", "ECONOMY": "Early Access"}
@@ -168,10 +169,10 @@ def date_scalars(t):
 @query(
     "decode_html",
     r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(replace(regexp_replace(regexp_replace(title, '(?i)<br\s*/?>', ' ', 'g'), '<[^>]+>', '', 'g'), '&quot;', '"'), '&#39;|&apos;', '''', 'g'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g')) AS title
-    FROM (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages)""",
+    FROM (SELECT page_id, html AS title FROM pages)""",
 )
 def decode_html(t):
-    return t.pages.select("page_id", C.html_text(F.regexp_extract("html", "<title>(.*?)</title>", 1)).alias("title"))
+    return t.pages.select("page_id", C.html_text(F.col("html")).alias("title"))
 
 
 @query("parse_languages", "SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN 'English|French' WHEN 1 THEN 'German|Spanish - Spain|English' ELSE 'Japanese' END AS languages FROM customer")
@@ -197,9 +198,8 @@ def token_similarity_pairs(t):
 
 @query("jaro_winkler_pairs")
 def jaro_winkler_pairs(t):
-    p = t.part.select("p_type", "p_name").distinct().withColumn("block", F.element_at(F.split("p_name", " "), 1))
-    a, b = p.select("p_type", "block", F.col("p_name").alias("a")), p.select("p_type", "block", F.col("p_name").alias("b"))
-    return a.join(b, ["p_type", "block"]).where("a < b").select("a", "b", C.rounded(C.similarity(F.col("a"), F.col("b")), 4).alias("score")).distinct()
+    """All pairs of part names at least 0.85 alike; names that differ early are compared like any other."""
+    return similar_names(t.part.select("p_name").distinct(), "p_name", 0.85)
 
 
 @query("label_titles", "SELECT DISTINCT event_type || '-of_the 2d' AS id, upper(substr(event_type, 1, 1)) || substr(event_type, 2) || ' of the 2D' AS label FROM events")
