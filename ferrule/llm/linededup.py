@@ -25,15 +25,16 @@ from pyspark.sql import functions as F
 from ferrule.llm.common import forget, saved, text_or_empty
 
 MIN_RUN, MIN_WORDS = 3, 50
-STRIP = 65_536
+STRIP = 8_192
+#: Strips that are numbered together.
+STRIPS = 4_096
 #: Bits of the line hash by which lines are first dealt into strips.
 TOP_BITS = 12
 
 
 def _line_key(line: Column) -> list[Column]:
-    """120 bits of a line's MD5 as two numbers of 60 bits."""
-    digest = F.md5(line.cast("binary"))
-    return [F.conv(F.substring(digest, at, 15), 16, 10).cast("long").alias(name) for at, name in ((1, "a"), (16, "b"))]
+    """124 bits by which lines are told apart: two hashes of different seeds, the first of 60 bits."""
+    return [F.shiftrightunsigned(F.xxhash64(line), 4).alias("a"), F.xxhash64(F.lit("line"), line).alias("b")]
 
 
 def ranked(groups: DataFrame, first: Column, strip: Column, order: list[str]) -> DataFrame:
@@ -57,11 +58,14 @@ def suffix_array(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     groups = saved(ranked(groups, F.lit(0).cast("long"), F.shiftright("a", 60 - TOP_BITS), ["a", "b"]).select("a", "b", "rank"), "lines-0")
     now = saved(lines.join(groups, ["a", "b"]).select("row", "i", "rank", "words"), "suffixes-0")
     levels, placed = [now], []
-    while not now.isEmpty():
+    whole = left = now.count()
+    while left:
         level = len(levels) - 1
         step = 1 << level
         every = functools.reduce(DataFrame.unionByName, [now.select("row", "i", "rank"), *(p.select("row", "i", "rank") for p in placed)])
         ahead = every.select("row", (F.col("i") - step).alias("i"), F.col("rank").alias("r2"))
+        if left * 8 < whole:  # few are open: what they need is picked before the outer join, so that just the few are sent
+            ahead = ahead.join(now.select("row", "i"), ["row", "i"])
         pairs = now.select("row", "i", F.col("rank").alias("r1")).join(ahead, ["row", "i"], "left")
         # where nothing repeated follows, a suffix is alone: behind the others, in an order of its own
         alone = F.col("r2").isNull()
@@ -74,6 +78,7 @@ def suffix_array(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         placed.append(next_.where("n = 1").select("row", "i", "rank", F.lit(level).alias("level")))
         now = next_.where("n > 1").select("row", "i", "rank")
         levels.append(now)
+        left = now.count()
     array = functools.reduce(DataFrame.unionByName, placed) if placed else now.select("row", "i", "rank", F.lit(0).alias("level"))
     return array, levels[:-1]
 
@@ -81,17 +86,20 @@ def suffix_array(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 def common_prefixes(array: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """(rank, row, i, lcp): how many lines each suffix has in common with the one before it in the array."""
     before = array.select((F.col("rank") + 1).alias("rank"), F.col("row").alias("row_0"), F.col("i").alias("i_0"), F.col("level").alias("level_0"))
-    now = array.join(before, "rank", "left").select("rank", "row", "i", "row_0", "i_0", F.least("level", "level_0").alias("level"), F.lit(0).alias("lcp"))
-    now = saved(now.withColumn("level", F.when(F.col("row_0").isNotNull(), F.col("level"))), "neighbours")
+    start = F.when(F.col("row_0").isNotNull(), F.least("level", "level_0"))
+    pairs = saved(array.join(before, "rank", "left").select("rank", "row", "i", "row_0", "i_0", start.alias("level")), "neighbours")
+    now = None
     for level in reversed(range(len(levels))):
         one = levels[level].select(F.col("row").alias("x_row"), F.col("i").alias("x_i"), F.col("rank").alias("x"))
         two = levels[level].select(F.col("row").alias("y_row"), F.col("i").alias("y_i"), F.col("rank").alias("y"))
-        active = now.where(F.col("level") >= level)
+        active = pairs.where(F.col("level") == level).withColumn("lcp", F.lit(0)).drop("level")
+        active = active if now is None else active.unionByName(now)
         both = active.join(one, (F.col("row") == F.col("x_row")) & (F.col("i") + F.col("lcp") == F.col("x_i")), "left").join(two, (F.col("row_0") == F.col("y_row")) & (F.col("i_0") + F.col("lcp") == F.col("y_i")), "left")
-        grown = both.withColumn("lcp", F.col("lcp") + F.when(F.col("x") == F.col("y"), 1 << level).otherwise(0)).select(*now.columns)
-        last, now = now, saved(grown.unionByName(now.where(F.coalesce(F.col("level") < level, F.lit(True)))), f"prefixes-{level}")
-        forget(last)
-    return now.select("rank", "row", "i", "lcp")
+        grown = both.select("rank", "row", "i", "row_0", "i_0", (F.col("lcp") + F.when(F.col("x") == F.col("y"), 1 << level).otherwise(0)).alias("lcp"))
+        last, now = now, saved(grown, f"prefixes-{level}")
+        if last is not None:
+            forget(last)
+    return now.select("rank", "row", "i", "lcp").unionByName(pairs.where("level is null").select("rank", "row", "i", F.lit(0).alias("lcp")))
 
 
 def later_copies(lines: DataFrame, docs: DataFrame, min_run: int = MIN_RUN, min_words: int = MIN_WORDS) -> DataFrame:
@@ -107,9 +115,11 @@ def later_copies(lines: DataFrame, docs: DataFrame, min_run: int = MIN_RUN, min_
     strip = F.floor(F.col("rank") / STRIP)
     lengths = range(1, min_run + 1)
     starts = [F.when(F.col("lcp") < n, F.col("rank")) for n in lengths]
-    strips = array.groupBy(strip.alias("strip")).agg(*(F.max(x).alias(f"last_{n}") for n, x in zip(lengths, starts, strict=True)))
-    before = Window.orderBy("strip").rowsBetween(Window.unboundedPreceding, -1)
-    strips = strips.select("strip", *(F.max(f"last_{n}").over(before).alias(f"carried_{n}") for n in lengths))
+    strips = array.groupBy(strip.alias("strip")).agg(*(F.max(x).alias(f"last_{n}") for n, x in zip(lengths, starts, strict=True))).withColumn("batch", F.floor(F.col("strip") / STRIPS))
+    ahead = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    batches = strips.groupBy("batch").agg(*(F.max(f"last_{n}").alias(f"batch_{n}") for n in lengths))  # one row for STRIP * STRIPS places
+    batches = batches.select("batch", *(F.max(f"batch_{n}").over(ahead(F.lit(0), "batch")).alias(f"batch_{n}") for n in lengths))
+    strips = strips.join(batches, "batch").select("strip", *(F.coalesce(F.max(f"last_{n}").over(ahead("batch", "strip")), f"batch_{n}").alias(f"carried_{n}") for n in lengths))
     inside = Window.partitionBy("strip").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     found = array.withColumn("strip", strip).select("strip", "row", "i", *(F.max(x).over(inside).alias(f"own_{n}") for n, x in zip(lengths, starts, strict=True))).join(strips, "strip")
     found = found.select("row", "i", F.explode(F.array(*(F.struct(F.lit(n).alias("n"), F.coalesce(f"own_{n}", f"carried_{n}").alias("head")) for n in lengths))).alias("x")).select("row", "i", "x.*")
@@ -137,7 +147,7 @@ def deduplicated(docs: DataFrame, min_run: int = MIN_RUN, min_words: int = MIN_W
     split = F.split(text_or_empty(), "\n", -1)
     lines = base.where(F.col("text").isNotNull()).select("row", F.posexplode(split).alias("i", "line"))
     words = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
-    lines = lines.select("row", "i", words.alias("words"), *_line_key(F.col("line")))
+    lines = saved(lines.select("row", "i", words.alias("words"), *_line_key(F.col("line"))), "lines")
     marks = later_copies(lines, base.select("row", "doc_id"), min_run, min_words)
     marks = marks.groupBy("row", "i").agg((F.col("i") + F.max("n")).alias("end"))
     by_row = Window.partitionBy("row").orderBy("i")

@@ -59,6 +59,16 @@ def test_array_and_common_prefixes(spark, seed):
             assert common(x, tails[j]) == low
 
 
+def test_strips_join_up(spark, monkeypatch):
+    """With strips of three places and batches of two strips the result is the same."""
+    rnd = random.Random(7)
+    rows = [(i, "\n".join(rnd.choice("abcd") for _ in range(rnd.randrange(1, 9)))) for i in range(20)]
+    monkeypatch.setattr(linededup, "STRIP", 3)
+    monkeypatch.setattr(linededup, "STRIPS", 2)
+    got = linededup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.doc_id: r.text for r in got} == brute(rows, 2)
+
+
 def test_odd_rows(spark, odd, nothing):
     got = linededup.deduplicated(odd).collect()
     assert len(got) == odd.count()
