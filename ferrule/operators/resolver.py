@@ -7,12 +7,13 @@ ties are broken by the smallest id, so that the result doesn't depend on the ord
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.functions.columns import company_name, loose_company_name, rounded, similarity
+from ferrule.functions.columns import company_name, core_company_name, loose_company_name, rounded, similarity
 
 
 def resolve(refs: DataFrame, key: str, steps: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
@@ -76,3 +77,109 @@ def similar_names(names: DataFrame, column: str, threshold: float) -> DataFrame:
     alike = F.size(F.array_intersect("a_words", "b_words")) >= threshold * F.size(F.array_union("a_words", "b_words")) - 1e-9
     pairs = a.join(b, "token").where("a < b").where(near | alike).select("a", "b").distinct()
     return pairs.select("a", "b", rounded(similarity(F.col("a"), F.col("b")), 4).alias("score")).where(F.col("score") >= threshold)
+
+
+PROVIDERS = ("steam", "wikidata", "igdb")
+
+
+def _differ(a: Column, b: Column) -> Column:
+    """Whether two things have different ids of one provider; a missing id differs from none."""
+    return functools.reduce(Column.__or__, (F.coalesce(a[p] != b[p], F.lit(False)) for p in PROVIDERS))
+
+
+def match_companies(refs: DataFrame, entries: DataFrame, mapped_ids: DataFrame, mapped_names: DataFrame, registry: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(ref, id, method) of every reference (ref, name, steam, wikidata, igdb); id and method are null where it is new.
+
+    entries: id, name, aliases, seeded, steam, wikidata, igdb. mapped_ids and registry: key ("provider:id", the registry
+    also "name:key"), id. mapped_names: name, id. distinct: a, b, companies that are never the same.
+
+    The first evidence that says something counts: a mapped id, a mapped name as it stands and then normalised; by
+    provider a known id, then a registered one; the one company of the normalised name, or of several the only seeded
+    one, else the least; the companies that differ only by trailing words or blanks; the registered name. A company whose
+    ids differ from the reference's is none of them. Companies of one key stand in one array beside the key, so that
+    references are never multiplied; a key's companies are as many as share a name.
+    """
+    names = entries.select("id", F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.expr("cast(array() as array<string>)")))).alias("name"))
+    keyed = names.select("id", company_name(F.col("name")).alias("exact"), loose_company_name(F.col("name")).alias("loose")).where("exact <> ''").distinct()
+    keyed = keyed.withColumn("compact", F.replace("loose", F.lit(" "), F.lit("")))
+    apart = distinct.select("a", "b").union(distinct.select("b", "a")).groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("apart"))
+    whole = keyed.groupBy("id").agg(F.collect_set("exact").alias("names"))
+    own = entries.join(whole, "id").join(apart, "id", "left")
+    one = F.struct("id", "seeded", F.length("name").alias("length"), "name", *PROVIDERS, "names", F.coalesce("apart", F.array().cast(f"array<{dict(entries.dtypes)['id']}>")).alias("apart"))
+    full = own.select("id", one.alias("entry"))
+
+    def listed(key: str, name: str) -> DataFrame:
+        some = keyed.where(F.col(key) != "") if key != "compact" else keyed.where("length(compact) >= 5")
+        return some.select(F.col(key).alias(f"{name}_key"), "id").distinct().join(full, "id").groupBy(f"{name}_key").agg(F.collect_list("entry").alias(name))
+
+    # of each loose key the least and the greatest company that goes on with a word which isn't left out
+    words = F.split("exact", " ")
+    heads = keyed.select("id", "loose", F.explode(F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda n: F.array_join(F.slice(words, 1, n), " "))).alias("head"))
+    longer = heads.where("head <> loose").groupBy(F.col("head").alias("prefix_key")).agg(F.min("id").alias("longer_least"), F.max("id").alias("longer_most"))
+
+    out = refs.withColumns({"exact_key": company_name(F.col("name")), "loose_key": loose_company_name(F.col("name"))})
+    out = out.withColumns({"compact_key": F.when(F.length(F.replace("loose_key", F.lit(" "), F.lit(""))) >= 5, F.replace("loose_key", F.lit(" "), F.lit(""))), "prefix_key": F.col("loose_key")})
+    for key in ("exact", "loose", "compact"):
+        out = out.join(listed(key, key), f"{key}_key", "left")
+    out = out.join(longer, "prefix_key", "left")
+
+    steps: list[tuple[Column, Column]] = []
+    known = entries.select(F.explode(F.array(*(F.struct(F.concat(F.lit(f"{p}:"), p).alias("key"), F.col("seeded")) for p in PROVIDERS))).alias("k"), "id").select("k.*", "id").where("key is not null")
+    known = known.groupBy("key").agg(F.min(F.struct((~F.col("seeded")).alias("later"), "id"))["id"].alias("id"))  # seeds are registered first
+    for label, table in (("mapped", mapped_ids), ("known", known), ("registered", registry)):
+        least = table.groupBy("key").agg(F.min("id").alias("id"))
+        for p in PROVIDERS:
+            out = out.withColumn("_k", F.concat(F.lit(f"{p}:"), p)).join(least.select(F.col("key").alias("_k"), F.col("id").alias(f"{label}_{p}")), "_k", "left").drop("_k")
+    said = mapped_names.groupBy("name").agg(F.min("id").alias("mapped_exact"))
+    alike = mapped_names.groupBy(company_name(F.col("name")).alias("exact_key")).agg(F.min_by("id", "name").alias("mapped_alike"))
+    out = out.join(said, "name", "left").join(alike, "exact_key", "left")
+    by_name = registry.where("key like 'name:%'").groupBy(F.substring("key", 6, 1 << 30).alias("exact_key")).agg(F.min("id").alias("registered_name"))
+    ids = own.select(F.col("id").alias("registered_name"), F.struct(*PROVIDERS).alias("registered_ids"))
+    out = out.join(by_name, "exact_key", "left").join(ids, "registered_name", "left")
+
+    own_ids = F.struct(*PROVIDERS)
+    none = F.filter(F.coalesce("exact", "loose", "compact"), lambda e: F.lit(False))
+    fits = lambda c: F.filter(F.coalesce(F.col(c), none), lambda e: ~_differ(e, own_ids))
+    out = out.withColumns({"_named": fits("exact"), "_group": F.array_distinct(F.concat(fits("loose"), fits("compact")))})
+    clash = F.exists("_group", lambda a: F.exists("_group", lambda b: (a["id"] != b["id"]) & (_differ(a, b) | F.array_contains(a["apart"], b["id"]))))
+    seeded = lambda c: F.filter(c, lambda e: e["seeded"])
+    stable = lambda c: F.array_sort(F.transform(c, lambda e: F.struct(e["length"].alias("a"), e["id"].alias("b"))))
+    with_id = lambda c: F.filter(c, lambda e: functools.reduce(Column.__or__, (e[p].isNotNull() for p in PROVIDERS)))
+    short = F.filter("_group", lambda e: F.array_contains(e["names"], F.col("loose_key")))
+    # several names of a group: those that are just the short name, and of these the only one with an id
+    pool = F.when(F.size(short) > 0, short).otherwise(F.col("_group"))
+    best = F.get(stable(F.when(F.size(with_id(pool)) == 1, with_id(pool)).otherwise(pool)), 0)["b"]
+    shared = lambda id_: F.coalesce((F.col("longer_least") != id_) | (F.col("longer_most") != id_), F.lit(False))
+    chief = F.get(seeded(F.col("_group")), 0)["id"]
+    first = F.array_min(F.transform("_group", lambda e: e["id"]))
+    folded = (
+        F.when((F.col("loose_key") == "") | (F.size("_group") == 0) | clash | (F.size(seeded(F.col("_group"))) > 1), None)
+        .when(F.size(seeded(F.col("_group"))) == 1, F.when((F.size(short) > 0) | ~shared(chief), chief))
+        .otherwise(F.when((F.size(short) > 0) | ~shared(first), best))
+    )
+    out = out.withColumn("_folded", folded)
+    several = F.when(F.size(seeded(F.col("_named"))) == 1, F.get(seeded(F.col("_named")), 0)["id"]).otherwise(F.array_min(F.transform("_named", lambda e: e["id"])))
+    only = F.get("_named", 0)
+    steps += [(F.col(f"mapped_{p}"), F.lit("mapping")) for p in PROVIDERS] + [(F.col("mapped_exact"), F.lit("mapping")), (F.col("mapped_alike"), F.lit("mapping"))]
+    steps += [x for p in PROVIDERS for x in ((F.col(f"known_{p}"), F.lit("external-id")), (F.col(f"registered_{p}"), F.lit("registry")))]
+    same = F.coalesce(F.col("_folded") == only["id"], F.lit(True)) & (only["name"] == F.col("name"))
+    steps += [
+        (F.when(F.size("_named") == 1, F.coalesce("_folded", only["id"])), F.when(same, "name").otherwise("normalized-name")),
+        (F.when(F.size("_named") > 1, F.coalesce("_folded", several)), F.lit("normalized-name")),
+        (F.col("_folded"), F.lit("normalized-name")),
+        (F.when(F.col("registered_ids").isNull() | ~_differ(F.col("registered_ids"), own_ids), F.col("registered_name")), F.lit("registry")),
+    ]
+    return out.select("ref", F.coalesce(*(v for v, _ in steps)).alias("id"), F.coalesce(*(F.when(v.isNotNull(), m) for v, m in steps)).alias("method"))
+
+
+def suggested_links(names: DataFrame, column: str, entries: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """(name, suggestion, score): for each unmatched name the most alike core name of an entry (id, name), if it is at
+    least that alike; the least id of several. Threshold as for similar_names(), which gives the candidates."""
+    core = core_company_name(F.col("name"))
+    known = entries.select("id", core.alias("core")).where("core <> ''").groupBy("core").agg(F.min("id").alias("id"))
+    asked = names.select(F.col(column).alias("name")).distinct().withColumn("own", core).where("own <> ''")
+    pairs = similar_names(asked.select(F.col("own").alias("c")).union(known.select("core")), "c", threshold)
+    both = pairs.select("a", "b", "score").union(pairs.select("b", "a", "score")).unionByName(known.select(F.col("core").alias("a"), F.col("core").alias("b"), F.lit(1.0).alias("score")))
+    found = asked.join(both, F.col("own") == F.col("a")).join(known, F.col("b") == F.col("core"))
+    best = found.groupBy("name").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("best"))
+    return best.select("name", (-F.col("best.minus")).alias("suggestion"), F.col("best.score").alias("score"))
