@@ -38,7 +38,7 @@ CHUNK_BYTES = 6_000_000
 CHUNKS_A_BUCKET, LEAST_BUCKETS = 4, 8
 MERGE_KEYS = 2_000_000
 #: Texts that are sorted together.
-BATCH_BYTES, BATCH_TEXTS = 4_000_000, 60_000
+BATCH_BYTES, BATCH_TEXTS = 2_000_000, 60_000
 END = b"\n"
 
 LOG_HALF = math.log(0.5)
@@ -358,9 +358,9 @@ def scored(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         return map(completed, batches)
 
     sums = ("zeros", "ones", "weighted")
-    own = saved(asked.groupBy("bucket").applyInPandas(heads, "bucket int, node long, zeros double, ones double, weighted double"), "ctw-nodes")
+    own = saved(asked.groupBy("bucket").applyInPandas(heads, "bucket int, node long, zeros double, ones double, weighted double"), "ctw-nodes", free=True)
     nodes = own.groupBy("node").agg(*(F.sum(c).alias(c) for c in sums)).mapInPandas(complete, "node long, zeros double, ones double, weighted double, beta double, one double, total double")
-    nodes = saved(nodes, "ctw-near")
+    nodes = saved(nodes, "ctw-near", free=True)
     prefix, near = F.shiftright("node", 16), F.shiftright("node", 8).bitwiseAND(0xFF)
     top = nodes.groupBy(prefix.alias("prefix"), near.alias("near")).agg(*(F.sum(c).alias(c) for c in sums)).toPandas()  # at most 255 * 256 rows
     head = docs.sparkSession.sparkContext.broadcast(above(top))
