@@ -113,12 +113,12 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """
     spark = edges.sparkSession
     both = edges.select("a", "b").union(edges.select("b", "a")).toDF("a", "b").distinct()
-    labels = _cut(spark, both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"))
+    labels = cut(spark, both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"))
     for _ in range(rounds):
         heard = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("heard"))
         told = labels.join(heard, labels["node"] == heard["a"]).select("node", "root", F.least("root", "heard").alias("near"))
         jump = labels.select(F.col("node").alias("near"), F.col("root").alias("far"))
-        moved = _cut(spark, told.join(jump, "near").select("node", "root", F.least("near", "far").alias("next")))
+        moved = cut(spark, told.join(jump, "near").select("node", "root", F.least("near", "far").alias("next")))
         labels = moved.select("node", F.col("next").alias("root"))
         if moved.where("root <> next").isEmpty():
             return labels
@@ -136,7 +136,7 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/ferrule-{uuid.uuid4().hex}"
 
 
-def _cut(spark: SparkSession, df: DataFrame) -> DataFrame:
+def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
     """df without its lineage, checkpointed where all executors can read it."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
@@ -151,7 +151,7 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "position", par
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _cut(spark, df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    dealt = cut(spark, df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
     ahead = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
     placed = dealt.withColumn("_own", F.row_number().over(Window.partitionBy("_part").orderBy(*order))).join(F.broadcast(ahead), "_part")

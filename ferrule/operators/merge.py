@@ -110,7 +110,7 @@ def known_relations(games: DataFrame, id_of: DataFrame) -> DataFrame:
     pairs = parents.unionByName(parts).distinct()
     listed = pairs.groupBy(F.col("game").alias("cluster")).agg(F.array_sort(F.collect_list("part")).alias("dlc"))
     whole = pairs.groupBy(F.col("part").alias("cluster")).agg(F.min("game").alias("parent_game"))
-    return games.select("cluster").join(whole, "cluster", "left").join(listed, "cluster", "left").select("cluster", "parent_game", F.coalesce("dlc", F.expr("cast(array() as array<bigint>)")).alias("dlc"))
+    return games.select("cluster").join(whole, "cluster", "left").join(listed, "cluster", "left").select("cluster", "parent_game", F.coalesce("dlc", F.array()).alias("dlc"))
 
 
 def merge_companies(records: DataFrame, seeds: DataFrame, prior: DataFrame, created: DataFrame) -> DataFrame:
