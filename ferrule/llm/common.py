@@ -41,7 +41,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 def saved(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """df written as Parquet in the shared folder and read back: cuts the lineage and survives lost executors.
 
-    free: the driver collects its garbage afterwards, as Spark deletes shuffle files once nothing refers to them.
+    free: the driver collects its garbage afterwards, as Spark deletes shuffle files on disk and broadcast tables in the
+    executors' memory once nothing refers to them.
     """
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
@@ -127,7 +128,7 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
     now = saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-edges")
     seen = None
     for _ in range(rounds):
-        before, now = now, saved(star(star(now, True), False), f"{name}-round")
+        before, now = now, saved(star(star(now, True), False), f"{name}-round", free=True)
         forget(before)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:

@@ -301,7 +301,7 @@ def near_copies(rows: DataFrame, words: int = NEAR_WORDS, similarity: float = SI
         if first == last:
             continue
         now = classes.withColumn("component", F.col("key")) if joined is None else classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        found.append(saved(_links(_candidates(now, first, last, more, similarity), classes, rows, words, similarity), f"near-links-{first}"))
+        found.append(saved(_links(_candidates(now, first, last, more, similarity), classes, rows, words, similarity), f"near-links-{first}", free=True))
         joined = components(functools.reduce(DataFrame.unionByName, found), "near")
     return prints.select("row", "key").join(joined.withColumnRenamed("node", "key"), "key", "left").select("row", F.coalesce("component", "key").alias("component"))
 
@@ -315,20 +315,22 @@ def _candidates(classes: DataFrame, first: int, last: int, more: int, similarity
                 part = batch.slice(at, 256)
                 bits = np.unpackbits(np.frombuffer(b"".join(part.column("bits").to_pylist()), np.uint8).reshape(part.num_rows, -1), axis=1)
                 slot = slots(bits, first, last, more)
-                each = [pa.array(np.repeat(np.asarray(part.column(c)), slot.shape[1])) for c in ("key", "component", "n")]
-                yield pa.RecordBatch.from_arrays([pa.array(slot.ravel()), *each], names=["slot", "key", "component", "n"])
+                each = [pa.array(np.repeat(np.asarray(part.column(c)), slot.shape[1])) for c in ("key", "component")]
+                yield pa.RecordBatch.from_arrays([pa.array(slot.ravel()), *each], names=["slot", "key", "component"])
 
-    placed = classes.select("key", "component", "n", "bits").mapInArrow(place, "slot long, key long, component long, n long")
+    placed = classes.select("key", "component", "bits").mapInArrow(place, "slot long, key long, component long")
     # the order differs from slot to slot, so that not the same classes follow each other everywhere
     order = Window.partitionBy("slot").orderBy(F.xxhash64("component", "slot"), "key")
-    pairs = placed.select("key", "component", "n", *(F.lag(c).over(order).alias(f"last_{c}") for c in ("key", "component", "n")))
-    pairs = pairs.where((F.col("component") != F.col("last_component")) & (F.least("n", "last_n") >= similarity * F.greatest("n", "last_n")))
-    return pairs.select(F.least("key", "last_key").alias("a"), F.greatest("key", "last_key").alias("b")).distinct()
+    pairs = placed.select("key", "component", *(F.lag(c).over(order).alias(f"last_{c}") for c in ("key", "component"))).where("component <> last_component")
+    pairs = pairs.select(F.least("key", "last_key").alias("a"), F.greatest("key", "last_key").alias("b")).distinct()
+    sizes = classes.select("key", "n")
+    sized = pairs.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("n")), "a").join(sizes.select(F.col("key").alias("b"), F.col("n").alias("m")), "b")
+    return sized.where(F.least("n", "m") >= similarity * F.greatest("n", "m")).select("a", "b")
 
 
 def _links(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts are that similar."""
-    pairs = saved(pairs, "near-pairs")
+    pairs = saved(pairs, "near-pairs", free=True)
     some = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     texts = saved(rows.join(classes.join(some, "key").select("row", "key"), "row").select("key", "text"), "near-texts")
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
