@@ -61,6 +61,12 @@ GENRES = {
 NON_GAMEPLAY = ("early-access", "free-to-play", "indie", "massively-multiplayer")
 #: Words that a title keeps small.
 SMALL_WORDS = ("a", "an", "and", "of", "the", "for", "in", "on", "to")
+#: Layouts of store dates (month day year, day month year, month year, year with or without a quarter, ISO).
+DATE_MDY = r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})$"
+DATE_DMY = r"^(\d{1,2}) ([A-Za-z]{3,9})\.?,? (\d{4})$"
+DATE_MY = r"^([A-Za-z]{3,9}),? (\d{4})$"
+DATE_Y = r"^(?:Q[1-4] )?(\d{4})$"
+DATE_ISO = r"^(\d{4})-(\d{2})-(\d{2})"
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
@@ -231,8 +237,7 @@ def store_date(text: Column) -> Column:
     def made(date: Column, precision: str) -> Column:
         return F.when(date.isNotNull(), F.struct(date.alias("date"), F.lit(precision).alias("precision")))
 
-    mdy, dmy, my = r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})$", r"^(\d{1,2}) ([A-Za-z]{3,9})\.?,? (\d{4})$", r"^([A-Za-z]{3,9}),? (\d{4})$"
-    y, iso = r"^(?:Q[1-4] )?(\d{4})$", r"^(\d{4})-(\d{2})-(\d{2})"
+    mdy, dmy, my, y, iso = DATE_MDY, DATE_DMY, DATE_MY, DATE_Y, DATE_ISO
     return (
         F.when(s.rlike(mdy), made(F.concat(part(mdy, 3), F.lit("-"), month(part(mdy, 1)), F.lit("-"), F.lpad(part(mdy, 2), 2, "0")), "day"))
         .when(s.rlike(dmy), made(F.concat(part(dmy, 3), F.lit("-"), month(part(dmy, 2)), F.lit("-"), F.lpad(part(dmy, 1), 2, "0")), "day"))

@@ -10,7 +10,7 @@ PROVIDERS = resolver.PROVIDERS
 
 
 def exact(name):
-    words = name.lower().split()
+    words = name.lower().replace(".", " ").split()
     while len(words) > 1 and words[-1] == "inc":
         words.pop()
     return " ".join(words)
