@@ -12,7 +12,7 @@ later copies. A run of MIN_RUN lines counts, and a shorter one of MIN_WORDS word
 that overlap or touch join to the maximal repeated runs, whose lines are deleted.
 
 A rank is the number of suffixes in front: that of the old group plus those of the group whose second rank is smaller,
-counted by strips of second ranks, so that no window has to hold a large group. Intervals are found by strips of places.
+counted by strips of second ranks and by batches of strips, so that no window has to hold a large group. Intervals are found by strips of places.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ MIN_RUN, MIN_WORDS = 3, 50
 STRIP = 8_192
 #: Strips that are numbered together.
 STRIPS = 4_096
+#: Second ranks from here on are those of suffixes with nothing behind them, 56 bits of a hash, in 2 ** 16 strips.
+ALONE = 1 << 62
 #: Bits of the line hash by which lines are first dealt into strips.
 TOP_BITS = 12
 
@@ -40,9 +42,10 @@ def _line_key(line: Column) -> list[Column]:
 def ranked(groups: DataFrame, first: Column, strip: Column, order: list[str]) -> DataFrame:
     """groups (with n members each) with rank: members of smaller groups within `first`, strip by strip."""
     groups = groups.withColumn("_first", first).withColumn("_strip", strip)
-    strips = groups.groupBy("_first", "_strip").agg(F.sum("n").alias("_n"))
-    before = Window.partitionBy("_first").orderBy("_strip").rowsBetween(Window.unboundedPreceding, -1)
-    strips = strips.withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    strips = groups.groupBy("_first", "_strip").agg(F.sum("n").alias("_n")).withColumn("_batch", F.floor(F.col("_strip") / STRIPS))
+    ahead = lambda *by: F.coalesce(F.sum("_n").over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    batches = strips.groupBy("_first", "_batch").agg(F.sum("_n").alias("_n")).select("_first", "_batch", ahead("_first", "_batch").alias("_before"))
+    strips = strips.join(batches, ["_first", "_batch"]).select("_first", "_strip", (F.col("_before") + ahead("_first", "_batch", "_strip")).alias("_ahead"))
     inside = Window.partitionBy("_first", "_strip").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = groups.withColumn("_within", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(strips, ["_first", "_strip"])
     return out.withColumn("rank", F.col("_first") + F.col("_ahead") + F.col("_within")).drop("_first", "_strip", "_ahead", "_within")
@@ -69,10 +72,11 @@ def suffix_array(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         pairs = now.select("row", "i", F.col("rank").alias("r1")).join(ahead, ["row", "i"], "left")
         # where nothing repeated follows, a suffix is alone: behind the others, in an order of its own
         alone = F.col("r2").isNull()
-        pairs = pairs.select("row", "i", "r1", F.coalesce("r2", F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("row", "i"), 8)).alias("r2"), F.when(alone, F.struct("row", "i")).alias("own"))
+        pairs = pairs.select("row", "i", "r1", F.coalesce("r2", F.lit(ALONE) + F.shiftrightunsigned(F.xxhash64("row", "i"), 8)).alias("r2"), F.when(alone, F.struct("row", "i")).alias("own"))
         pairs = saved(pairs, f"pairs-{step}")
+        strip = F.when(F.col("r2") >= ALONE, F.lit(ALONE >> 16) + F.shiftright(F.col("r2") - F.lit(ALONE), 40)).otherwise(F.floor(F.col("r2") / STRIP))
         groups = pairs.groupBy("r1", "r2", "own").agg(F.count("*").alias("n"))
-        groups = ranked(groups, F.col("r1"), F.floor(F.col("r2") / STRIP), ["r2", "own"]).select(F.col("r1").alias("g1"), F.col("r2").alias("g2"), F.col("own").alias("g3"), "rank", "n")
+        groups = ranked(groups, F.col("r1"), strip, ["r2", "own"]).select(F.col("r1").alias("g1"), F.col("r2").alias("g2"), F.col("own").alias("g3"), "rank", "n")
         next_ = saved(pairs.join(groups, (F.col("r1") == F.col("g1")) & (F.col("r2") == F.col("g2")) & F.col("own").eqNullSafe(F.col("g3"))).select("row", "i", "rank", "n"), f"suffixes-{2 * step}")
         forget(pairs)
         placed.append(next_.where("n = 1").select("row", "i", "rank", F.lit(level).alias("level")))
