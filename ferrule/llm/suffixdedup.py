@@ -16,6 +16,7 @@ dealt one by one, each by its own bytes, so that no bucket holds a common passag
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,13 +33,15 @@ from ferrule.llm.ctw import packed, unpacked
 WIDTH, GRAM = 100, 40
 CHUNK_BYTES, BATCH_BYTES = 4_000_000, 2_000_000
 LEAST_BUCKETS = 16
-#: Bytes of text whose anchors are found together; their places take the low _INDEX_BITS of a number.
-SECTION = 1 << 22
+#: Bytes of text whose anchors are found together, few enough for a processor's cache; their places take the low
+#: _INDEX_BITS of a number.
+SECTION = 1 << 16
 HOT = 20_000
 #: Ends a document in a transform; no byte of UTF-8.
 DONE = 255
-#: Bytes of the transform whose symbols are counted together; as many as a byte can number.
-BLOCK = 256
+#: Bytes of the transform whose symbols are counted together: a block has BLOCK of them when the blocks are laid out, and
+#: they are laid out anew before one has more than WIDEST, as many as a byte can number.
+BLOCK, WIDEST = 192, 255
 
 _INDEX_BITS = 28
 _ROOT = 0x9E3779B97F4A7C15 | 1
@@ -60,36 +63,45 @@ def bwt(texts: list[bytes]) -> np.ndarray:
     out = np.where(lengths > 0, flat[np.maximum(ends - 1, 0)] if len(flat) else 0, done).astype(np.uint8)
     place, left, doc = np.arange(n), lengths.copy(), np.arange(n)
     first = ends - lengths
-    base = (np.arange(-(-(len(flat) + n + 1) // BLOCK) * BLOCK, dtype=np.int64) // BLOCK) * width
-    columns = np.arange(BLOCK, dtype=np.uint8)
+    columns = np.arange(WIDEST + 1, dtype=np.uint8)
+    starts = counts = None
     while True:
         symbol = out[place]
         go = np.flatnonzero(symbol != done)
         if not len(go):
             return np.append(used, DONE).astype(np.uint8)[out]
         place, left, doc, symbol = place[go], left[go] - 1, doc[go], symbol[go]
-        # how often each symbol occurs before its place: by block, then within the block
-        blocks = -(-len(out) // BLOCK)
-        filled = np.full(blocks * BLOCK, done, np.uint8)
-        filled[: len(out)] = out
-        ahead = np.bincount(base[: len(filled)] + filled, minlength=blocks * width).reshape(blocks, width)
-        before = np.cumsum(ahead, axis=0)
-        total = before[-1].copy()
-        before -= ahead
-        block = place // BLOCK
-        rank = before[block, symbol]
-        rows, within = filled.reshape(blocks, BLOCK), (place % BLOCK).astype(np.uint8)
+        if starts is None or np.diff(np.append(starts, len(out))).max() > WIDEST:
+            starts = np.arange(0, len(out), BLOCK)
+            padded = np.full(len(starts) * BLOCK, done, np.uint8)
+            padded[: len(out)] = out
+            counts = np.bincount(np.repeat(np.arange(len(starts)) * width, BLOCK) + padded, minlength=len(starts) * width).reshape(-1, width).astype(np.int32)
+            counts[-1, done] -= len(padded) - len(out)
+        # how often each symbol occurs before its place: in the blocks before, then within the block
+        before = np.cumsum(counts, axis=0, dtype=np.int32)
+        total = before[-1].astype(np.int64)
+        block = np.searchsorted(starts, place, "right") - 1
+        rank = (before[block, symbol] - counts[block, symbol]).astype(np.int64)
+        within = (place - starts[block]).astype(np.uint8)
+        windows = np.lib.stride_tricks.sliding_window_view(np.append(out, np.full(WIDEST, done, np.uint8)), WIDEST + 1)
         for at in range(0, len(place), 8192):
             part = slice(at, at + 8192)
-            hit = (rows[block[part]] == symbol[part, None]) & (columns < within[part, None])
+            hit = (windows[starts[block[part]]] == symbol[part, None]) & (columns < within[part, None])
             # eight counters of a byte in each word; fewer than 256 hits in all
             rank[part] += (hit.view(np.uint64).sum(axis=1) * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
         to = n + (np.cumsum(total) - total)[symbol] + rank
+        new = np.where(left > 0, flat[np.maximum(first[doc] + left - 1, 0)], done).astype(np.uint8)
         grown = np.empty(len(out) + len(to), np.uint8)
         old = np.ones(len(grown), bool)
         old[to] = False
         grown[old] = out
-        grown[to] = np.where(left > 0, flat[np.maximum(first[doc] + left - 1, 0)], done)
+        grown[to] = new
+        # a new symbol belongs to the block of the old one before it
+        order = np.argsort(to, kind="stable")
+        behind = to[order] - np.arange(len(to))  # how many old symbols are before it
+        home = np.maximum(np.searchsorted(starts, behind, "left") - 1, 0)
+        np.add.at(counts, (home, new[order]), 1)
+        starts = starts + np.concatenate(([0], np.cumsum(np.bincount(home, minlength=len(starts)))[:-1]))
         out, place = grown, to
 
 
@@ -149,14 +161,19 @@ def anchors(flat: np.ndarray, lengths: np.ndarray, width: int = WIDTH, gram: int
     return Anchors(*(np.concatenate([getattr(x, c) for x in found]) for c in ("hashes", "first", "last")))
 
 
+@functools.lru_cache(8)
+def _powers(n: int) -> np.ndarray:
+    powers = np.full(n, _ROOT, np.uint64)
+    powers[0] = 1
+    return np.multiply.accumulate(powers, out=powers)
+
+
 def _anchors(flat: np.ndarray, valid: np.ndarray, offset: int, width: int, gram: int) -> Anchors:
     none = np.zeros(0, np.int64)
     if len(flat) < width or not valid.any():
         return Anchors(np.zeros(0, np.uint64), none, none)
     n = len(flat) - gram + 1
-    powers = np.full(len(flat), _ROOT, np.uint64)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
+    powers = _powers(len(flat))
     total = np.zeros(len(flat) + 1, np.uint64)
     np.cumsum(_BYTES[flat] * powers[::-1], out=total[1:])
     # each gram's sum, brought to one power, the same for any number of texts
@@ -180,8 +197,9 @@ def _anchors(flat: np.ndarray, valid: np.ndarray, offset: int, width: int, gram:
 class Batch:
     """Some texts of a chunk, in order of their documents, and their anchors."""
 
-    def __init__(self, ids: np.ndarray, texts: list[bytes]):
+    def __init__(self, ids: np.ndarray, texts: list[bytes], bases: np.ndarray | None = None):
         self.ids, self.texts = ids, texts
+        self.bases = np.zeros(len(texts), np.int64) if bases is None else bases
         self.lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.offsets = np.cumsum(self.lengths) - self.lengths
         self.data = b"".join(texts)
@@ -192,13 +210,17 @@ def batches(frame: pd.DataFrame) -> Iterator[Batch]:
     ids, texts = frame["place"].to_numpy(np.int64), [(t or "").encode("utf-8", "surrogatepass") for t in frame["text"]]
     order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))  # rows that share a place stand in the order of their texts
     ids, texts = ids[order], [texts[i] for i in order]
+    bases = np.zeros(len(texts), np.int64)  # such rows are one document: a row begins where the one before it ends
+    for i in range(1, len(texts)):
+        if ids[i] == ids[i - 1]:
+            bases[i] = bases[i - 1] + len(texts[i - 1])
     at = 0
     while at < len(texts):
         end, size = at, 0
         while end < len(texts) and (end == at or size + len(texts[end]) <= BATCH_BYTES):
             size += len(texts[end])
             end += 1
-        yield Batch(ids[at:end], texts[at:end])
+        yield Batch(ids[at:end], texts[at:end], bases[at:end])
         at = end
 
 
@@ -257,7 +279,7 @@ def dealt(frame: pd.DataFrame, answers: pd.DataFrame, buckets: int) -> Iterator[
         if piece not in seen:
             seen.add(piece)
             d = int(np.searchsorted(batch.offsets, at, "right")) - 1  # of texts that start there the last: the others are empty
-            out.setdefault(key % buckets, []).append((key, int(batch.ids[d]), at - int(batch.offsets[d]), piece))
+            out.setdefault(key % buckets, []).append((key, int(batch.ids[d]), at - int(batch.offsets[d]) + int(batch.bases[d]), piece))
     for b, rows in out.items():
         keys, ids, starts, texts = zip(*rows, strict=True)
         yield {"bucket": b, "keys": packed(np.array(keys, np.uint64)), "ids": packed(np.array(ids, np.int64)), "starts": packed(np.array(starts, np.int64)), "lengths": packed(np.fromiter(map(len, texts), np.uint16, len(texts))), "data": packed(np.frombuffer(b"".join(texts), np.uint8))}

@@ -62,3 +62,39 @@ def test_odd_rows(spark, odd, nothing):
     assert len(got) == odd.count() and sum(r.n_bytes == 0 for r in got) == 2
     assert sum(len(r.kept) for r in got if r.doc_id == 5) < 200  # the text repeats itself, and the second row repeats the first
     assert sd.deduplicated(nothing).count() == 0
+
+
+def test_sections_of_any_size_give_the_same_anchors():
+    """However a text is cut into sections, every string has the same anchor; above and below a section's size."""
+    rnd = random.Random(3)
+    texts = [bytes(rnd.choice(b"ab cd") for _ in range(n)) for n in (0, 99, 100, 101, 1500, 60, 400)]
+    flat, lengths = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
+
+    def by_start(section):
+        a = sd.anchors(flat, lengths, section=section)
+        return {p: h for h, x, y in zip(a.hashes.tolist(), a.first.tolist(), a.last.tolist(), strict=True) for p in range(x, y + 1)}
+
+    whole = by_start(1 << 20)
+    assert len(whole) == sum(max(0, len(t) - 99) for t in texts)
+    assert all(by_start(n) == whole for n in (101, 128, 777))
+
+
+def test_blocks_are_laid_out_anew(monkeypatch):
+    rnd = random.Random(5)
+    texts = list({bytes(rnd.choice(b"abc") for _ in range(rnd.randrange(0, 120))) for _ in range(400)})
+    want = sd.bwt(texts)
+    for block, widest in ((4, 7), (16, 31), (200, 255)):
+        monkeypatch.setattr(sd, "BLOCK", block)
+        monkeypatch.setattr(sd, "WIDEST", widest)
+        assert np.array_equal(sd.bwt(texts), want)
+
+
+def test_rows_that_share_an_id_stand_in_the_order_of_their_texts(spark):
+    text = "one passage of more than a hundred bytes that stands in both of the rows which have the same id, once each of them; "
+    rows = [(7, "b " + text), (7, "a " + text), (7, "c"), (None, text), (2, text)]
+    for n in (1, 3):
+        got = sd.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()
+        kept = sorted((str(r.doc_id), r.n_bytes, len(r.kept)) for r in got)
+        assert kept == sorted([("None", len(text), len(text)), ("2", len(text), 0), ("7", len(text) + 2, 2), ("7", len(text) + 2, 1), ("7", 1, 1)])  # the blank before is in both
+    got = sd.deduplicated(spark.createDataFrame(rows[:2], "doc_id long, text string").repartition(2)).collect()
+    assert sorted(bytes(r.kept) for r in got) == sorted([("a " + text).encode(), b"b"])
