@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.operators.core import components, first_by, inclusion, last_wins
@@ -17,10 +20,10 @@ def inclusion_semi(t):
     return chosen.union(t.part.where("p_partkey % 100 = 0").select("p_partkey")).distinct()
 
 
-@query("orphan_anti", "SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("orphan_anti", "SELECT doc_id FROM documents WHERE doc_id % 7 <> 0 AND NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
 def orphan_anti(t):
     # neither curated nor referenced
-    return t.customer.where("c_custkey % 7 <> 0").join(t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
+    return t.documents.where("doc_id % 7 <> 0").select("doc_id").join(t.labels.select("doc_id"), "doc_id", "left_anti")
 
 
 @query("reference_cleanup", "SELECT l_orderkey, string_agg(DISTINCT l_suppkey::VARCHAR, '|' ORDER BY l_suppkey::VARCHAR) AS suppliers FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 6 <> 0) GROUP BY 1")
@@ -43,29 +46,42 @@ def reciprocal_edges(t):
     return e.union(e.select("b", "a")).where("a <> b").distinct()
 
 
-EDGES = """e AS (SELECT 'c' || l_suppkey AS "from", CASE l_linenumber % 2 WHEN 1 THEN 'developer' ELSE 'publisher' END AS type, 'g' || l_partkey AS "to", 1 AS step, max(l_orderkey) AS source FROM lineitem GROUP BY 1, 2, 3
-  UNION ALL SELECT 'g' || p_partkey, 'uses-engine', p_brand, 2, p_partkey FROM part
-  UNION ALL SELECT 'c' || s_suppkey, 'subsidiary-of', 'n' || s_nationkey, 3, s_suppkey FROM supplier
-  UNION ALL SELECT 'c' || s_suppkey, 'developer', 'g' || s_suppkey, 4, -1 FROM supplier)"""
+EDGES = """e AS (SELECT 'c' || l_suppkey AS "from", CASE l_linenumber % 2 WHEN 1 THEN 'developer' ELSE 'publisher' END AS type, 'g' || l_partkey AS "to", 1 AS step, max(l_orderkey) AS source, false AS remove FROM lineitem GROUP BY 1, 2, 3
+  UNION ALL SELECT 'g' || p_partkey, (['uses-engine', 'uses-middleware', 'uses-language', 'uses-tool'])[1 + p_partkey % 4], p_brand, 2, p_partkey, false FROM part
+  UNION ALL SELECT 'g' || p_partkey, (['dlc-of', 'remaster-of', 'port-of'])[1 + p_partkey % 3], 'g' || (p_partkey - 1), 3, p_partkey, false FROM part WHERE p_partkey % 10 = 1
+  UNION ALL SELECT 'c' || s_suppkey, 'subsidiary-of', 'n' || s_nationkey, 4, s_suppkey, false FROM supplier
+  UNION ALL SELECT 'u' || c_custkey, 'affiliated-with', 'n' || c_nationkey, 5, NULL, false FROM customer UNION ALL SELECT DISTINCT 'u' || o_custkey, 'credited-on', 'g' || (o_orderkey % 100), 6, NULL::BIGINT, false FROM orders
+  UNION ALL SELECT 'c' || s_suppkey, 'developer', 'g' || s_suppkey, 7, -1, s_suppkey % 7 = 0 FROM supplier UNION ALL SELECT 'c' || s_suppkey, CASE s_suppkey % 2 WHEN 0 THEN 'porting' ELSE 'support' END, 'g' || s_suppkey, 7, -1, false FROM supplier)"""
 
 
 def edges(t):
-    role = F.when(F.col("l_linenumber") % 2 == 1, "developer").otherwise("publisher")
+    """All edges (from, type, to) with their source, in the order in which later ones replace earlier ones; those by hand
+    come last and may remove."""
     s, p = F.col("s_suppkey"), F.col("p_partkey")
+    pick = lambda column, *names: F.get(F.array(*(F.lit(n) for n in names)), (column % len(names)).cast("int"))
+    key = lambda letter, column: F.concat(F.lit(letter), column.cast("string"))
 
-    def key(letter, column):
-        return F.concat(F.lit(letter), column.cast("string"))
-
-    credits = t.lineitem.groupBy(key("c", F.col("l_suppkey")).alias("from"), role.alias("type"), key("g", F.col("l_partkey")).alias("to")).agg(F.max("l_orderkey").alias("source")).withColumn("step", F.lit(1))
-    uses = t.part.select(key("g", p).alias("from"), F.lit("uses-engine").alias("type"), F.col("p_brand").alias("to"), p.alias("source"), F.lit(2).alias("step"))
-    parents = t.supplier.select(key("c", s).alias("from"), F.lit("subsidiary-of").alias("type"), key("n", F.col("s_nationkey")).alias("to"), s.alias("source"), F.lit(3).alias("step"))
-    manual = t.supplier.select(key("c", s).alias("from"), F.lit("developer").alias("type"), key("g", s).alias("to"), F.lit(-1).cast("long").alias("source"), F.lit(4).alias("step"))
-    return credits.unionByName(uses).unionByName(parents).unionByName(manual)
+    def edge(rows, step, start, kind, end, source, remove=None):
+        return rows.select(start.alias("from"), kind.alias("type"), end.alias("to"), source.cast("long").alias("source"), F.lit(step).alias("step"), (F.lit(False) if remove is None else remove).alias("remove"))
 
-
-@query("relationship_graph", f"""WITH {EDGES} SELECT "from" || ':' || type || ':' || "to" AS id, source FROM (SELECT *, row_number() OVER (PARTITION BY "from", type, "to" ORDER BY step DESC) AS n FROM e) WHERE n = 1""")
+    role = F.when(F.col("l_linenumber") % 2 == 1, "developer").otherwise("publisher")
+    credits = t.lineitem.groupBy("l_suppkey", role.alias("role"), "l_partkey").agg(F.max("l_orderkey").alias("source"))
+    none, manual = F.lit(None), F.lit(-1)
+    return functools.reduce(DataFrame.unionByName, [
+        edge(credits, 1, key("c", F.col("l_suppkey")), F.col("role"), key("g", F.col("l_partkey")), F.col("source")),
+        edge(t.part, 2, key("g", p), pick(p, "uses-engine", "uses-middleware", "uses-language", "uses-tool"), F.col("p_brand"), p),
+        edge(t.part.where(p % 10 == 1), 3, key("g", p), pick(p, "dlc-of", "remaster-of", "port-of"), key("g", p - 1), p),
+        edge(t.supplier, 4, key("c", s), F.lit("subsidiary-of"), key("n", F.col("s_nationkey")), s),
+        edge(t.customer, 5, key("u", F.col("c_custkey")), F.lit("affiliated-with"), key("n", F.col("c_nationkey")), none),
+        edge(t.orders.select("o_custkey", (F.col("o_orderkey") % 100).alias("game")).distinct(), 6, key("u", F.col("o_custkey")), F.lit("credited-on"), key("g", F.col("game")), none),
+        edge(t.supplier, 7, key("c", s), F.lit("developer"), key("g", s), manual, s % 7 == 0),
+        edge(t.supplier, 7, key("c", s), pick(s, "porting", "support"), key("g", s), manual),
+    ])
+
+
+@query("relationship_graph", f"""WITH {EDGES} SELECT "from" || ':' || type || ':' || "to" AS id, source FROM (SELECT *, row_number() OVER (PARTITION BY "from", type, "to" ORDER BY step DESC) AS n FROM e) WHERE n = 1 AND NOT remove""")
 def relationship_graph(t):
-    return last_wins(edges(t), ["from", "type", "to"], "step").select(F.concat_ws(":", "from", "type", "to").alias("id"), "source")
+    return last_wins(edges(t), ["from", "type", "to"], "step").where("not remove").select(F.concat_ws(":", "from", "type", "to").alias("id"), "source")
 
 
 @query("edge_type_counts", f"WITH {EDGES} SELECT type, count(*)::BIGINT AS n FROM e GROUP BY 1")
