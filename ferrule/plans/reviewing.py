@@ -120,3 +120,22 @@ def override_paths(t):
 def override_problems(t):
     field = lambda *names: t.spark.createDataFrame([(n,) for n in names], "field string")
     return overrides.problems(entries_of(t), field("title", "tags", "alias"), field("tags"), field("alias"))
+
+
+@query(
+    "relationship_effects",
+    """WITH g AS (SELECT l_partkey AS game, l_suppkey AS company FROM lineitem WHERE l_linenumber % 2 = 1 GROUP BY 1, 2),
+    o AS (SELECT s_suppkey AS company, s_suppkey % 50 AS game, s_suppkey % 3 = 0 AS remove FROM supplier),
+    r AS (SELECT game, company FROM g WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.remove AND o.game = g.game AND o.company = g.company) UNION SELECT game, company FROM o WHERE NOT remove)
+    SELECT game, string_agg(company::VARCHAR, '|' ORDER BY company) AS developers, (SELECT count(*) FROM o WHERE o.game = r.game)::BIGINT AS overrides FROM r GROUP BY 1""",
+)
+def relationship_effects(t):
+    """Overrides of a structural kind change the games: a developer by hand joins the list or leaves it."""
+    credits = t.lineitem.where("l_linenumber % 2 = 1").select(F.col("l_partkey").alias("game"), F.col("l_suppkey").alias("company")).distinct()
+    entries = t.supplier.select((F.col("s_suppkey") % 50).alias("game"), F.col("s_suppkey").alias("company"), (F.col("s_suppkey") % 3 == 0).alias("remove"))
+    lists = credits.groupBy("game").agg(F.collect_set("company").alias("had"))
+    asked = entries.groupBy("game").agg(F.collect_set(F.when(~F.col("remove"), F.col("company"))).alias("more"), F.collect_set(F.when(F.col("remove"), F.col("company"))).alias("less"), F.count("*").alias("overrides"))
+    none = F.expr("cast(array() as array<bigint>)")
+    had, more, less = (F.coalesce(c, none) for c in ("had", "more", "less"))
+    done = lists.join(asked, "game", "full").select("game", F.array_sort(F.array_union(F.array_except(had, less), more)).alias("companies"), F.coalesce("overrides", F.lit(0)).alias("overrides"))
+    return done.where(F.size("companies") > 0).select("game", F.array_join(F.transform("companies", lambda c: c.cast("string")), "|").alias("developers"), "overrides")

@@ -92,3 +92,18 @@ def mapped_flags(t):
 def provider_status(t):
     s = t.events.groupBy(F.col("event_type").alias("provider")).agg(F.count_if(F.col("value") > 150).alias("errors"))
     return s.select("provider", F.when(F.col("errors") > 0, "error").when(F.col("provider") == "click", "skipped").otherwise("ok").alias("status"))
+
+
+@query(
+    "resolved_ids",
+    """WITH w AS (SELECT DISTINCT l_partkey AS id FROM lineitem), n AS (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 100 AS batch FROM w)
+    SELECT n.id, batch::BIGINT AS batch, p_brand AS item FROM n JOIN part ON p_partkey = n.id WHERE p_partkey % 5 <> 0""",
+)
+def resolved_ids(t):
+    """Ids asked for in batches of 100, in their order; what nothing has is left out of the answers."""
+    from ferrule.operators.core import numbered
+
+    wanted = numbered(t.lineitem.select(F.col("l_partkey").alias("id")).distinct(), [F.col("id")])
+    batch = F.floor((F.col("position") - 1) / 100).cast("long")
+    items = t.part.where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("item"))
+    return wanted.select("id", batch.alias("batch")).join(items, "id")
