@@ -42,10 +42,10 @@ SEED = 42
 CROWDED = 4_000_000
 #: Pieces into which the documents of one fingerprint are cut for the last join.
 SALTS = 8
-#: near_copies(): words of a shingle and least Jaccard similarity; bits of the fingerprint; blocks of 31 bits, the first
-#: of which come before the others; classes (as a power of two) up to which these blocks' anchors are enough.
+#: near_copies(): words of a shingle and least Jaccard similarity; bits of the fingerprint; blocks of 31 bits, of the first
+#: round and of each later one; classes (as a power of two) up to which these blocks' anchors are enough.
 NEAR_WORDS, SIMILARITY = 5, 0.8
-WIDE_BITS, BLOCKS, FIRST_BLOCKS, CLASSES = 1024, 256, 32, 24
+WIDE_BITS, BLOCKS, FIRST_BLOCKS, ROUND_BLOCKS, CLASSES = 1024, 256, 32, 112, 24
 
 _POSITIONS = np.arange(1, CODE_LENGTH + 1)
 #: By syndrome: the masks that lead to the home anchor (first) and to the anchors two bits away.
@@ -297,7 +297,8 @@ def near_copies(rows: DataFrame, words: int = NEAR_WORDS, similarity: float = SI
     classes = saved(prints.groupBy("key").agg(F.min_by(F.struct("row", "n", "bits"), "row").alias("s")).select("key", "s.*").where("n > 0"), "sketched")
     more, blocks = layout(classes.count(), blocks)
     joined, found = None, []
-    for first, last in ((0, min(first_blocks, blocks)), (min(first_blocks, blocks), blocks)):
+    rounds = [0, *range(min(first_blocks, blocks), blocks, ROUND_BLOCKS), blocks]
+    for first, last in zip(rounds, rounds[1:], strict=False):
         if first == last:
             continue
         now = classes.withColumn("component", F.col("key")) if joined is None else classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
