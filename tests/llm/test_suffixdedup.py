@@ -98,3 +98,14 @@ def test_rows_that_share_an_id_stand_in_the_order_of_their_texts(spark):
         assert kept == sorted([("None", len(text), len(text)), ("2", len(text), 0), ("7", len(text) + 2, 2), ("7", len(text) + 2, 1), ("7", 1, 1)])  # the blank before is in both
     got = sd.deduplicated(spark.createDataFrame(rows[:2], "doc_id long, text string").repartition(2)).collect()
     assert sorted(bytes(r.kept) for r in got) == sorted([("a " + text).encode(), b"b"])
+
+
+@pytest.mark.parametrize("most", [1, 400, 10**9])
+def test_collections_keep_anchors_together(most):
+    rnd = np.random.default_rng(4)
+    keys, lengths = np.sort(rnd.integers(0, 30, 200)).astype(np.uint64), rnd.integers(100, 199, 200)
+    parts = list(sd.collections(np.arange(200), keys, lengths, most))
+    assert np.concatenate(parts).tolist() == list(range(200))
+    assert len({(i, k) for i, p in enumerate(parts) for k in keys[p].tolist()}) == len(set(keys.tolist()))
+    assert len(parts) == (1 if most > 10**6 else len(parts)) and (most > 1 or len(parts) == len(set(keys.tolist())))
+    assert list(sd.collections(np.zeros(0, np.int64), keys, lengths, most)) == []
