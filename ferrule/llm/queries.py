@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrule.llm import ctw, decontaminate, gif, linededup, mixing, sharding, simhash, suffixdedup, toxicity, warc
+from ferrule.llm import alignment, ctw, decontaminate, gif, linededup, mixing, sharding, simhash, suffixdedup, toxicity, warc
 from ferrule.llm.common import importable
 
 
@@ -29,6 +29,7 @@ _ALL = {
     "op8_line_dedup": linededup.query,
     "op9_simhash": simhash.query,
     "op10_decontaminate": decontaminate.query,
+    "op13_alignment": alignment.query,
 }
 
 QUERIES = {name: _ready(query) for name, query in _ALL.items()}
