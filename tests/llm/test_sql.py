@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, FOLDER), db.sql(queries.ORACLE[name])
     columns = sorted(got.columns)
