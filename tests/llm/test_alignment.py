@@ -1,9 +1,9 @@
 """Alignment of two tokenizers against a plain version over single documents."""
 
-import base64
 import hashlib
 import os
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -13,19 +13,26 @@ from ferrule.llm import alignment
 pytestmark = pytest.mark.skipif(not os.path.isdir(alignment.FOLDER), reason="no tokenizers")
 
 
+@cache
+def byte_level():
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(f"{alignment.FOLDER}/{alignment.BYTE_LEVEL}")
+    found.encode_special_tokens = True
+    return found
+
+
 def plain_tokens(text):
-    """(id, end) of either tokenizer, A from its ranks by another library; nothing if the bytes differ."""
+    """(id, end) of either tokenizer, A by the library its file is of; nothing if the bytes differ."""
     import public_tokenizers as P
     import sentencepiece
-    import tiktoken
 
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
-    first = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    alphabet = alignment.byte_alphabet()
     second = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
     if not text:
         return [], []
     whole = (" " + text).encode()
-    a = [(i, first.decode_single_token_bytes(i)) for i in first.encode_ordinary(" " + text)]
+    a = [(i, bytes(alphabet[c] for c in byte_level().id_to_token(i))) for i in byte_level().encode(" " + text, add_special_tokens=False).ids]
     b = []
     for i in second.encode(text):
         piece = second.id_to_piece(i)
@@ -68,15 +75,16 @@ TEXTS = [
 ]
 
 
-def run(spark, rows, slice_bytes=None, links=1000, monkeypatch=None):
+def run(spark, rows, links=1000):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     sent = [alignment.send(spark, f"{alignment.FOLDER}/{x}") for x in (alignment.BYTE_LEVEL, alignment.PIECES)]
-    found = alignment.scored(alignment.saved(alignment.digested(alignment.alignments(docs, *sent), chunk_links=links), "t"))
+    found = alignment.scored(alignment.saved(alignment.digested(docs, *sent, chunk_links=links), "t"))
     return [tuple(r) for r in found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()]
 
 
 @pytest.mark.parametrize("links", [1, 60, 1 << 20])
-def test_against_plain(spark, links):
+def test_against_plain(spark, links, monkeypatch):
+    monkeypatch.setattr(alignment, "SLICE_BYTES", links)
     rows = [*enumerate(TEXTS), (None, TEXTS[0]), (None, None), (3, "repeated id"), (3, "repeated id")]
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(run(spark, rows, links=links), key=key) == sorted(plain(rows), key=key)
@@ -98,6 +106,21 @@ def test_lists_and_other_columns(spark):
     assert sum(got.a_counts) == len(a) and sum(got.b_counts) == len(b) and rows[1]._alignment.ends == []
 
 
+def test_byte_level_ids_of_all_characters():
+    """The encoder gives the ids of the file's own library, whatever a character's class, and for long runs."""
+    own = alignment.ByteLevel(open(f"{alignment.FOLDER}/{alignment.BYTE_LEVEL}", "rb").read())
+    texts = [" ".join(f"a{c}b 1{c}2 {c}{c} .{c}! {c}  {c}\n{c}'s" for c in map(chr, range(at, at + 16))) for at in range(0, 0x110000, 16) if not 0xD800 <= at < 0xE000]
+    texts += [c * 100_000 for c in ("x", " ", "^", "\n", "1", "é", "ab")]
+    for at in range(0, len(texts), 5000):
+        want = byte_level().encode_batch_fast([f" {t}" for t in texts[at : at + 5000]], add_special_tokens=False)
+        assert all(w.ids == g.tolist() for w, g in zip(want, own.encode(texts[at : at + 5000]), strict=True))
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        alignment.ByteLevel(open(f"{alignment.FOLDER}/word_bpe_49k.json", "rb").read())
+
+
 def test_labels():
     found = alignment.label_string(np.array([2, 5, 6]), np.array([1, 5, 6]), 6)
     assert alignment.LABELS[found].tobytes() == b"BA--**"
