@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrule.llm import alignment, ctw, decontaminate, gif, hardnegatives, linededup, mixing, sharding, simhash, suffixdedup, toxicity, warc
+from ferrule.llm import alignment, ctw, decontaminate, gif, hardnegatives, linededup, mixing, pii, sharding, simhash, suffixdedup, toxicity, warc
 from ferrule.llm.common import importable
 
 
@@ -29,6 +29,7 @@ _ALL = {
     "op8_line_dedup": linededup.query,
     "op9_simhash": simhash.query,
     "op10_decontaminate": decontaminate.query,
+    "op11_pii": pii.query,
     "op12_hard_negatives": hardnegatives.query,
     "op13_alignment": alignment.query,
 }
@@ -41,5 +42,6 @@ ORACLE: dict[str, str] = {
     "op7_mixing": mixing.SQL,
     "op8_line_dedup": linededup.SQL,
     "op10_decontaminate": decontaminate.SQL,
+    "op11_pii": pii.query,
     "op12_hard_negatives": hardnegatives.SQL,
 }
