@@ -8,15 +8,17 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.functions import columns as C
 from ferrule.operators import core, merge, resolver, review
+from ferrule.operators import ids as ids_of
 
 #: Empty tables of the inputs that may be left out.
 OPTIONAL = {
     "previous": "id string, name string, aliases array<string>, steam string, wikidata string, igdb string", "mapped_ids": "key string, id string", "mapped_names": "name string, id string",
+    "company_ids": "name string, steam string, wikidata string, igdb string", "mapped_games": "key string, id string", "game_registry": "key string, id string", "previous_games": "id string",
     "registry": "key string, id string", "distinct": "a string, b string", "relationships": "from string, type string, to string, remove boolean", "excluded": "id string",
 }
 
@@ -31,38 +33,52 @@ def _inputs(given: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], shape) for name, shape in OPTIONAL.items()} | given
 
 
+def _provided(prefix: str = "record.") -> list[Column] | Column:
+    """"provider:id" of each provider, null where it has none."""
+    every = [F.when(F.col(f"{prefix}{p}").isNotNull(), F.concat(F.lit(f"{p}:"), F.col(f"{prefix}{p}"))) for p in resolver.PROVIDERS]
+    return every if prefix == "" else F.array(*every)
+
+
 def clusters(records: DataFrame) -> DataFrame:
     """records (ordinal, record) with cluster: records that share an id of any provider, named by their least id."""
-    provided = [F.when(F.col(f"record.{p}").isNotNull(), F.concat(F.lit(f"{p}:"), F.col(f"record.{p}"))) for p in resolver.PROVIDERS]
-    keyed = records.withColumn("_ids", F.array_compact(F.array(*provided))).where(F.size("_ids") > 0)
+    keyed = records.withColumn("_ids", F.array_compact(_provided())).where(F.size("_ids") > 0)
     edges = keyed.select(F.get("_ids", 0).alias("a"), F.explode("_ids").alias("b"))
     return keyed.withColumn("node", F.get("_ids", 0)).join(core.components(edges), "node").select(F.col("root").alias("cluster"), "ordinal", "record")
 
 
 def resolve(given: dict[str, DataFrame], today: str) -> dict[str, DataFrame]:
-    """games, credits (game, role, company) and companies (id, name, created) of the records.
+    """games, credits (game, role, company), companies (id, name, created), issues, and the registries (key, id) of games
+    and companies for the next build.
 
-    given: records (ordinal, record), seeds (id, name, aliases, steam, wikidata, igdb) and any of OPTIONAL. A company
-    that no evidence names is created, with its slug as id.
+    given: records (ordinal, record), seeds (id, name, aliases, steam, wikidata, igdb) and any of OPTIONAL. A game keeps the
+    id that is mapped or registered for one of its provider ids, whatever its title is now; a new one gets the first free
+    of title, title with year, and counters. Clusters that come to one id are one game. References to companies bring the
+    provider ids that company_ids know for their name; a company that no evidence names is created.
     """
     given = _inputs(given)
-    games = _cut(merge.dated_status(merge.merge_games(_cut(clusters(given["records"]))), today))
-    ids = C.slug(F.col("title"))
-    games = games.withColumn("slug", ids)
-    order = [F.col("cluster")]
-    place = F.row_number().over(core.Window.partitionBy("slug").orderBy(*order))
-    games = games.withColumn("id", F.when(place == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", place.cast("string")))).drop("slug")
-    named = games.select("id", F.explode(F.array(F.struct(F.lit("developer").alias("role"), F.col("developers").alias("names")), F.struct(F.lit("publisher").alias("role"), F.col("publishers").alias("names")))).alias("x")).select("id", "x.role", F.explode("x.names").alias("name"))
-    refs = named.select("name").distinct().withColumns({"ref": F.col("name"), **{p: F.lit(None).cast("string") for p in resolver.PROVIDERS}})
+    named = _cut(clusters(given["records"]))
+    once = _cut(merge.merge_games(named))
+    keys = named.select("cluster", F.explode(F.array_compact(_provided())).alias("key")).distinct()
+    dated = F.concat_ws("-", C.slug(F.col("title")), F.substring("release_date", 1, 4))
+    options = F.array_distinct(F.when(F.col("release_date").isNotNull(), F.array(C.slug(F.col("title")), dated)).otherwise(F.array(C.slug(F.col("title")))))
+    asked = once.join(keys.groupBy("cluster").agg(F.array_sort(F.collect_set("key")).alias("ids")), "cluster").select(F.col("cluster").alias("key"), "ids", options.alias("candidates"))
+    ids = _cut(ids_of.stable_ids(asked, given["mapped_games"], given["game_registry"], given["previous_games"], "steam:"))
+    issues = ids.where("size(others) > 0").select(F.lit("potential-duplicate").alias("kind"), F.col("id").alias("subject"), F.lit("id").alias("field"), F.array_join("others", ", ").alias("details"), F.lit(False).alias("suggested"))
+    whole = named.join(ids.select(F.col("key").alias("cluster"), "id"), "cluster").select(F.col("id").alias("cluster"), "ordinal", "record")
+    games = _cut(merge.dated_status(merge.merge_games(whole), today)).withColumnRenamed("cluster", "id")
+    registered = keys.join(ids.select(F.col("key").alias("cluster"), "id"), "cluster").select("key", "id").union(given["game_registry"].select("key", "id")).groupBy("key").agg(F.min("id").alias("id"))
+
+    said = games.select("id", F.explode(F.array(F.struct(F.lit("developer").alias("role"), F.col("developers").alias("names")), F.struct(F.lit("publisher").alias("role"), F.col("publishers").alias("names")))).alias("x")).select("id", "x.role", F.explode("x.names").alias("name"))
+    brought = given["company_ids"].groupBy("name").agg(*(F.min(p).alias(p) for p in resolver.PROVIDERS))
+    refs = said.select("name").distinct().join(brought, "name", "left").withColumn("ref", F.col("name"))
     shared = ["id", "name", "aliases", *resolver.PROVIDERS]
     entries = given["seeds"].select(*shared).withColumn("seeded", F.lit(True))
     entries = entries.unionByName(given["previous"].join(entries.select("id"), "id", "left_anti").select(*shared).withColumn("seeded", F.lit(False)))
-    found = _cut(resolver.match_companies(_cut(refs), entries, given["mapped_ids"], given["mapped_names"], given["registry"], given["distinct"]))
-    known = found.select(F.col("ref").alias("name"), F.coalesce("id", C.slug(F.col("ref"))).alias("company"), F.col("id").isNull().alias("created"))
-    credits = named.join(known, "name").select(F.col("id").alias("game"), "role", "company").distinct()
-    fresh = known.where("created").groupBy(F.col("company").alias("id")).agg(F.min("name").alias("name")).join(entries.select("id"), "id", "left_anti").withColumn("created", F.lit(True))
-    companies = entries.select("id", "name", F.lit(False).alias("created")).unionByName(fresh)
-    return {"games": _cut(games), "credits": _cut(credits), "companies": _cut(companies)}
+    found, known = resolver.resolve_all(_cut(refs), entries, given["mapped_ids"], given["mapped_names"], given["registry"], given["distinct"])
+    credits = said.join(found.select(F.col("ref").alias("name"), F.col("id").alias("company")), "name").select(F.col("id").alias("game"), "role", "company").distinct()
+    remembered = found.join(refs, "ref").select(F.explode(F.array_compact(F.array(F.concat(F.lit("name:"), C.company_name(F.col("name"))), *_provided("")))).alias("key"), "id")
+    remembered = remembered.join(given["registry"].select("key"), "key", "left_anti").groupBy("key").agg(F.min("id").alias("id")).union(given["registry"].select("key", "id"))
+    return {"games": _cut(games), "credits": _cut(credits), "companies": _cut(known.select("id", "name", "created")), "issues": _cut(issues), "game_registry": _cut(registered), "registry": _cut(remembered)}
 
 
 def assemble(given: dict[str, DataFrame], found: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -80,7 +96,7 @@ def assemble(given: dict[str, DataFrame], found: dict[str, DataFrame]) -> dict[s
     used = seeded.select(F.col("company").alias("id")).union(credits.select("company")).distinct()
     companies = found["companies"].join(gone.withColumnRenamed("company", "id"), "id", "left_anti").join(used, "id", "left_semi")
     ids = functools.reduce(DataFrame.unionByName, (games.where(F.col(p).isNotNull()).select(F.lit(p).alias("provider"), F.col(p).alias("id"), F.col("id").alias("cluster")) for p in resolver.PROVIDERS))
-    related = merge.known_relations(games.drop("cluster").withColumnRenamed("id", "cluster"), ids)
+    related = merge.known_relations(games.withColumnRenamed("id", "cluster"), ids)
     own = [
         credits.select(F.col("company").alias("from"), F.col("role").alias("type"), F.col("game").alias("to")),
         games.select(F.col("id").alias("from"), F.explode("technology").alias("t")).select("from", F.concat(F.lit("uses-"), "t.role").alias("type"), F.col("t.id").alias("to")),
@@ -89,7 +105,8 @@ def assemble(given: dict[str, DataFrame], found: dict[str, DataFrame]) -> dict[s
     edges = functools.reduce(DataFrame.unionByName, own).select("*", F.lit(False).alias("remove"), F.lit(0).alias("step"))
     manual = given["relationships"].select("from", "type", "to", F.coalesce("remove", F.lit(False)).alias("remove"), F.lit(1).alias("step"))
     last = core.last_wins(edges.unionByName(manual), ["from", "type", "to"], "step").where("not remove")
-    return {"games": games, "companies": _cut(companies), "edges": _cut(last.select(F.concat_ws(":", "from", "type", "to").alias("id"), "from", "type", "to"))}
+    kept = {name: found[name] for name in ("issues", "game_registry", "registry") if name in found}
+    return kept | {"games": games, "companies": _cut(companies), "edges": _cut(last.select(F.concat_ws(":", "from", "type", "to").alias("id"), "from", "type", "to"))}
 
 
 def build(given: dict[str, DataFrame], today: str) -> dict[str, DataFrame]:
@@ -104,5 +121,5 @@ def report(before: dict[str, DataFrame], after: dict[str, DataFrame], seeds: Dat
         claims = built["games"].select(F.col("id").alias("game"), F.explode("technology").alias("t")).select("game", F.col("t.id").alias("technology"), F.col("t.confidence").alias("confidence"))
         return {"games": built["games"].select("id"), "companies": built["companies"].select("id", F.lit(None).cast("string").alias("parent_name")), "edges": built["edges"].select("from", "type", "to"), "claims": claims}
 
-    issues = spark.createDataFrame([], "kind string, subject string, field string, details string, suggested boolean")
+    issues = after.get("issues", spark.createDataFrame([], "kind string, subject string, field string, details string, suggested boolean"))
     return review.candidates(of(before), of(after), seeds.select("id"), issues, spark.createDataFrame([], "id string"))

@@ -158,6 +158,29 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "position", par
     return placed.withColumn(name, (F.col("_ahead") + F.col("_own")).cast("long")).drop("_part", "_own", "_ahead")
 
 
+def running(df: DataFrame, key: str, order: Sequence[str], parts: int | None = None, **made: tuple[str, Column]) -> DataFrame:
+    """df with running sums or maxima (name=("sum" or "max", column)) over the rows of a key up to each row, in an order that
+    has no ties.
+
+    A key of any number of rows is spread over parts, dealt by range of key and order and written with the number of
+    their part. A part's rows run by themselves; what a key has in the parts before is added on top. Only keys that lie
+    in several parts have such, so that the table of it has fewer rows than twice the parts.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = df.withColumns({f"_{n}": c for n, (_, c) in made.items()})
+    dealt = cut(df.sparkSession, whole.repartitionByRange(parts, key, *order).withColumn("_part", F.spark_partition_id()))
+    of = {"sum": F.sum, "max": F.max}
+    ends = dealt.groupBy("_part").agg(F.min(key).alias("least"), F.max(key).alias("most"))
+    edges = ends.select(F.explode(F.array("least", "most")).alias(key)).distinct()
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.join(F.broadcast(edges), key).groupBy("_part", key).agg(*(of[f](f"_{n}").alias(n) for n, (f, _) in made.items()))
+    ahead = totals.select("_part", key, *(of[f](n).over(before).alias(f"_{n}_ahead") for n, (f, _) in made.items()))
+    own = Window.partitionBy("_part", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = dealt.withColumns({n: of[f](f"_{n}").over(own) for n, (f, _) in made.items()}).join(F.broadcast(ahead), ["_part", key], "left")
+    both = {n: F.coalesce(F.col(f"_{n}_ahead"), F.lit(0)) + F.col(n) if f == "sum" else F.greatest(f"_{n}_ahead", n) for n, (f, _) in made.items()}
+    return found.withColumns(both).drop("_part", *(f"_{n}{x}" for n in made for x in ("", "_ahead")))
+
+
 def content_digest(rows: DataFrame, line: Column) -> DataFrame:
     """(records, bytes, sha256) of the lines of a table, whatever their order.
 

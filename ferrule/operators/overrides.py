@@ -17,35 +17,70 @@ def _within(path: Column, other: Column) -> Column:
     return (path == other) | F.startswith(path, F.concat(other, F.lit(".")))
 
 
-def apply_overrides(entities: DataFrame, entries: DataFrame) -> DataFrame:
-    """entities (id, leaves map, lists map of arrays) after entries (id, ordinal, op, path, value, source), with touched
-    (map of path to struct of source and confidence).
+#: Operations of an entry, in the order in which they count.
+OPERATIONS = ("exclude", "create", "set", "append", "remove")
+_STATE = """struct<exists:boolean,excluded:boolean,created:boolean,leaves:array<struct<path:string,value:string>>,
+  lists:array<struct<path:string,values:array<string>>>,touched:array<struct<path:string,source:string>>,problems:array<string>>"""
+
+
+def _after(state: Column, step: Column) -> Column:
+    """The state of an entity after one operation."""
+    op, path, value = step["op"], step["path"], step["value"]
+    empty = lambda name: F.filter(state[name], lambda x: F.lit(False))
+    apart = lambda name: F.filter(state[name], lambda x: ~(_within(x["path"], path) | _within(path, x["path"])))
+    had = F.coalesce(F.get(F.filter(state["lists"], lambda x: x["path"] == path), 0)["values"], F.expr("cast(array() as array<string>)"))
+    grown = F.when(F.exists(had, lambda x: x.eqNullSafe(value)), had).otherwise(F.concat(had, F.array(value)))
+    left = F.filter(had, lambda x: ~x.eqNullSafe(value))
+    edits, unknown = op.isin("set", "append", "remove"), ~state["exists"]
+    fresh = (op == "exclude") | ((op == "create") & unknown)
+    acts = edits & state["exists"]
+    now = F.struct(path.alias("path"), F.when(op == "append", grown).otherwise(left).alias("values"))
+    said = F.struct(path.alias("path"), F.coalesce(step["source"], F.lit("manual")).alias("source"))
+    problem = F.concat(F.lit("entry "), step["ordinal"].cast("string"), F.lit(" for something unknown"))
+    either = lambda name, changed: F.when(fresh, empty(name)).when(acts, changed).otherwise(state[name])
+    return F.struct(
+        F.when(op == "exclude", False).when(op == "create", True).otherwise(state["exists"]).alias("exists"),
+        (state["excluded"] | (op == "exclude")).alias("excluded"),
+        (state["created"] | ((op == "create") & unknown)).alias("created"),
+        either("leaves", F.when(op == "set", F.concat(apart("leaves"), F.array(F.struct(path.alias("path"), value.alias("value"))))).otherwise(apart("leaves"))).alias("leaves"),
+        either("lists", F.when(op == "set", apart("lists")).otherwise(F.concat(apart("lists"), F.array(now)))).alias("lists"),
+        either("touched", F.concat(F.filter(state["touched"], lambda x: x["path"] != path), F.array(said))).alias("touched"),
+        F.when(edits & unknown, F.array_union(state["problems"], F.array(problem))).otherwise(state["problems"]).alias("problems"),
+    )
+
 
-    Entries count in order. `set` puts a value at a dot path: what lay at the path or below it goes, and so does a value
-    at a path above, as that becomes an object; other leaves stay, so that a nested object given leaf by leaf is a deep
-    merge. `append` adds a value to a list unless it is there, `remove` takes it out; appends of an entity come before
-    its removals. Without entries an entity is as it was; entries for unknown entities do nothing here, see problems().
+def apply_log(entities: DataFrame, entries: DataFrame) -> DataFrame:
+    """(id, known, exists, excluded, created, leaves, lists, touched, problems) of everything that entities (id, leaves map,
+    lists map of arrays) or entries (id, ordinal, op, path, value, source; position, if some of an entry have an order) name.
+
+    Entry follows entry, by ordinal; within one the operations follow OPERATIONS, and then position. `exclude` takes the
+    entity away, with all it had; `create` makes an empty one where there is none. `set` puts a value at a dot path: what
+    lay at the path or below it goes, and so does what lies at a path above, as that becomes an object; other leaves
+    stay, so that a nested object given leaf by leaf is a deep merge. `append` adds a value to the list at the path unless
+    it is there, `remove` takes it out; either makes a list where there was none. Edits of what doesn't exist then are
+    problems, one an entry. known: it was among the entities; excluded, created: it ever was. touched: path to the
+    struct of source and confidence of the last edit since the entity was made. An entity's log is folded in its row.
     """
-    steps = F.array_sort(F.collect_list(F.struct("ordinal", "op", "path", "value", "source")))
-    of = entries.groupBy("id").agg(steps.alias("_steps"))
-    none = F.expr("cast(array() as array<struct<ordinal:int,op:string,path:string,value:string,source:string>>)")
-    both = entities.join(of, "id", "left").withColumn("_steps", F.coalesce("_steps", none))
-    some = lambda op: F.filter("_steps", lambda s: s["op"] == op)
-    # each leaf with its place in time: what was there is at 0
-    start = F.transform(F.map_entries("leaves"), lambda e: F.struct(F.lit(0).alias("ordinal"), e["key"].alias("path"), e["value"].alias("value")))
-    every = F.concat(start, F.transform(some("set"), lambda s: F.struct(s["ordinal"].alias("ordinal"), s["path"].alias("path"), s["value"].alias("value"))))
-    both = both.withColumn("_all", every)
-    gone = lambda x: F.exists(some("set"), lambda s: (s["ordinal"] > x["ordinal"]) & (_within(x["path"], s["path"]) | _within(s["path"], x["path"])))
-    leaves = F.map_from_entries(F.transform(F.filter("_all", lambda x: ~gone(x)), lambda x: F.struct(x["path"].alias("key"), x["value"].alias("value"))))
-    paths = F.array_distinct(F.concat(F.map_keys("lists"), F.transform(some("append"), lambda s: s["path"])))
-    mine = lambda op, path: F.transform(F.filter(some(op), lambda s: s["path"] == path), lambda s: s["value"])
-    had = lambda path: F.coalesce(F.col("lists")[path], F.expr("cast(array() as array<string>)"))
-    lists = F.map_from_entries(F.transform(paths, lambda p: F.struct(p.alias("key"), F.array_except(F.array_distinct(F.concat(had(p), mine("append", p))), mine("remove", p)).alias("value"))))
+    place = F.col("position").cast("long") if "position" in entries.columns else F.lit(0).cast("long")
+    rank = F.array_position(F.array(*(F.lit(o) for o in OPERATIONS)), F.col("op"))
+    steps = F.array_sort(F.collect_list(F.struct(F.col("ordinal").cast("long").alias("ordinal"), rank.alias("rank"), place.alias("position"), "path", "value", "op", "source")))
+    log = entries.where(F.col("op").isin(*OPERATIONS)).groupBy("id").agg(steps.alias("_steps"))
+    both = entities.select("id", "leaves", "lists", F.lit(True).alias("known")).join(log, "id", "full")
+    none = lambda kind: F.expr(f"cast(array() as {kind})")
+    pairs = lambda m, name, kind: F.coalesce(F.transform(F.map_entries(m), lambda e: F.struct(e["key"].alias("path"), e["value"].alias(name))), none(f"array<struct<path:string,{name}:{kind}>>"))
+    known = F.coalesce("known", F.lit(False))
+    start = F.struct(known.alias("exists"), F.lit(False).alias("excluded"), F.lit(False).alias("created"), pairs("leaves", "value", "string").alias("leaves"), pairs("lists", "values", "array<string>").alias("lists"), none("array<struct<path:string,source:string>>").alias("touched"), none("array<string>").alias("problems"))
+    steps = F.coalesce("_steps", none("array<struct<ordinal:bigint,rank:bigint,position:bigint,path:string,value:string,op:string,source:string>>"))
+    done = both.select("id", known.alias("known"), F.aggregate(steps, start.cast(_STATE), lambda s, e: _after(s, e).cast(_STATE)).alias("s"))
     sure = F.create_map(*(F.lit(x) for pair in CONFIDENCE.items() for x in pair))
-    last = F.array_distinct(F.transform("_steps", lambda s: s["path"]))
-    source = lambda p: F.coalesce(F.element_at(F.filter("_steps", lambda s: s["path"] == p), -1)["source"], F.lit("manual"))
-    touched = F.map_from_entries(F.transform(last, lambda p: F.struct(p.alias("key"), F.struct(source(p).alias("source"), F.coalesce(sure[source(p)], F.lit("high")).alias("confidence")).alias("value"))))
-    return both.select("id", leaves.alias("leaves"), lists.alias("lists"), touched.alias("touched"))
+    as_map = lambda name, value: F.map_from_entries(F.transform(F.col("s")[name], lambda x: F.struct(x["path"].alias("key"), value(x).alias("value"))))
+    touched = as_map("touched", lambda x: F.struct(x["source"].alias("source"), F.coalesce(sure[x["source"]], F.lit("high")).alias("confidence")))
+    return done.select("id", "known", "s.exists", "s.excluded", "s.created", as_map("leaves", lambda x: x["value"]).alias("leaves"), as_map("lists", lambda x: x["values"]).alias("lists"), touched.alias("touched"), "s.problems")
+
+
+def apply_overrides(entities: DataFrame, entries: DataFrame) -> DataFrame:
+    """(id, leaves, lists, touched) of the entities that are there after entries, see apply_log()."""
+    return apply_log(entities, entries).where("known and exists").select("id", "leaves", "lists", "touched")
 
 
 def problems(entries: DataFrame, fields: DataFrame, computed: DataFrame, editorial: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.functions.columns import company_name, core_company_name, loose_company_name, rounded, similarity
+from ferrule.functions.columns import company_name, core_company_name, loose_company_name, rounded, similarity, slug
+from ferrule.operators import core
+from ferrule.operators.ids import allocate
 
 
 def resolve(refs: DataFrame, key: str, steps: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
@@ -28,17 +30,18 @@ def resolve(refs: DataFrame, key: str, steps: Sequence[tuple[str, DataFrame, Col
     return out.withColumn("id", F.coalesce(*ids)).withColumn("method", F.coalesce(*methods)).drop(*names)
 
 
-def learn(refs: DataFrame, known: DataFrame, rounds: int = 5) -> DataFrame:
+def learn(refs: DataFrame, known: DataFrame) -> DataFrame:
     """(ref, id, round): refs (ref, name, ext) resolved by name against known (id, value), then by the external ids of
-    what was resolved before, until a round finds nothing."""
-    found = resolve(refs, "ref", [("name", known, F.col("name"))]).where("id is not null").select("ref", "ext", "id", F.lit(1).alias("round"))
-    for n in range(2, rounds + 1):
-        taught = found.where("ext is not null").groupBy(F.col("ext").alias("value")).agg(F.min("id").alias("id"))
-        rest = refs.join(found, "ref", "left_anti")
-        more = resolve(rest, "ref", [("learned", taught.select("id", "value"), F.col("ext"))]).where("id is not null").select("ref", "ext", "id", F.lit(n).alias("round"))
-        if more.isEmpty():
-            break
-        found = found.unionByName(more)
+    what was resolved before, until a round finds nothing. Each round looks at what the last one taught, and is cut from
+    its lineage."""
+    spark = refs.sparkSession
+    new = core.cut(spark, resolve(refs, "ref", [("name", known, F.col("name"))]).where("id is not null").select("ref", "ext", "id", F.lit(1).alias("round")))
+    found, rest, n = new, core.cut(spark, refs.where("ext is not null").join(new, "ref", "left_anti")), 1
+    while not new.isEmpty():
+        n += 1
+        taught = new.where("ext is not null").groupBy(F.col("ext").alias("value")).agg(F.min("id").alias("id"))
+        new = core.cut(spark, resolve(rest, "ref", [("learned", taught.select("id", "value"), F.col("ext"))]).where("id is not null").select("ref", "ext", "id", F.lit(n).alias("round")))
+        found, rest = found.unionByName(new), rest.join(new, "ref", "left_anti")
     return found
 
 
@@ -172,6 +175,60 @@ def match_companies(refs: DataFrame, entries: DataFrame, mapped_ids: DataFrame,
     return out.select("ref", F.coalesce(*(v for v, _ in steps)).alias("id"), F.coalesce(*(F.when(v.isNotNull(), m) for v, m in steps)).alias("method"))
 
 
+def _ref_keys(refs: DataFrame) -> DataFrame:
+    """(ref, key): what a reference is known by, each kind of name and each provider's id."""
+    loose = loose_company_name(F.col("name"))
+    compact = F.replace(loose, F.lit(" "), F.lit(""))
+    kinds = {"exact": company_name(F.col("name")), "loose": loose, "compact": F.when(F.length(compact) >= 5, compact)} | {p: F.col(p) for p in PROVIDERS}
+    every = F.array(*(F.when(v != "", F.concat(F.lit(f"{k}:"), v)) for k, v in kinds.items()))
+    return refs.select("ref", F.explode(F.array_compact(every)).alias("key"))
+
+
+def resolve_all(refs: DataFrame, entries: DataFrame, mapped_ids: DataFrame, mapped_names: DataFrame, registry: DataFrame, distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ref, id, method, created, round) of every reference, and the entries afterwards (with `created`); inputs as for
+    match_companies(), ids are text.
+
+    A fixpoint over growing relations: what a round resolves teaches its company the reference's name and provider ids
+    (of several the least reference's; a company keeps the ids it has), and the next round asks again only for
+    references that share a key with what was learned. Where a round teaches nothing, each reference that has the least
+    ref among all open ones of each of its keys makes a company, with an id that nobody has; those that share its keys
+    meet it in the next round. There is always such a reference, so rounds go on until none is open, and none depends on
+    the order of rows.
+    """
+    spark = refs.sparkSession
+    none = F.expr("cast(array() as array<string>)")
+    shape = ["id", "name", "aliases", "seeded", *PROVIDERS]
+    entries = core.cut(spark, entries.select(*shape).withColumn("created", F.lit(False)))
+    open_ = core.cut(spark, refs.select("ref", "name", *PROVIDERS).dropDuplicates(["ref"]))
+    keys = core.cut(spark, _ref_keys(open_))
+    taken = core.cut(spark, functools.reduce(DataFrame.union, (x.select(F.col("id").cast("string").alias("id")) for x in (entries, mapped_ids, mapped_names, registry))))
+    asked, done, n = open_, [], 0
+    while True:
+        n += 1
+        found = match_companies(asked, entries.select(*shape), mapped_ids, mapped_names, registry, distinct).where("id is not null").withColumn("created", F.lit(False))
+        found = core.cut(spark, found)
+        if found.isEmpty():
+            if open_.isEmpty():
+                break
+            least = keys.groupBy("key").agg(F.min("ref").alias("least"))
+            later = keys.join(least, "key").where("ref <> least").select("ref").distinct()
+            first = open_.join(later, "ref", "left_anti")
+            own = allocate(first.select(F.col("ref").alias("key"), F.array(slug(F.col("name"))).alias("candidates")), taken)
+            found = core.cut(spark, own.select(F.col("key").alias("ref"), "id", F.lit("new").alias("method"), F.lit(True).alias("created")))
+            taken = taken.union(found.select("id"))
+        done.append(found.withColumn("round", F.lit(n)))
+        taught = found.join(open_, "ref").groupBy("id").agg(F.min(F.struct("ref", "name"))["name"].alias("said"), F.array_sort(F.collect_set("name")).alias("names"), F.max("created").alias("fresh"), *(F.min(F.when(F.col(p).isNotNull(), F.struct("ref", p)))[p].alias(f"own_{p}") for p in PROVIDERS))
+        entries = core.cut(spark, entries.join(taught, "id", "full").select(
+            "id", F.coalesce("name", "said").alias("name"), F.array_except(F.array_union(F.coalesce("aliases", none), F.coalesce("names", none)), F.array(F.coalesce("name", "said"))).alias("aliases"),
+            F.coalesce("seeded", F.lit(False)).alias("seeded"), *(F.coalesce(p, f"own_{p}").alias(p) for p in PROVIDERS), (F.coalesce("created", F.lit(False)) | F.coalesce("fresh", F.lit(False))).alias("created")))
+        open_ = core.cut(spark, open_.join(found, "ref", "left_anti"))
+        touched = keys.join(found, "ref", "left_semi").select("key").distinct()
+        keys = core.cut(spark, keys.join(found, "ref", "left_anti"))
+        asked = open_.join(keys.join(touched, "key", "left_semi").select("ref").distinct(), "ref", "left_semi")
+    whole = functools.reduce(DataFrame.unionByName, done) if done else found.withColumn("round", F.lit(n))
+    return whole.select("ref", "id", "method", "created", "round"), entries
+
+
 def suggested_links(names: DataFrame, column: str, entries: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(name, suggestion, score): for each unmatched name the most alike core name of an entry (id, name), if it is at
     least that alike; the least id of several. Threshold as for similar_names(), which gives the candidates."""
@@ -181,5 +238,5 @@ def suggested_links(names: DataFrame, column: str, entries: DataFrame, threshold
     pairs = similar_names(asked.select(F.col("own").alias("c")).union(known.select("core")), "c", threshold)
     both = pairs.select("a", "b", "score").union(pairs.select("b", "a", "score")).unionByName(known.select(F.col("core").alias("a"), F.col("core").alias("b"), F.lit(1.0).alias("score")))
     found = asked.join(both, F.col("own") == F.col("a")).join(known, F.col("b") == F.col("core"))
-    best = found.groupBy("name").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("best"))
-    return best.select("name", (-F.col("best.minus")).alias("suggestion"), F.col("best.score").alias("score"))
+    best = found.groupBy("name").agg(F.min(F.struct((-F.col("score")).alias("minus"), "id")).alias("best"))
+    return best.select("name", F.col("best.id").alias("suggestion"), (-F.col("best.minus")).alias("score"))

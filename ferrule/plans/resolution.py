@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ferrule.functions import columns as C
 from ferrule.operators.core import first_by
-from ferrule.operators.resolver import evidence, learn, resolve, similar_names
+from ferrule.operators.ids import stable_ids
+from ferrule.operators.resolver import PROVIDERS, evidence, learn, resolve, resolve_all, similar_names
 from ferrule.plans.base import query
 
 
 @query(
     "canonical_ids",
-    """WITH s AS (SELECT p_partkey AS root, replace(p_name, ' ', '-') AS slug FROM part), n AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY root) AS k FROM s)
-    SELECT root, CASE WHEN k = 1 THEN slug ELSE slug || '-' || k END AS id FROM n""",
+    """WITH RECURSIVE s AS (SELECT p_partkey AS root, replace(p_name, ' ', '-') AS slug, p_size, p_partkey % 20 = 3 AS registered, p_partkey % 50 = 7 AS mapped FROM part),
+    taken AS (SELECT slug, list(DISTINCT id) AS ids FROM (SELECT slug, slug || '-' || p_size AS id FROM s WHERE registered UNION SELECT slug, 'mapped-' || root FROM s WHERE mapped) GROUP BY 1),
+    c AS (SELECT root, slug, slug || '-' || p_size AS dated, row_number() OVER (PARTITION BY slug ORDER BY root) AS k FROM s WHERE NOT registered AND NOT mapped),
+    t AS (SELECT DISTINCT s.slug, 0::BIGINT AS k, NULL::BIGINT AS root, NULL::VARCHAR AS id, coalesce(ids, []) AS ids FROM s LEFT JOIN taken USING (slug)
+      UNION ALL SELECT slug, k, root, id, list_append(ids, id) FROM (SELECT t.slug, c.k, c.root, t.ids, CASE WHEN NOT list_contains(t.ids, t.slug) THEN t.slug WHEN NOT list_contains(t.ids, dated) THEN dated
+          ELSE t.slug || '-' || list_min(list_filter(range(2, len(t.ids) + 3), lambda n: NOT list_contains(t.ids, t.slug || '-' || n))) END AS id FROM t JOIN c ON c.slug = t.slug AND c.k = t.k + 1))
+    SELECT root, id FROM t WHERE k > 0 UNION ALL SELECT root, CASE WHEN mapped THEN 'mapped-' || root ELSE slug || '-' || p_size END FROM s WHERE registered OR mapped""",
 )
 def canonical_ids(t):
-    s = t.part.select(F.col("p_partkey").alias("root"), C.slug(F.col("p_name")).alias("slug"))
-    k = F.row_number().over(Window.partitionBy("slug").orderBy("root"))
-    return s.withColumn("k", k).select("root", F.when(F.col("k") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", F.col("k").cast("string"))).alias("id"))
+    """A mapped id, else the registered one, else the first of name, name with size and name with a counter that is free."""
+    k, slug = F.col("p_partkey"), C.slug(F.col("p_name"))
+    key, dated = F.concat(F.lit("steam:"), k.cast("string")), F.concat_ws("-", slug, F.col("p_size").cast("string"))
+    clusters = t.part.select(k.alias("key"), F.array(key).alias("ids"), F.array(slug, dated).alias("candidates"))
+    mapped = t.part.where(k % 50 == 7).select(key.alias("key"), F.concat(F.lit("mapped-"), k.cast("string")).alias("id"))
+    registry = t.part.where(k % 20 == 3).select(key.alias("key"), dated.alias("id"))
+    return stable_ids(clusters, mapped, registry, registry.select("id"), "steam:").select(F.col("key").alias("root"), "id")
 
 
 HOUSES = """h AS (SELECT s_suppkey AS id, 'house ' || s_nationkey AS key FROM supplier)"""
@@ -138,7 +147,26 @@ def resolver_learning(t):
     k = F.col("s_suppkey")
     known = t.supplier.select(k.alias("id"), C.company_name(F.col("s_name")).alias("value"))
     refs = t.supplier.select(k.alias("ref"), F.when(k % 2 == 0, C.company_name(F.col("s_name"))).alias("name"), F.concat(F.lit("x"), (k - k % 2).cast("string")).alias("ext"))
-    return learn(refs, known, rounds=3).select("ref", "id", "round")
+    return learn(refs, known).select("ref", "id", "round")
+
+
+@query(
+    "stateful_resolution",
+    """SELECT s_suppkey AS ref, CASE WHEN (s_suppkey // 5) % 2 = 0 THEN 'h' || (s_suppkey // 5) ELSE 'hall-' || (s_suppkey // 5) END AS id, (s_suppkey // 5) % 2 = 1 AND s_suppkey % 5 = 0 AS created FROM supplier""",
+)
+def stateful_resolution(t):
+    """Five references in a row know each other by one thing only: by name, by an id of each provider in turn, by name
+    again. Of every second five the first is known; of the others it makes a company."""
+    k = F.col("s_suppkey")
+    group, nth = (k / 5).cast("long"), (k % 5).cast("int")
+    of = lambda word: F.concat_ws(" ", F.lit(word), group.cast("string"))
+    some = lambda letter, *places: F.when(nth.isin(*places), F.concat(F.lit(letter), group.cast("string")))
+    name = F.when(nth == 0, of("Hall")).when(nth == 1, of("Gate")).when(nth == 2, of("Tower")).otherwise(of("Bridge"))
+    refs = t.supplier.select(k.alias("ref"), name.alias("name"), some("a", 0, 1).alias("steam"), some("b", 1, 2).alias("wikidata"), some("c", 2, 3).alias("igdb"))
+    entries = t.supplier.where((group % 2 == 0) & (nth == 0)).select(F.concat(F.lit("h"), group.cast("string")).alias("id"), of("Hall").alias("name"), F.expr("cast(null as array<string>)").alias("aliases"), F.lit(False).alias("seeded"), *(F.lit(None).cast("string").alias(p) for p in PROVIDERS))
+    none = lambda shape: t.spark.createDataFrame([], shape)
+    found, _ = resolve_all(refs, entries, none("key string, id string"), none("name string, id string"), none("key string, id string"), none("a string, b string"))
+    return found.select("ref", "id", "created")
 
 
 @query("registry_lookup", "SELECT p_partkey AS ref, coalesce(CASE WHEN p_partkey % 9 = 0 THEN p_partkey + 1000000 END, CASE WHEN p_partkey % 4 = 0 THEN p_partkey + 500000 END, CASE WHEN p_partkey % 3 = 0 THEN p_partkey + 100000 END) AS id FROM part")

@@ -139,3 +139,29 @@ def relationship_effects(t):
     had, more, less = (F.coalesce(c, none) for c in ("had", "more", "less"))
     done = lists.join(asked, "game", "full").select("game", F.array_sort(F.array_union(F.array_except(had, less), more)).alias("companies"), F.coalesce("overrides", F.lit(0)).alias("overrides"))
     return done.where(F.size("companies") > 0).select("game", F.array_join(F.transform("companies", lambda c: c.cast("string")), "|").alias("developers"), "overrides")
+
+
+@query(
+    "override_log",
+    """WITH RECURSIVE e AS (SELECT l_partkey AS id, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS k, (l_orderkey + 3 * l_linenumber) % 11 AS op, 't' || max(l_quantity)::INT AS v, 'v' || (max(l_suppkey) % 4) AS w FROM lineitem GROUP BY l_partkey, l_orderkey, l_linenumber),
+    t AS (SELECT p_partkey AS id, 0::BIGINT AS k, p_partkey % 5 <> 0 AS alive, false AS excluded, false AS created, CASE WHEN p_partkey % 5 <> 0 THEN p_name END AS title, NULL::VARCHAR AS sub, CASE WHEN p_partkey % 5 <> 0 THEN [p_brand] END AS tags, NULL::VARCHAR AS kind, 0::BIGINT AS problems FROM part
+      UNION ALL SELECT t.id, e.k, CASE op WHEN 0 THEN false WHEN 1 THEN true ELSE alive END, excluded OR op = 0, created OR (op = 1 AND NOT alive),
+        CASE WHEN op = 0 OR op = 1 AND NOT alive THEN NULL WHEN alive AND op IN (2, 3) THEN v WHEN alive AND op = 4 THEN NULL ELSE title END, CASE WHEN op = 0 OR op = 1 AND NOT alive THEN NULL WHEN alive AND op = 4 THEN v WHEN alive AND op IN (2, 3) THEN NULL ELSE sub END,
+        CASE WHEN op = 0 OR op = 1 AND NOT alive THEN NULL WHEN alive AND op = 10 THEN NULL WHEN alive AND op IN (5, 6, 7) THEN CASE WHEN list_contains(coalesce(tags, []), w) THEN tags ELSE list_append(coalesce(tags, []), w) END WHEN alive AND op IN (8, 9) THEN list_filter(coalesce(tags, []), lambda x: x <> w) ELSE tags END,
+        CASE WHEN op = 0 OR op = 1 AND NOT alive THEN NULL WHEN alive AND op = 10 THEN w WHEN alive AND op IN (5, 6, 7, 8, 9) THEN NULL ELSE kind END, problems + CASE WHEN NOT alive AND op > 1 THEN 1 ELSE 0 END
+      FROM t JOIN e ON e.id = t.id AND e.k = t.k + 1)
+    SELECT id, alive, excluded, created, concat_ws('|', 'tags.kind=' || kind, 'title=' || title, 'title.sub=' || sub) AS leaves, array_to_string(tags, '|') AS tags, problems FROM t WHERE (id, k) IN (SELECT id, max(k) FROM t GROUP BY 1)""",
+)
+def override_log(t):
+    """Logs that exclude, create anew, set, append and remove in any order, folded one entry after another."""
+    p, op = F.col("p_partkey"), (F.col("l_orderkey") + 3 * F.col("l_linenumber")) % 11
+    entities = t.part.where(p % 5 != 0).select(p.alias("id"), F.create_map(F.lit("title"), "p_name").alias("leaves"), F.create_map(F.lit("tags"), F.array("p_brand")).alias("lists"))
+    named = F.when(op == 0, "exclude").when(op == 1, "create").when(op.isin(2, 3, 4, 10), "set").when(op < 8, "append").otherwise("remove")
+    path = F.when(op < 2, None).when(op == 4, "title.sub").when(op < 4, "title").when(op == 10, "tags.kind").otherwise("tags")
+    lines = t.lineitem.groupBy("l_partkey", "l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"), F.max("l_suppkey").alias("l_suppkey"))
+    value = F.when(op.isin(2, 3, 4), F.concat(F.lit("t"), F.col("l_quantity").cast("int").cast("string"))).otherwise(F.concat(F.lit("v"), (F.col("l_suppkey") % 4).cast("string")))
+    entries = lines.select(F.col("l_partkey").alias("id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ordinal"), named.alias("op"), path.alias("path"), value.alias("value"), F.lit(None).cast("string").alias("source"))
+    done = overrides.apply_log(entities, entries).join(t.part.select(p.alias("id")), "id", "right")
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    leaves = F.array_join(F.transform(F.array_sort(F.map_entries("leaves")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    return done.select("id", flag("exists").alias("alive"), flag("excluded").alias("excluded"), flag("created").alias("created"), F.coalesce(leaves, F.lit("")).alias("leaves"), F.array_join(F.col("lists")["tags"], "|").alias("tags"), F.coalesce(F.size("problems"), F.lit(0)).cast("long").alias("problems"))
