@@ -53,32 +53,76 @@ def evidence(names: DataFrame) -> DataFrame:
     return keyed.select("id", F.explode(pairs).alias("p")).select("id", "p.*").where("key is not null and key <> ''").distinct()
 
 
-def similar_names(names: DataFrame, column: str, threshold: float) -> DataFrame:
-    """(a, b, score): every pair a < b of distinct names whose similarity is at least threshold, which is above 0.8.
+#: Leading characters that a Jaro-Winkler similarity rewards, and by how much of what is missing each.
+LEADING, REWARD = 4, 0.1
+
+
+def name_keys(names: DataFrame, threshold: float) -> DataFrame:
+    """(name, n, letters, words, key, short) of distinct names: pairs that are similar enough share a key.
 
-    The candidates are complete. A Jaro-Winkler similarity of t needs a Jaro similarity of (t - 0.4) / 0.6, so that of
-    lengths m and n at least s * m * n / (m + n) characters are common, with s = (3 t - 1.2) / 0.6 - 1; names that
-    have so many in common share one of the first few of their characters in any fixed order, here the repeated and the
-    rarer ones first. Likewise for words, of which a share of t must be common. Pairs that meet there are checked by
-    length and by common characters or words before they are scored; equal pairs meet once.
+    Two names with l leading characters in common need a Jaro similarity of j = (t - l / 10) / (1 - l / 10), so that of
+    lengths m and n at least (3 j - 1) m n / (m + n) of their characters are common, and (3 j - 2) m of any partner's.
+    Of two sets with c tokens in common the first few in any order, all but c - k, share k: an l of 2 and more stands in
+    the key with one token, a smaller one with three. Tokens are characters with their occurrence, rarest first by count.
+    Names too short for three tokens (`short`) have keys of one, which others have too, for pairs with them alone. Of words
+    a share of t must be common; they are tokens likewise, one to a key.
     """
-    s = (3 * threshold - 1.2) / 0.6 - 1
-    distinct = names.select(F.col(column).alias("name")).where("name <> ''").distinct()
     at = F.sequence(F.lit(1), F.length("name"))
     head = lambda i: F.substring(F.col("name"), F.lit(1), i)
     letter = lambda i: F.substring(F.col("name"), i, F.lit(1))
-    # the k-th occurrence of a character is a token of its own
-    letters = F.transform(at, lambda i: F.concat(F.lpad((i - F.length(F.replace(head(i), letter(i), F.lit("")))).cast("string"), 6, "0"), letter(i)))
+    letters = F.transform(at, lambda i: F.concat(F.lit("l"), (i - F.length(F.replace(head(i), letter(i), F.lit("")))).cast("string"), letter(i)))
     words = F.transform(F.array_distinct(F.filter(F.split("name", " "), lambda w: w != "")), lambda w: F.concat(F.lit("w"), w))
-    rows = distinct.select("name", F.length("name").alias("n"), F.sort_array(letters, asc=False).alias("letters"), F.array_sort(words).alias("words"))
-    prefix = lambda tokens, share: F.slice(tokens, 1, F.size(tokens) - F.ceil(F.size(tokens) * share - 1e-9).cast("int") + 1)
-    # the shortest partner has (s - 1) n characters, all of which may be common
-    tokens = F.array_distinct(F.concat(prefix(F.col("letters"), s - 1), F.when(F.size("words") > 0, prefix(F.col("words"), threshold)).otherwise(F.expr("cast(array() as array<string>)"))))
-    keyed = rows.withColumn("token", F.explode(tokens))
-    a, b = (keyed.select(F.col("name").alias(x), F.col("n").alias(f"{x}_n"), F.col("letters").alias(f"{x}_letters"), F.col("words").alias(f"{x}_words"), "token") for x in "ab")
+    tokens = names.select("name", F.explode(F.concat(letters, words)).alias("token"))
+    counted = tokens.groupBy("token").agg(F.count("*").alias("n"))
+    ranked = tokens.join(counted, "token").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("all"))
+    of = lambda kind: F.transform(F.filter("all", lambda x: F.startswith(x["token"], F.lit(kind))), lambda x: x["token"])
+    rows = ranked.select("name", F.length("name").alias("n"), of("l").alias("letters"), of("w").alias("words"))
+    none = F.expr("cast(array() as array<string>)")
+    keys, short = [], F.lit(False)
+    for l in range(LEADING + 1):  # noqa: E741
+        part = 3 * (threshold - REWARD * l) / (1 - REWARD * l) - 2
+        least = F.greatest(F.lit(1), F.ceil(F.col("n") * part - 1e-9).cast("int"))
+        front = F.concat(F.lit(f"{l}:"), F.substring("name", 1, l), F.lit(":"))
+        one = F.slice("letters", 1, F.col("n") - least + 1)
+        near_short = F.lit(l >= 2) | (least <= int(2 / part + 1e-6))  # a short name has that many characters at most
+        keys.append(F.when((F.col("n") >= l) & near_short, _prefixed(front if l >= 2 else F.concat(F.lit("s"), front), one)))
+        if l < 2:
+            first = F.slice("letters", 1, F.col("n") - least + 3)
+            keys.append(F.when((F.col("n") >= 3) & (least >= 3), _prefixed(front, _triples(first))))
+            short = short | (least < 3)
+    share = F.slice("words", 1, F.size("words") - F.ceil(F.size("words") * threshold - 1e-9).cast("int") + 1)
+    keys.append(F.when(F.size("words") > 0, _prefixed(F.lit("w:"), share)))
+    every = F.array_distinct(F.flatten(F.array(*(F.coalesce(k, none) for k in keys))))
+    return rows.select("name", "n", "letters", "words", short.alias("short"), F.explode(every).alias("key"))
+
+
+def _prefixed(front: Column, tokens: Column) -> Column:
+    return F.transform(tokens, lambda x: F.concat(front, x))
+
+
+def _triples(tokens: Column) -> Column:
+    """Every three of the tokens, in their order, as one string."""
+    join = lambda i, j, z: F.concat_ws(" ", F.get(tokens, i - 1), F.get(tokens, j - 1), z)
+    last = lambda i, j: F.transform(F.slice(tokens, j + 1, F.size(tokens)), lambda z: join(i, j, z))
+    return F.flatten(F.flatten(F.transform(F.sequence(F.lit(1), F.size(tokens) - 2), lambda i: F.transform(F.sequence(i + 1, F.size(tokens) - 1), lambda j: last(i, j)))))
+
+
+def similar_names(names: DataFrame, column: str, threshold: float) -> DataFrame:
+    """(a, b, score): every pair a < b of distinct names whose similarity is at least threshold, which is above 0.8.
+
+    Candidates share a key of name_keys(), which loses none; they are checked by length and by common characters or words
+    in the JVM before they are scored.
+    """
+    s = (3 * threshold - 1.2) / 0.6 - 1
+    distinct = names.select(F.col(column).alias("name")).where("name <> ''").distinct()
+    keyed = name_keys(distinct, threshold)
+    a, b = (keyed.select(*(F.col(c).alias(f"{x}_{c}") for c in ("n", "letters", "words", "short")), F.col("name").alias(x), "key") for x in "ab")
     near = F.size(F.array_intersect("a_letters", "b_letters")) * (F.col("a_n") + F.col("b_n")) >= s * F.col("a_n") * F.col("b_n") - 1e-6
     alike = F.size(F.array_intersect("a_words", "b_words")) >= threshold * F.size(F.array_union("a_words", "b_words")) - 1e-9
-    pairs = a.join(b, "token").where("a < b").where(near | alike).select("a", "b").distinct()
+    met = ~F.startswith("key", F.lit("s")) | F.col("a_short") | F.col("b_short")
+    # all of the shorter one's characters may be common, not more; and words go through whatever the lengths are
+    fits = F.startswith("key", F.lit("w")) | (F.greatest("a_n", "b_n") * (s - 1) <= F.least("a_n", "b_n") + 1e-6)
+    pairs = a.join(b, "key").where("a < b").where(met & fits & (near | alike)).select("a", "b").distinct()
     return pairs.select("a", "b", rounded(similarity(F.col("a"), F.col("b")), 4).alias("score")).where(F.col("score") >= threshold)
 
 
@@ -203,13 +247,12 @@ def resolve_all(refs: DataFrame, entries: DataFrame, mapped_ids: DataFrame, mapp
     keys = core.cut(spark, _ref_keys(open_))
     taken = core.cut(spark, functools.reduce(DataFrame.union, (x.select(F.col("id").cast("string").alias("id")) for x in (entries, mapped_ids, mapped_names, registry))))
     asked, done, n = open_, [], 0
-    while True:
+    found = asked.limit(0).select("ref", F.lit("").alias("id"), F.lit("").alias("method"), F.lit(False).alias("created"))
+    while not open_.isEmpty():
         n += 1
-        found = match_companies(asked, entries.select(*shape), mapped_ids, mapped_names, registry, distinct).where("id is not null").withColumn("created", F.lit(False))
+        found = found.limit(0) if asked.isEmpty() else match_companies(asked, entries.select(*shape), mapped_ids, mapped_names, registry, distinct).where("id is not null").withColumn("created", F.lit(False))
         found = core.cut(spark, found)
         if found.isEmpty():
-            if open_.isEmpty():
-                break
             least = keys.groupBy("key").agg(F.min("ref").alias("least"))
             later = keys.join(least, "key").where("ref <> least").select("ref").distinct()
             first = open_.join(later, "ref", "left_anti")
@@ -224,7 +267,7 @@ def resolve_all(refs: DataFrame, entries: DataFrame, mapped_ids: DataFrame, mapp
         open_ = core.cut(spark, open_.join(found, "ref", "left_anti"))
         touched = keys.join(found, "ref", "left_semi").select("key").distinct()
         keys = core.cut(spark, keys.join(found, "ref", "left_anti"))
-        asked = open_.join(keys.join(touched, "key", "left_semi").select("ref").distinct(), "ref", "left_semi")
+        asked = core.cut(spark, open_.join(keys.join(touched, "key", "left_semi").select("ref").distinct(), "ref", "left_semi"))
     whole = functools.reduce(DataFrame.unionByName, done) if done else found.withColumn("round", F.lit(n))
     return whole.select("ref", "id", "method", "created", "round"), entries
 

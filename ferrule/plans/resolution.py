@@ -152,17 +152,17 @@ def resolver_learning(t):
 
 @query(
     "stateful_resolution",
-    """SELECT s_suppkey AS ref, CASE WHEN (s_suppkey // 5) % 2 = 0 THEN 'h' || (s_suppkey // 5) ELSE 'hall-' || (s_suppkey // 5) END AS id, (s_suppkey // 5) % 2 = 1 AND s_suppkey % 5 = 0 AS created FROM supplier""",
+    """SELECT s_suppkey AS ref, CASE WHEN (s_suppkey // 4) % 2 = 0 THEN 'h' || (s_suppkey // 4) ELSE 'hall-' || (s_suppkey // 4) END AS id, (s_suppkey // 4) % 2 = 1 AND s_suppkey % 4 = 0 AS created FROM supplier""",
 )
 def stateful_resolution(t):
-    """Five references in a row know each other by one thing only: by name, by an id of each provider in turn, by name
-    again. Of every second five the first is known; of the others it makes a company."""
+    """Four references in a row know each other by one thing only: an id of one provider, of the next, and a name. Of every
+    second four the first is known; of the others it makes a company."""
     k = F.col("s_suppkey")
-    group, nth = (k / 5).cast("long"), (k % 5).cast("int")
+    group, nth = (k / 4).cast("long"), (k % 4).cast("int")
     of = lambda word: F.concat_ws(" ", F.lit(word), group.cast("string"))
     some = lambda letter, *places: F.when(nth.isin(*places), F.concat(F.lit(letter), group.cast("string")))
-    name = F.when(nth == 0, of("Hall")).when(nth == 1, of("Gate")).when(nth == 2, of("Tower")).otherwise(of("Bridge"))
-    refs = t.supplier.select(k.alias("ref"), name.alias("name"), some("a", 0, 1).alias("steam"), some("b", 1, 2).alias("wikidata"), some("c", 2, 3).alias("igdb"))
+    name = F.when(nth == 0, of("Hall")).when(nth == 1, of("Gate")).otherwise(of("Tower"))
+    refs = t.supplier.select(k.alias("ref"), name.alias("name"), some("a", 0, 1).alias("steam"), some("b", 1, 2).alias("wikidata"), some("c", 9).alias("igdb"))
     entries = t.supplier.where((group % 2 == 0) & (nth == 0)).select(F.concat(F.lit("h"), group.cast("string")).alias("id"), of("Hall").alias("name"), F.expr("cast(null as array<string>)").alias("aliases"), F.lit(False).alias("seeded"), *(F.lit(None).cast("string").alias(p) for p in PROVIDERS))
     none = lambda shape: t.spark.createDataFrame([], shape)
     found, _ = resolve_all(refs, entries, none("key string, id string"), none("name string, id string"), none("key string, id string"), none("a string, b string"))
