@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pandas as pd
@@ -92,10 +93,49 @@ def map_literal(values: dict[str, str]) -> Column:
 
 
 # --- text ---------------------------------------------------------------------------------------------------------
-@F.pandas_udf(T.StringType())
-def folded(text: pd.Series) -> pd.Series:
-    """Compatibility decomposition without combining marks; the only step that Spark has no function for."""
-    return text.map(lambda t: t if t is None or t.isascii() else "".join(c for c in unicodedata.normalize("NFKD", t) if not "̀" <= c <= "ͯ"))
+@functools.cache
+def decompositions() -> tuple[str, str, str, dict[str, str]]:
+    """From Python's tables, once: characters whose decomposition is one character, those characters, the marks that go, and
+    the decompositions of several; Hangul syllables are left to arithmetic."""
+    one, several, gone = {}, {}, []
+    for c in map(chr, (*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x110000))):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not "\u0300" <= x <= "\u036f")
+        if not plain:
+            gone.append(c)
+        elif len(plain) > 1:
+            several[c] = plain
+        elif plain != c:
+            one[c] = plain
+    return "".join(one), "".join(one.values()), "".join(gone), several
+
+
+def folded(text: Column) -> Column:
+    """Compatibility decomposition without the marks U+0300 to U+036F, in the JVM: one translation; only texts that have
+    Hangul or characters that become several are gone through character by character. Marks that stay keep their order."""
+    one, plain, gone, several = decompositions()
+    known = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    at = lambda c: F.ascii(c) - 0xAC00
+    # a syllable's parts follow from its number: 19 leading consonants, 21 vowels, 27 tails or none
+    parts = [F.lit("".join(map(chr, range(first, first + n)))) for first, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27))]
+    pick = lambda k, n: F.substring(parts[k], n.cast("int"), F.lit(1))
+    hangul = lambda c: F.concat(pick(0, at(c) / 588 + 1), pick(1, at(c) % 588 / 28 + 1), F.when(at(c) % 28 > 0, pick(2, at(c) % 28)).otherwise(""))
+    each = lambda c: F.when(c.between("\uac00", "\ud7a3"), hangul(c)).otherwise(F.coalesce(known[c], c))
+    whole = F.when(text.rlike("[\uac00-\ud7a3" + "".join(several) + "]"), F.array_join(F.transform(F.split(text, ""), each), "")).otherwise(text)
+    return F.when(text.rlike("[^\\x00-\\x7F]"), F.translate(whole, one + gone, plain)).otherwise(text)
+
+
+def canonical_json(text: Column) -> Column:
+    """JSON of any shape without blanks, keys in order at every depth, numbers without trailing zeros; null for what isn't
+    JSON. Numbers with an exponent are written as doubles."""
+    return F.to_json(F.try_parse_json(text))
+
+
+def natural_key(text: Column) -> Column:
+    """Orders names as people do: runs of text by the Unicode collation, runs of digits by their value, however long."""
+    digits = lambda r: r.rlike("^[0-9]")
+    value = lambda r: F.regexp_replace(r, "^0+(?=[0-9])", "")
+    run = lambda r: F.struct(F.collate(F.when(digits(r), "0").otherwise(r), "UNICODE").alias("text"), F.when(digits(r), F.length(value(r))).otherwise(0).alias("size"), F.when(digits(r), value(r)).otherwise("").alias("digits"))
+    return F.transform(F.regexp_extract_all(text, F.lit("([0-9]+|[^0-9]+)"), F.lit(1)), run)
 
 
 def words_only(text: Column, unicode: bool = False) -> Column:

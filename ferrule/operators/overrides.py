@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferrule.operators import core
+
 #: How sure a correction is by the type of its source; any other is "high".
 CONFIDENCE = {
     "official": "verified", "manual": "high", "developer-interview": "high", "technical-article": "high", "job-posting": "medium",
@@ -96,3 +100,36 @@ def problems(entries: DataFrame, fields: DataFrame, computed: DataFrame, editori
     both = entries.groupBy("id").agg(F.max((F.col("op") == "create").cast("int")).alias("c"), F.max((F.col("op") == "exclude").cast("int")).alias("e")).where("c = 1 and e = 1")
     clash = both.select("id", F.lit("").alias("path"), F.lit("both created and excluded").alias("problem"))
     return found.unionByName(clash).select("id", "path", F.when(F.col("problem") == "no source", "warning").otherwise("error").alias("level"), "problem")
+
+
+def json_leaves(rows: DataFrame, json: str = "json") -> DataFrame:
+    """rows with (path, value) of each leaf of a JSON object of any shape: what is no object, or an empty one, at its dot path
+    as canonical text. One step a depth, until no object is left; what isn't an object has no leaves."""
+    spark, others = rows.sparkSession, [c for c in rows.columns if c != json]
+    is_object = F.startswith(F.schema_of_variant("v"), F.lit("OBJECT<")) & (F.schema_of_variant("v") != "OBJECT<>")
+    open_ = core.cut(spark, rows.select(*others, F.lit("").alias("path"), F.to_json(F.try_parse_json(json)).alias("v")).where("v is not null"))
+    parsed, found = open_.withColumn("v", F.parse_json("v")).where(is_object), []
+    while True:
+        inner = parsed.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select(F.col("key"), F.col("value").alias("of")))
+        step = inner.select(*others, F.when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key")).alias("path"), F.to_json("of").alias("value"))
+        step = core.cut(spark, step.withColumn("deeper", F.startswith("value", F.lit("{")) & (F.col("value") != "{}")))
+        found.append(step.where("not deeper").select(*others, "path", "value"))
+        if step.where("deeper").isEmpty():
+            return functools.reduce(DataFrame.unionByName, found)
+        parsed = step.where("deeper").select(*others, "path", F.parse_json("value").alias("v"))
+
+
+def read_entries(entries: DataFrame) -> DataFrame:
+    """(id, ordinal, op, path, value, source, position) of entries (id, ordinal, json, source) as apply_log() takes them. json
+    is {"exclude", "create", "set", "append", "remove"}: flags, values of any shape by dot path or nested, and lists of
+    values by path. Values are canonical JSON, so that equal ones are equal text."""
+    keys = ["id", "ordinal", "source"]
+    parsed = entries.withColumn("v", F.try_parse_json("json"))
+    part = lambda name: F.to_json(F.try_variant_get("v", f"$.{name}", "variant"))
+    flags = [parsed.where(F.try_variant_get("v", f"$.{op}", "boolean")).select(*keys, F.lit(op).alias("op"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("value"), F.lit(0).alias("position")) for op in ("exclude", "create")]
+    sets = json_leaves(parsed.select(*keys, part("set").alias("json"))).select(*keys, F.lit("set").alias("op"), "path", "value", F.lit(0).alias("position"))
+    listed = functools.reduce(DataFrame.union, (parsed.select(*keys, F.lit(op).alias("op"), part(op).alias("json")) for op in ("append", "remove")))
+    values = json_leaves(listed)
+    each = F.transform(F.expr("cast(try_parse_json(value) as array<variant>)"), lambda v: F.to_json(v))
+    lists = values.where("value like '[%'").select(*keys, "op", "path", F.posexplode(each).alias("position", "value")).select(*keys, "op", "path", "value", "position")
+    return functools.reduce(DataFrame.unionByName, [*flags, sets, lists])

@@ -153,3 +153,22 @@ def binary_id_order(t):
 @query("category_counts", "SELECT o_orderpriority AS category, count(*)::BIGINT AS n FROM orders GROUP BY 1")
 def category_counts(t):
     return t.orders.groupBy(F.col("o_orderpriority").alias("category")).agg(F.count("*").alias("n"))
+
+
+NATURAL = "n AS (SELECT s_suppkey AS id, s_suppkey % 17 = 0 AS blank, (['act', 'Bonus', 'épilogue', 'vol'])[1 + s_suppkey % 4] AS word, s_suppkey % 3 AS w, s_suppkey % 13 AS a, s_suppkey % 7 * 100000000000 AS b, s_suppkey % 101 AS c FROM supplier)"
+
+
+@query(
+    "natural_collation",
+    f"""WITH {NATURAL} SELECT id, row_number() OVER (ORDER BY blank, CASE WHEN NOT blank THEN lower(strip_accents(word)) END, CASE WHEN NOT blank THEN a END, CASE WHEN NOT blank THEN b END, CASE WHEN NOT blank THEN c END, id)::BIGINT AS up,
+      row_number() OVER (ORDER BY blank, CASE WHEN NOT blank THEN lower(strip_accents(word)) END DESC, CASE WHEN NOT blank THEN a END DESC, CASE WHEN NOT blank THEN b END DESC, CASE WHEN NOT blank THEN c END DESC, id)::BIGINT AS down FROM n""",
+)
+def natural_collation(t):
+    """Names of several words and numbers, in the order of the collation and of the numbers' values; blanks last both ways."""
+    k = F.col("s_suppkey")
+    word = F.get(F.array(*(F.lit(w) for w in ("act", "Bonus", "épilogue", "vol"))), (k % 4).cast("int"))
+    name = F.format_string("%s %d.%03d part %d", word, k % 13, k % 7 * 100000000000, k % 101)
+    rows = t.supplier.select(k.alias("id"), F.when(k % 17 == 0, F.when(k % 2 == 0, "")).otherwise(name).alias("name"))
+    rows = rows.withColumns({"blank": F.coalesce(F.col("name") == "", F.lit(True)), "key": C.natural_key(F.coalesce("name", F.lit("")))})
+    up = numbered(rows, [F.col("blank"), F.col("key"), F.col("id")], "up")
+    return numbered(up, [F.col("blank"), F.col("key").desc(), F.col("id")], "down").select("id", "up", "down")

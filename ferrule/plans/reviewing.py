@@ -165,3 +165,21 @@ def override_log(t):
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
     leaves = F.array_join(F.transform(F.array_sort(F.map_entries("leaves")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
     return done.select("id", flag("exists").alias("alive"), flag("excluded").alias("excluded"), flag("created").alias("created"), F.coalesce(leaves, F.lit("")).alias("leaves"), F.array_join(F.col("lists")["tags"], "|").alias("tags"), F.coalesce(F.size("problems"), F.lit(0)).cast("long").alias("problems"))
+
+
+@query(
+    "override_json",
+    """SELECT id, path, value FROM (SELECT p_partkey AS id, unnest([{'path': 'title', 'value': '"P ' || p_partkey || '"'}, {'path': 'class.kind', 'value': 'null'}, {'path': 'class.deep.list', 'value': '[1,{"a":2,"b":' || p_size || '}]'},
+      {'path': 'class.deep.none', 'value': '{}'}, {'path': 'tags', 'value': '["' || p_brand || '"' || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ',{"a":1,"b":2}' END || ']'}], recursive := true) FROM part)""",
+)
+def override_json(t):
+    """Entries as JSON text with keys in any order and values of any shape, read and folded."""
+    k = F.col("p_partkey").cast("string")
+    first = F.concat(F.lit('{"set": {"class": {"deep": {"none": {}, "list": [1.0, {"b": '), F.col("p_size").cast("string"), F.lit(', "a": 2}]}, "kind": null}, "title": "P '), k, F.lit('"}, "append": {"tags": [{"b": 2, "a": 1}, {"a": 1, "b": 2}]}}'))
+    later = F.when(F.col("p_partkey") % 3 == 0, F.lit('{"remove": {"tags": [{"a":1.00,"b":2}]}}')).otherwise(F.lit('{"append": {"tags": []}}'))
+    entries = t.part.select(F.col("p_partkey").alias("id"), F.posexplode(F.array(first, later)).alias("ordinal", "json")).withColumn("source", F.lit("official"))
+    entities = t.part.select(F.col("p_partkey").alias("id"), F.create_map(F.lit("class.kind.old"), F.lit("1")).alias("leaves"), F.create_map(F.lit("tags"), F.array(F.to_json(F.array("p_brand")).substr(F.lit(2), F.length("p_brand") + 2))).alias("lists"))
+    done = overrides.apply_log(entities, overrides.read_entries(entries))
+    lists = F.transform(F.map_entries("lists"), lambda e: F.struct(e["key"].alias("path"), F.concat(F.lit("["), F.array_join(e["value"], ","), F.lit("]")).alias("value")))
+    leaves = F.transform(F.map_entries("leaves"), lambda e: F.struct(e["key"].alias("path"), e["value"].alias("value")))
+    return done.select("id", F.explode(F.concat(leaves, lists)).alias("x")).select("id", "x.path", "x.value")
