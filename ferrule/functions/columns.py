@@ -113,14 +113,17 @@ def folded(text: Column) -> Column:
     """Compatibility decomposition without the marks U+0300 to U+036F, in the JVM: one translation; only texts that have
     Hangul or characters that become several are gone through character by character. Marks that stay keep their order."""
     one, plain, gone, several = decompositions()
-    known = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    keys = "".join(several)
+    values = F.split(F.lit("\x00".join(several.values())), "\x00")  # constants, folded once
+    known = lambda c: F.get(values, F.instr(F.lit(keys), c) - 1)
     at = lambda c: F.ascii(c) - 0xAC00
     # a syllable's parts follow from its number: 19 leading consonants, 21 vowels, 27 tails or none
     parts = [F.lit("".join(map(chr, range(first, first + n)))) for first, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27))]
     pick = lambda k, n: F.substring(parts[k], n.cast("int"), F.lit(1))
     hangul = lambda c: F.concat(pick(0, at(c) / 588 + 1), pick(1, at(c) % 588 / 28 + 1), F.when(at(c) % 28 > 0, pick(2, at(c) % 28)).otherwise(""))
-    each = lambda c: F.when(c.between("\uac00", "\ud7a3"), hangul(c)).otherwise(F.coalesce(known[c], c))
-    whole = F.when(text.rlike("[\uac00-\ud7a3" + "".join(several) + "]"), F.array_join(F.transform(F.split(text, ""), each), "")).otherwise(text)
+    each = lambda c: F.when(c <= "\x7f", c).when(c.between("\uac00", "\ud7a3"), hangul(c)).otherwise(F.coalesce(known(c), c))
+    some = text.rlike("[\uac00-\ud7a3]") | (F.char_length(F.translate(text, keys, "")) < F.char_length(text))
+    whole = F.when(some, F.array_join(F.transform(F.split(text, ""), each), "")).otherwise(text)
     return F.when(text.rlike("[^\\x00-\\x7F]"), F.translate(whole, one + gone, plain)).otherwise(text)
 
 
@@ -147,7 +150,7 @@ def words_only(text: Column, unicode: bool = False) -> Column:
 
 def slug(text: Column, unicode: bool = False) -> Column:
     text = F.regexp_replace(F.substring(F.replace(words_only(text, unicode), F.lit(" "), F.lit("-")), 1, 80), "-+$", "")
-    return F.when(text == "", "untitled").otherwise(text)
+    return F.regexp_replace(text, "^$", "untitled")  # the text is made once
 
 
 def _alternatives(words: tuple[str, ...]) -> str:
