@@ -57,7 +57,8 @@ def folder(tmp_path_factory):
     return str(at)
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+# op12 has no documents; its ids are in test_hardnegatives.py
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op12_hard_negatives"}))
 def test_registered_queries(spark, folder, name):
     got = queries.QUERIES[name](spark, folder).collect()
     column = "page_id" if name.startswith("op6") else "doc_id"
