@@ -42,6 +42,5 @@ ORACLE: dict[str, str] = {
     "op7_mixing": mixing.SQL,
     "op8_line_dedup": linededup.SQL,
     "op10_decontaminate": decontaminate.SQL,
-    "op11_pii": pii.query,
     "op12_hard_negatives": hardnegatives.SQL,
 }
