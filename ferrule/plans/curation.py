@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.operators.core import components, first_by, inclusion, last_wins
+from ferrule.operators.rules import Rule, check
 from ferrule.plans.base import query
 
 CURATED = "s_suppkey % 7 = 0"
@@ -158,6 +159,48 @@ def validation_summary(t):
     return out
 
 
+RULES = {
+    "page": [Rule("url", "pattern", "^https?://[a-z.]+/[a-z]+/"), Rule("links[]", "pattern", "^/[A-Za-z]+$", level="warning")],
+    "event": [Rule("user", "reference", "customer"), Rule("props{}", "most", 90, level="warning"), Rule("type", "among", ("click", "view", "purchase", "login"))],
+    "supplier": [Rule("name", "required"), Rule("nation", "reference", "nation")],
+    "part": [Rule("name", "exclusive", ("part name", "plain"))],
+    "edge": [Rule("to.id", "reference", by="kind")],
+}
+#: The entities that count, by kind, with their key.
+KNOWN = {"part": ("p_partkey", "p_size <= 45"), "supplier": ("s_suppkey", "s_acctbal >= 0"), "customer": ("c_custkey", "c_acctbal >= 0"), "nation": ("n_nationkey", "n_regionkey < 4")}
+KNOWN_SQL = " UNION ALL ".join(f"SELECT '{kind}' AS kind, {key}::VARCHAR AS key FROM {kind} WHERE {has}" for kind, (key, has) in KNOWN.items())
+EDGE = "CASE l_returnflag WHEN 'A' THEN 'part' WHEN 'R' THEN 'supplier' ELSE 'nation' END"
+HREF = 'href="([^"]*)"'
+
+
+@query(
+    "rule_report",
+    f"""WITH known AS ({KNOWN_SQL}),
+    p AS (SELECT page_id::VARCHAR AS id, unnest(regexp_extract_all(html, '{HREF}', 1)) AS link, generate_subscripts(regexp_extract_all(html, '{HREF}', 1), 1) - 1 AS i FROM pages),
+    edges AS (SELECT l_orderkey || '-' || l_linenumber AS id, {EDGE} AS kind, (CASE l_returnflag WHEN 'A' THEN l_partkey WHEN 'R' THEN l_suppkey ELSE l_quantity::BIGINT END)::VARCHAR AS key FROM lineitem),
+    shared AS (SELECT p_name, min(p_partkey::VARCHAR) AS a, max(p_partkey::VARCHAR) AS b FROM part WHERE p_size <= 45 GROUP BY 1 HAVING count(*) > 1)
+    SELECT 'error' AS level, 'page' AS kind, page_id::VARCHAR AS id, 'url' AS path, 'doesn''t match ^https?://[a-z.]+/[a-z]+/' AS message FROM pages WHERE NOT regexp_matches(url, '^https?://[a-z.]+/[a-z]+/')
+    UNION ALL SELECT 'warning', 'page', id, 'links[' || i || ']', 'doesn''t match ^/[A-Za-z]+$' FROM p WHERE NOT regexp_matches(link, '^/[A-Za-z]+$')
+    UNION ALL SELECT 'error', 'event', event_id::VARCHAR, 'user', 'unknown customer ' || user_id FROM events WHERE user_id::VARCHAR NOT IN (SELECT key FROM known WHERE kind = 'customer')
+    UNION ALL SELECT 'warning', 'event', event_id::VARCHAR, 'props.k', 'is above 90' FROM events WHERE (props ->> '$.k')::INT > 90
+    UNION ALL SELECT 'error', 'event', event_id::VARCHAR, 'type', 'is none of click, view, purchase, login' FROM events WHERE event_type NOT IN ('click', 'view', 'purchase', 'login')
+    UNION ALL SELECT 'error', 'supplier', s_suppkey::VARCHAR, 'nation', 'unknown nation ' || s_nationkey FROM supplier WHERE s_acctbal >= 0 AND s_nationkey::VARCHAR NOT IN (SELECT key FROM known WHERE kind = 'nation')
+    UNION ALL SELECT 'error', 'part', p_partkey::VARCHAR, 'name', chr(39) || p_name || chr(39) || ' is used from part ' || a || ' to part ' || b FROM part JOIN shared USING (p_name) WHERE p_size <= 45
+    UNION ALL SELECT 'error', 'edge', e.id, 'to.id', 'unknown ' || e.kind || ' ' || e.key FROM edges AS e LEFT JOIN known AS k ON k.kind = e.kind AND k.key = e.key WHERE k.key IS NULL
+    UNION ALL SELECT 'error', 'edge', id, 'id', count(*) || ' rows of one id' FROM edges GROUP BY id HAVING count(*) > 1""",
+)
+def rule_report(t):
+    # links are nested items, properties a map; edges name the kind of their end, and some ends are left out of the tables
+    tables = {kind: getattr(t, kind).where(has).withColumn("id", F.col(key)) for kind, (key, has) in KNOWN.items()}
+    tables["part"] = tables["part"].withColumn("name", F.col("p_name"))
+    tables["supplier"] = tables["supplier"].select("id", F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+    tables["page"] = t.pages.select(F.col("page_id").alias("id"), "url", F.regexp_extract_all("html", F.lit(HREF), 1).alias("links"))
+    tables["event"] = t.events.select(F.col("event_id").alias("id"), F.col("user_id").alias("user"), F.from_json("props", "map<string,int>").alias("props"), F.col("event_type").alias("type"))
+    end = F.when(F.col("l_returnflag") == "A", F.col("l_partkey")).when(F.col("l_returnflag") == "R", F.col("l_suppkey")).otherwise(F.col("l_quantity").cast("long"))
+    tables["edge"] = t.lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.struct(F.expr(EDGE).alias("kind"), end.alias("id")).alias("to"))
+    return check(tables, RULES)
+
+
 #: What entries may set, and what is computed and must not be set.
 EDITABLE, COMPUTED = ("click", "view", "login"), ("purchase",)
 
