@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ferrule.functions.columns import ratio, rounded
-from ferrule.operators.core import first_by, observations, thinned_history, top_by
+from ferrule.operators.core import first_by, observations, shared_folder, thinned_history, top_by
 from ferrule.plans.base import query
 
 GAMES = """g AS (SELECT l_partkey AS game, sum(l_quantity)::BIGINT AS reviews, count(*) FILTER (l_returnflag = 'N')::BIGINT AS good, count(*)::BIGINT AS lines,
@@ -139,6 +139,23 @@ def observation_upsert(t):
     return observations(points, "user_id", "day", "event_id").select("user_id", "day", "event_id", "value")
 
 
+@query(
+    "streaming_history",
+    """WITH p AS (SELECT user_id, day, event_id, value FROM (SELECT user_id, ts::DATE AS day, event_id, value, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY event_id DESC, value DESC NULLS LAST) AS n FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL AND event_id IS NOT NULL) WHERE n = 1),
+    c AS (SELECT max(day) - 10 AS cut FROM p)
+    SELECT user_id, day, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, strftime(day, '%Y-%m'), day < cut ORDER BY day) AS n FROM p, c) WHERE day >= cut OR n = 1""",
+)
+def streaming_history(t):
+    from ferrule.streaming import history
+    from ferrule.streaming.observations import SCHEMA
+
+    folder = shared_folder(t.spark)
+    events = t.spark.readStream.schema(SCHEMA).parquet(f"{t.folder}/events.parquet*")
+    points = events.select(F.col("user_id").alias("key"), F.col("ts").cast("date").alias("day"), F.col("event_id").alias("ordinal"), "value")
+    sink = history.run(t.spark, points, f"{folder}/points", f"{folder}/offsets", days=10, lateness="2 days")
+    return history.history(sink, days=10).withColumnRenamed("key", "user_id").withColumnRenamed("ordinal", "event_id")
+
+
 @query(
     "lifetime_average",
     """WITH o AS (SELECT o_custkey, count(*) AS n, min(strftime(o_orderdate, '%Y-%m')) AS month FROM orders GROUP BY 1)
