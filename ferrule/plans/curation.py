@@ -7,9 +7,11 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.operators.core import components, first_by, inclusion, last_wins
+from ferrule.operators.core import components, first_by, inclusion, last_wins, shared_folder
+from ferrule.operators.enrichment import enrich
 from ferrule.operators.rules import Rule, check
 from ferrule.plans.base import query
+from ferrule.sources.provider import fetch_fixture, write_fixture
 
 CURATED = "s_suppkey % 7 = 0"
 
@@ -276,6 +278,30 @@ def enrichment_rounds(t, rounds: int = 3):
     return known
 
 
+@query(
+    "provider_enrichment",
+    """WITH RECURSIVE rec AS (SELECT p_partkey AS k, CASE WHEN p_size > 25 THEN 'store' ELSE 'database' END AS provider, 's' || (p_partkey // 2) AS a, 'w' || (p_partkey // 3) AS b, p_name AS record FROM part),
+    ids AS (SELECT k, a AS id FROM rec UNION ALL SELECT k, b FROM rec),
+    reach AS (SELECT DISTINCT 's' || (p_partkey // 2) AS id FROM part WHERE p_size <= 3 UNION SELECT other.id FROM reach JOIN ids AS mine ON mine.id = reach.id JOIN ids AS other ON other.k = mine.k)
+    SELECT provider, a || '|' || b AS ids, max(record) AS record, 'fetched' AS state FROM rec WHERE a IN (SELECT id FROM reach) OR b IN (SELECT id FROM reach) GROUP BY 1, 2
+    UNION ALL SELECT 'press', 's' || s_suppkey, s_name, 'carried' FROM supplier
+    UNION ALL SELECT * FROM (VALUES ('store', '', '', 'ok'), ('database', '', '', 'ok'), ('press', '', '', 'error'))""",
+)
+def provider_enrichment(t):
+    # two providers hold the parts, each with an id that two neighbours share and one that three share; a third one has nothing
+    # at its place and is carried over
+    folder = shared_folder(t.spark)
+    ids = F.array(F.concat(F.lit("s"), F.expr("p_partkey div 2").cast("string")), F.concat(F.lit("w"), F.expr("p_partkey div 3").cast("string")))
+    records = t.part.select((F.col("p_size") > 25).alias("store"), ids.alias("ids"), F.col("p_name").alias("record"))
+    write_fixture(records.where("store"), f"{folder}/store")
+    write_fixture(records.where("not store"), f"{folder}/database")
+    providers = {n: functools.partial(fetch_fixture, t.spark, f"{folder}/{n}") for n in ("store", "database", "press")}
+    seeds = t.part.where("p_size <= 3").select(F.get(ids, 0).alias("id"))
+    earlier = t.supplier.select(F.lit("press").alias("provider"), F.array(F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))).alias("ids"), F.col("s_name").alias("record"))
+    got, status = enrich(t.spark, seeds, providers, earlier)
+    return got.select("provider", F.array_join("ids", "|").alias("ids"), "record", "state").unionByName(status.select("provider", F.lit("").alias("ids"), F.lit("").alias("record"), F.col("status").alias("state")))
+
+
 @query("affiliations", "SELECT c_nationkey AS company, c_custkey AS person FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier)")
 def affiliations(t):
     return t.customer.join(t.supplier.select(F.col("s_nationkey").alias("c_nationkey")), "c_nationkey", "left_semi").select(F.col("c_nationkey").alias("company"), F.col("c_custkey").alias("person"))
