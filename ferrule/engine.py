@@ -1,7 +1,8 @@
 """The engine's entry points: each takes DataFrames and returns DataFrames, by name.
 
 resolve() makes one game of each cluster of records and finds its companies; assemble() applies corrections, keeps what
-is curated and builds the edges; build() is both, and report() says what changed since an earlier build.
+is curated and builds the edges; build() is both, finish() stamps, counts and checks what was built, and report() says
+what changed since an earlier build.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.functions import columns as C
-from ferrule.operators import core, merge, resolver, review
+from ferrule.operators import core, merge, resolver, review, rules
 from ferrule.operators import ids as ids_of
+from ferrule.operators.rules import Rule
 
 #: Empty tables of the inputs that may be left out.
 OPTIONAL = {
@@ -123,3 +125,72 @@ def report(before: dict[str, DataFrame], after: dict[str, DataFrame], seeds: Dat
 
     issues = after.get("issues", spark.createDataFrame([], "kind string, subject string, field string, details string, suggested boolean"))
     return review.candidates(of(before), of(after), seeds.select("id"), issues, spark.createDataFrame([], "id string"))
+
+
+#: What edges of a type lead from and to; other types lead from a company to a game.
+ENDS = {"subsidiary-of": ("company", "company"), "dlc-of": ("game", "game"), "remaster-of": ("game", "game"), "port-of": ("game", "game")} | {f"uses-{r}": ("game", "technology") for r in ("engine", "middleware", "language", "tool")}
+#: Fields of a game that move from day to day and don't count as a change of it, and those that finish() makes.
+DAILY, MADE = ("review_count", "positive_count"), ("content_hash", "last_updated")
+RULES = {
+    "game": [Rule("title", "required"), Rule("release_date", "pattern", r"^\d{4}(-\d{2}(-\d{2})?)?$"), Rule("positive_count", "least", 0)],
+    "company": [Rule("name", "required"), Rule("name", "exclusive", ("company name", "company"), level="warning")],
+    "edge": [Rule("from", "reference", by="from_type"), Rule("to", "reference", by="to_type")],
+}
+
+
+def stamped(table: DataFrame, now: str, before: DataFrame | None = None, daily: tuple[str, ...] = DAILY) -> DataFrame:
+    """table with content_hash, of all columns but the daily ones, and last_updated: that of `before` (id, content_hash,
+    last_updated) where the hash is the same, now where it isn't or the id is new. The order of columns and of a map's
+    entries doesn't count, that of a list does; a null and an absent field are different."""
+    kept = sorted(c for c in table.columns if c not in daily + MADE)
+    line = C.canonical_json(F.to_json(F.struct(*(F.col(f"`{c}`") for c in kept)), {"ignoreNullFields": "false"}))
+    rows = table.drop(*MADE).withColumn("content_hash", F.sha2(line, 256))
+    if before is None:
+        return rows.withColumn("last_updated", F.lit(now))
+    old = before.select("id", F.col("content_hash").alias("_hash"), F.col("last_updated").alias("_at"))
+    stamp = F.when(F.col("_hash") == F.col("content_hash"), F.col("_at")).otherwise(now)
+    return rows.join(old, "id", "left").withColumn("last_updated", stamp).drop("_hash", "_at")
+
+
+def company_statistics(companies: DataFrame, games: DataFrame, edges: DataFrame, least_reviews: int = 100) -> DataFrame:
+    """One row a company, those without games too: counts, review sums, percentages, extremes by reviews and by release.
+
+    A game that a company both developed and published counts once. The plain average is over games of least_reviews or
+    more, the weighted one over all reviews. Extremes are null where no game qualifies; ties go to the smaller id, the
+    most recent release to the greater.
+    """
+    role = lambda r: F.max((F.col("type") == r).cast("int"))
+    credits = edges.where(F.col("type").isin("developer", "publisher")).groupBy(F.col("from").alias("company"), F.col("to").alias("id")).agg(role("developer").alias("dev"), role("publisher").alias("pub"))
+    reviews, good = F.coalesce("review_count", F.lit(0)), F.coalesce("positive_count", F.lit(0))
+    out = (F.col("release_status").isin("released", "early-access")) & F.col("release_date").isNotNull()
+    facts = games.select("id", reviews.alias("reviews"), good.alias("good"), F.when(out, F.col("release_date")).alias("released"), (F.col("positive_count").isNotNull()).alias("told"), "technology")
+    j = credits.join(facts, "id")
+    part = F.when(F.col("told") & (F.col("reviews") >= least_reviews), C.rounded(C.ratio(F.col("good"), F.col("reviews")) * 100, 1))
+    when = F.when(F.col("released").isNotNull(), F.struct("released", "id"))
+    sums = j.groupBy("company").agg(
+        F.count("*").alias("game_count"), F.sum("dev").alias("developed_count"), F.sum("pub").alias("published_count"), F.sum("reviews").alias("total_reviews"), C.rounded(F.avg(part), 1).alias("average_positive"),
+        C.rounded(C.ratio(F.sum("good"), F.sum("reviews")) * 100, 1).alias("weighted_positive"), F.min(F.when(F.col("reviews") > 0, F.struct((-F.col("reviews")).alias("r"), F.col("id"))))["id"].alias("most_reviewed"),
+        F.min(when)["id"].alias("first_release"), F.max(when)["id"].alias("latest_release"),
+    )
+    used = j.select("company", F.explode("technology").alias("t")).select("company", "t.id", "t.role").distinct()
+    tech = used.groupBy("company").agg(F.size(F.collect_set("id")).cast("long").alias("technology_count"), F.array_sort(F.collect_set(F.when(F.col("role") == "engine", F.col("id")))).alias("engines"))
+    every = companies.select(F.col("id").alias("company")).join(sums, "company", "left").join(tech, "company", "left")
+    zero = ("game_count", "developed_count", "published_count", "total_reviews", "technology_count")
+    return every.fillna(0, list(zero)).withColumn("engines", F.coalesce("engines", F.expr("cast(array() as array<string>)")))
+
+
+def finish(built: dict[str, DataFrame], now: str, before: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """What build() gave, with stamped games and companies, typed edges, company_statistics and problems.
+
+    before is what finish() gave for an earlier build: an entity that is the same keeps its last_updated. problems
+    (level, kind, id, path, message) has dangling and mistyped ends of edges, repeated ids and bad fields as errors, names
+    that two companies have as warnings; a build with errors isn't fit to be published.
+    """
+    at = lambda name: None if before is None else before[name]
+    games, companies = _cut(stamped(built["games"], now, at("games"))), _cut(stamped(built["companies"], now, at("companies")))
+    ends = F.create_map(*(x for kind, (a, b) in ENDS.items() for x in (F.lit(kind), F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")))))
+    end = F.coalesce(F.try_element_at(ends, F.col("type")), F.struct(F.lit("company").alias("a"), F.lit("game").alias("b")))
+    edges = built["edges"].withColumn("_end", end).withColumns({"from_type": F.col("_end.a"), "to_type": F.col("_end.b")}).drop("_end")
+    technologies = games.select(F.explode("technology").alias("t")).select("t.id").distinct()
+    problems = rules.check({"game": games, "company": companies, "edge": edges, "technology": technologies}, RULES)
+    return built | {"games": games, "companies": companies, "edges": edges, "company_statistics": company_statistics(companies, games, edges), "problems": problems}

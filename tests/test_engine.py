@@ -92,3 +92,24 @@ def test_published_folder(spark, tmp_path):
     files = layout.documents({"games": (fewer, None), "entities/games": (fewer, "id")})
     assert actions(layout.sync(files, root)) == [("by-studio/x.json", "delete"), ("entities/games/c.json", "delete"), ("games.json", "write")]
     assert sorted(str(p.relative_to(tmp_path / "out")) for p in (tmp_path / "out").rglob("*.json")) == ["entities/games/a.json", "entities/games/b.json", "games.json"]
+
+
+def test_finish(spark, given):
+    first = engine.finish(engine.build(given, "2026-01-16"), "2026-01-16")
+    assert first["problems"].collect() == []
+    stats = {r.company: r for r in first["company_statistics"].collect()}
+    own = stats["hollow-lantern"]
+    assert (own.game_count, own.developed_count, own.published_count, own.total_reviews, own.average_positive, own.weighted_positive) == (2, 2, 0, 12840, 93.5, 93.5)
+    assert (own.most_reviewed, own.first_release, own.latest_release, own.technology_count, own.engines) == ("lantern-road", "lantern-road", "lantern-road", 1, ["ember-engine"])
+    none = stats["quiet-harbor"]
+    assert (none.game_count, none.total_reviews, none.average_positive, none.most_reviewed, none.engines) == (0, 0, None, None, [])
+
+    # reviews move from day to day and don't count; a title does
+    moved = first["games"].drop("content_hash", "last_updated").selectExpr("* except (review_count, title)", "review_count + 5 as review_count", "if(id = 'lantern-road', title, 'Ashes') as title")
+    ghost = first["edges"].drop("from_type", "to_type").unionByName(spark.createDataFrame([("x", "ghost", "developer", "lantern-road"), ("y", "lantern-road", "uses-engine", "paper-moon")], "id string, from string, type string, to string"))
+    later = engine.finish({"games": moved, "companies": first["companies"].union(first["companies"].where("id = 'paper-moon'").selectExpr("'moon-2'", "'Paper Moon'", "* except (id, name)")), "edges": ghost}, "2026-02-01", first)
+    assert {g.id: g.last_updated for g in later["games"].collect()} == {"lantern-road": "2026-01-16", "lantern-road-ashes": "2026-02-01"}
+    assert {c.id: c.last_updated for c in later["companies"].collect()} == {"hollow-lantern": "2026-01-16", "quiet-harbor": "2026-01-16", "paper-moon": "2026-01-16", "moon-2": "2026-02-01"}
+    told = {(p.level, p.kind, p.id, p.path, p.message) for p in later["problems"].collect()}
+    assert {t for t in told if t[0] == "error"} == {("error", "edge", "x", "from", "unknown company ghost"), ("error", "edge", "y", "to", "unknown technology paper-moon")}
+    assert {t[2] for t in told if t[0] == "warning"} == {"paper-moon", "moon-2"}
