@@ -162,7 +162,7 @@ def date_scalars(t):
     age = C.rounded(C.days_since(F.col("date"), F.lit("2001-06-01 12:00:00").cast("timestamp_ntz")), 2)
     return part_dates(t).select(
         "id", C.precision_of(F.col("date")).alias("precision"), F.substring("date", 1, 4).alias("year"), age.alias("age"),
-        F.date_format(F.timestamp_seconds(F.col("id") * 86400), "yyyy-MM-dd").alias("from_unix"), F.unix_date(F.to_date("day")).alias("day_number"),
+        C.day_text(F.timestamp_seconds(F.col("id") * 86400)).alias("from_unix"), F.unix_date(F.to_date("day")).alias("day_number"),
     )
 
 
