@@ -18,3 +18,9 @@ def both(spark, folder, name, table, select):
 def test_days_of_years_above_9999(spark, tmp_path, ids):
     got, want = both(spark, tmp_path, "date_scalars", "orders", f"SELECT col0::BIGINT AS o_orderkey, TIMESTAMP '1996-02-29' AS o_orderdate FROM (VALUES {ids})")
     assert got == want and any(r[4] == "10000-01-01" for r in got)
+
+
+def test_order_keys_that_run_into_the_next_line(spark, tmp_path):
+    rows = "(1, 5000000, 1, 10), (1, 100, 2, 20), (1, 200, 3, 30), (2, 7, 1, NULL), (2, 9, 1, 40), (3, NULL, 1, 50), (3, 5, NULL, 60), (4, 1, 1, NULL), (NULL, 3, 1, 70)"
+    got, want = both(spark, tmp_path, "first_external_id", "lineitem", f"SELECT col0::BIGINT AS l_partkey, col1::BIGINT AS l_orderkey, col2::INTEGER AS l_linenumber, col3::BIGINT AS l_suppkey FROM (VALUES {rows})")
+    assert got == want and (1, 20) in got
