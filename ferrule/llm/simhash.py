@@ -16,7 +16,9 @@ fingerprint of WIDE_BITS bits is read in many blocks of 31 positions, each with
 threshold of zero: a fingerprint goes to the one anchor within the covering radius of each block. Two texts of
 similarity 0.8 share an anchor in one block with a chance of 0.0139, so 256 blocks miss 3 % of such pairs and hardly
 any of more similar ones. Neighbours at an anchor are compared by their shingles; links found in the first blocks join
-classes, so that the later blocks only compare what is still apart.
+classes, so that the later blocks only compare what is still apart. What the covering leaves apart is settled exactly:
+two sets that similar share one of their first shingles in any common order, so that all sets that are still apart meet
+at these, and none that is similar enough is left out.
 """
 
 from __future__ import annotations
@@ -46,6 +48,8 @@ SALTS = 8
 #: round and of each later one; classes (as a power of two) up to which these blocks' anchors are enough.
 NEAR_WORDS, SIMILARITY = 5, 0.8
 WIDE_BITS, BLOCKS, FIRST_BLOCKS, ROUND_BLOCKS, CLASSES = 1024, 256, 32, 112, 24
+#: Leading bits of a shingle's hash by which shingles are counted, to put frequent ones last.
+COUNTED_BITS = 16
 
 _POSITIONS = np.arange(1, CODE_LENGTH + 1)
 #: By syndrome: the masks that lead to the home anchor (first) and to the anchors two bits away.
@@ -282,31 +286,84 @@ def alike(x: np.ndarray, y: np.ndarray, similarity: float = SIMILARITY) -> bool:
 def near_copies(rows: DataFrame, words: int = NEAR_WORDS, similarity: float = SIMILARITY, blocks: int = BLOCKS, first_blocks: int = FIRST_BLOCKS) -> DataFrame:
     """(row, component) for each row of (row, text); component is the same for rows that links join.
 
-    Two rows are linked if their sets of shingles are equal or have that Jaccard similarity and meet at an anchor; what
-    is linked is always that similar. row is a long that tells the rows apart; rows must be written, as they are read
-    more than once. Null texts and texts without words are one class, which is linked to no other; texts of any length
-    are taken whole. An empty table gives an empty result.
+    Two rows are linked if their sets of shingles are equal or have that Jaccard similarity: all such pairs, whether they
+    meet at an anchor or not, and no others. row is a long that tells the rows apart; rows must be written, as they are
+    read more than once. Null texts and texts without words are one class, which is linked to no other; texts of any
+    length are taken whole. An empty table gives an empty result.
     """
+    often = _frequencies(rows, words)
 
     def sketch(texts: list) -> Iterator[tuple]:
         for t in texts:
             own = np.unique(shingle_hashes(t, words))
-            yield xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63), len(own), np.packbits(wide_bits(own)).tobytes()
+            first = own[np.argsort(often[own >> np.uint64(64 - COUNTED_BITS)], kind="stable")][: len(own) - _least(len(own), similarity) + 1]
+            yield xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63), len(own), np.packbits(wide_bits(own)).tobytes(), first.view(np.int64)
 
-    prints = saved(with_values(rows.select("row", "text"), "key long, n long, bits binary", sketch).drop("text"), "sketches")
-    classes = saved(prints.groupBy("key").agg(F.min_by(F.struct("row", "n", "bits"), "row").alias("s")).select("key", "s.*").where("n > 0"), "sketched")
+    prints = saved(with_values(rows.select("row", "text"), "key long, n long, bits binary, lead array<long>", sketch).drop("text"), "sketches")
+    classes = saved(prints.groupBy("key").agg(F.min_by(F.struct("row", "n", "bits", "lead"), "row").alias("s")).select("key", "s.*").where("n > 0"), "sketched")
     more, blocks = layout(classes.count(), blocks)
     joined, found = None, []
     rounds = [0, *range(min(first_blocks, blocks), blocks, ROUND_BLOCKS), blocks]
     for first, last in zip(rounds, rounds[1:], strict=False):
         if first == last:
             continue
-        now = classes.withColumn("component", F.col("key")) if joined is None else classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        found.append(saved(_links(_candidates(now, first, last, more, similarity), classes, rows, words, similarity), f"near-links-{first}", free=True))
+        found.append(saved(_links(_candidates(_joined(classes, joined), first, last, more, similarity), classes, rows, words, similarity), f"near-links-{first}", free=True))
         joined = components(functools.reduce(DataFrame.unionByName, found), "near")
+    found.append(saved(_links(_apart(_joined(classes, joined), similarity), classes, rows, words, similarity), "near-links-apart", free=True))
+    joined = components(functools.reduce(DataFrame.unionByName, found), "near")
     return prints.select("row", "key").join(joined.withColumnRenamed("node", "key"), "key", "left").select("row", F.coalesce("component", "key").alias("component"))
 
 
+def _joined(classes: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """classes with the component that the links so far give each."""
+    if joined is None:
+        return classes.withColumn("component", F.col("key"))
+    return classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+
+
+def _least(n: int, share: float) -> int:
+    """The fewest of n that are at least that share."""
+    return math.ceil(share * n - 1e-9)
+
+
+def _frequencies(rows: DataFrame, words: int) -> np.ndarray:
+    """How many shingles of all texts have each value of their hashes' leading bits. It only orders shingles."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(1 << COUNTED_BITS, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                own = shingle_hashes(text.as_py(), words)
+                np.add.at(n, (own >> np.uint64(64 - COUNTED_BITS)).astype(np.int64), 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], names=["slot", "n"])
+
+    every = np.zeros(1 << COUNTED_BITS, np.int64)
+    for r in rows.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        every[r.slot] = r.n
+    return every
+
+
+def _apart(classes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of classes of different components that may be that similar.
+
+    Sets of n and m shingles need s (n + m) / (1 + s) common ones, c; their first common shingle in any order stands among
+    the first n - c + 1 of the one and m - c + 1 of the other. Rare shingles come first in the order, and shingles whose
+    classes are all of one component lead nowhere. At a shingle the members of its largest component, which may be many
+    near copies, meet the others only, not each other.
+    """
+    of_token = Window.partitionBy("token")
+    met = classes.select("key", "n", "component", F.posexplode("lead").alias("at", "token"))
+    met = met.withColumn("low", F.min("component").over(of_token)).withColumn("high", F.max("component").over(of_token)).where("low <> high").drop("low", "high")
+    met = saved(met, "near-met", free=True)
+    main = met.groupBy("token", "component").agg(F.count("*").alias("members")).groupBy("token").agg(F.max(F.struct("members", "component"))["component"].alias("main"))
+    rest = met.join(main, "token").where("component <> main").drop("main")
+    x, y = (t.select("token", *(F.col(c).alias(f"{s}_{c}") for c in ("key", "n", "component", "at"))) for s, t in (("x", rest), ("y", met)))
+    common = F.ceil((F.col("x_n") + F.col("y_n")) * (similarity / (1 + similarity)) - 1e-9)
+    fits = (F.least("x_n", "y_n") >= similarity * F.greatest("x_n", "y_n") - 1e-9) & (F.col("x_at") <= F.col("x_n") - common) & (F.col("y_at") <= F.col("y_n") - common)
+    pairs = x.join(y, "token").where((F.col("x_component") != F.col("y_component")) & fits)
+    return pairs.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b")).distinct()
+
+
 def _candidates(classes: DataFrame, first: int, last: int, more: int, similarity: float) -> DataFrame:
     """(a, b): pairs of classes that follow each other at an anchor, of different components and like sizes."""
 

@@ -99,3 +99,33 @@ def test_rows_are_decided_one_by_one(spark):
     got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, COLUMNS).repartition(3), "").collect()
     want = [(5, more[0]), (5, more[1]), (9, texts[2]), (None, texts[0]), (None, texts[1])]
     assert sorted(map(str, ((r.doc_id, r.text) for r in got))) == sorted(map(str, want))
+
+
+def test_no_pair_of_the_least_similarity_is_left_out(spark):
+    """200 pairs of exactly 0.8, of which the anchors miss some; pairs just below stay apart."""
+    rnd, texts = random.Random(11), []
+    for i in range(220):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(364)]
+        other = list(words)
+        for at in range(20, 360, 43):  # eight edits: 320 of 400 shingles
+            other[at] = "changed"
+        if i >= 200:
+            other[-1] = "changed"  # and one more
+        texts += [" ".join(words), " ".join(other)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    got = {r.row: r.component for r in simhash.near_copies(rows).collect()}
+    assert [got[i] == got[i + 1] for i in range(0, 440, 2)] == [True] * 200 + [False] * 20
+
+
+def test_rest_is_exact_without_anchors(spark):
+    """With one block of anchors nearly all links come from first shingles: the same groups as of all pairs."""
+    texts = [t for seed in (3, 4) for t in family(seed)]
+    texts += [f"{' '.join(f'shared{j}' for j in range(60))} own{i} {' '.join(f'tail{i}x{j}' for j in range(i))}" for i in range(40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    got = {}
+    for r in simhash.near_copies(rows, blocks=1, first_blocks=1).collect():
+        got.setdefault(r.component, []).append(r.row)
+    want = {}
+    for i, g in enumerate(brute_groups(texts)):
+        want.setdefault(g, []).append(i)
+    assert sorted(map(sorted, got.values())) == sorted(want.values())
