@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ferrule.operators import resolver
 
@@ -135,3 +136,17 @@ def test_suggestions(spark):
     entries = spark.createDataFrame([(1, "The Hollow Lantern Studio"), (2, "Quiet Harbor Games"), (3, "Hollow Lantern Inc")], "id long, name string")
     got = resolver.suggested_links(spark.createDataFrame([("Hollow Lanterns",), ("Quite Harbor",), ("Nothing Alike",)], "n string"), "n", entries).collect()
     assert {r.name: r.suggestion for r in got} == {"Hollow Lanterns": 1, "Quite Harbor": 2}
+
+
+def test_companies_of_a_key_are_not_listed(spark):
+    """A name that thousands of companies share is one row a set of providers, not a list beside each reference."""
+    some = spark.range(1, 3001).select("id", F.lit("House of Cards Games").alias("name"), (F.col("id") == 17).alias("seeded"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("s"), F.col("id"))).alias("steam"), *(F.lit(None).cast("string").alias(p) for p in PROVIDERS[1:]))
+    kv = spark.createDataFrame([], "key string, name string, id long")
+    apart = spark.createDataFrame([(1, 2)], "a long, b long")
+    refs = some.select((F.col("id") + 5000).alias("ref"), F.lit("House of Cards Inc").alias("name"), F.when(F.col("id") % 2 == 0, "t").alias("steam"), *PROVIDERS[1:])
+    found = resolver.match_companies(refs, some.withColumn("aliases", F.lit(None).cast("array<string>")), kv, kv, kv, apart)
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in found.groupBy("id", "method").count().collect()] == [(None, None, 3000)]
+    found = resolver.match_companies(refs, some.withColumn("aliases", F.lit(None).cast("array<string>")), kv, kv, kv, apart.limit(0))
+    got = {tuple(r) for r in found.groupBy(F.col("ref") % 2, "id", "method").count().collect()}
+    assert got == {(0, 17, "normalized-name", 1500), (1, None, None, 1500)}
