@@ -150,3 +150,23 @@ def test_companies_of_a_key_are_not_listed(spark):
     found = resolver.match_companies(refs, some.withColumn("aliases", F.lit(None).cast("array<string>")), kv, kv, kv, apart.limit(0))
     got = {tuple(r) for r in found.groupBy(F.col("ref") % 2, "id", "method").count().collect()}
     assert got == {(0, 17, "normalized-name", 1500), (1, None, None, 1500)}
+
+
+def test_names_meet_at_whole_subsets(spark):
+    """Twelve letters of sixteen: names meet a few partners each, and none is lost."""
+    from ferrule.functions.columns import _jaro_winkler
+
+    rnd, names = random.Random(8), set()
+    for _ in range(150):
+        base = "".join(rnd.choices("abcdefghijklmnop", k=12))
+        at = rnd.randrange(11)
+        names |= {base, base[1:], base[:5] + base[6] + base[5] + base[7:], base[:at] + base[at + 1 :], base[:4] + "".join(rnd.sample(base[4:], 8)), base[:8] + "zz" + base[10:]}
+    names = sorted(names)
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    for threshold in (0.85, 0.93):
+        got = {(r.a, r.b) for r in resolver.similar_names(rows, "name", threshold).collect()}
+        assert got == {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if int(_jaro_winkler(a, b) * 10000 + 0.5) / 10000 >= threshold}
+    plan = resolver._subset_plan([10, 11, 12], 0.93)
+    keyed = rows.mapInPandas(lambda b: resolver._subsets(b, plan), "name string, key long")
+    met = keyed.join(keyed.withColumnRenamed("name", "other"), "key").where("name < other").select("name", "other").distinct()
+    assert met.count() < 6 * len(names)
