@@ -2,8 +2,8 @@
 
 Base spans follow fixed rules. Generators of high recall propose further spans, overlapping ones too, each for one kind or
 several. Boosted trees score every proposal by its format and its context; they learn from proposals that agree with a
-base span (half of both covered) against all others, in a bounded sample. A threshold for each kind is calibrated on
-another sample: the lowest score from which proposals are right often enough. Proposals above it that touch no base span
+base span (half of both covered) against all others. A threshold for each kind is calibrated on all proposals, scored by
+trees that learned from other documents: the lowest score from which proposals are right often enough. Proposals above it that touch no base span
 are added, the best of each chain of overlapping ones.
 
 Texts are searched once. From then on each match is a row: its place is a running sum of the lengths of what stands
@@ -47,9 +47,6 @@ LEAST_DIGITS = 7
 #: Words that announce personal data of a kind.
 CUES = {"email": "mail|contact|write|kontakt|correo|courriel|from|to", "ip": "ip|host|server|addr|address|client", "card": "card|visa|karte|tarjeta|carte|credit|iban|account|konto", "phone": "tel|phone|call|fax|mobile|cell|telefon|handy|móvil|appel"}
 CONTEXT = 24
-#: Rows of the sample that the trees learn from and of that which calibrates them, about; candidates of a document all
-#: stand on one side.
-FIT_ROWS, CALIBRATION_ROWS = 20_000, 20_000
 ROUNDS, DEPTH, PRECISION, BINS, LEAST_ROWS = 20, 4, 0.97, 100, 20
 
 
@@ -138,37 +135,42 @@ def with_base(long: DataFrame) -> DataFrame:
     return found.drop("last", "next", "reached", "upcoming", "base")
 
 
+def _half() -> Column:
+    """Which half of the documents a candidate stands in."""
+    return F.pmod(F.xxhash64("row", F.lit("side")), F.lit(2)) == 0
+
+
 @dataclass
 class Model:
-    trees: GBTClassificationModel
+    trees: tuple[GBTClassificationModel, GBTClassificationModel]
     features: list[str]
     thresholds: dict[str, float]
 
     def scored(self, candidates: DataFrame) -> DataFrame:
-        """candidates with `score`, the chance that a proposal is right."""
-        ready = VectorAssembler(inputCols=self.features, outputCol="features").transform(candidates)
-        return self.trees.transform(ready).withColumn("score", vector_to_array("probability")[1]).drop("features", "probability", "rawPrediction", "prediction")
+        """candidates with `score`, the chance that a proposal is right, by the trees that learned from the other half."""
+        def half(own: Column, trees: GBTClassificationModel) -> DataFrame:
+            ready = VectorAssembler(inputCols=self.features, outputCol="features").transform(candidates.where(own))
+            return trees.transform(ready).withColumn("score", vector_to_array("probability")[1]).drop("features", "probability", "rawPrediction", "prediction")
+
+        return half(_half(), self.trees[1]).unionByName(half(~_half(), self.trees[0]))
 
 
 def model_of(candidates: DataFrame, features: list[str]) -> Model | None:
-    """Trees and thresholds from samples of candidates (materialised); nothing where one of the classes is missing.
+    """Trees and thresholds from all candidates (materialised); nothing where one of the classes is missing in a half.
 
-    A kind whose proposals are never right often enough gets no threshold, so that none is added.
+    Each half of the documents teaches trees that score the other half, so that every candidate teaches and is scored by
+    trees that haven't seen its document; thresholds come from the scores of all. A kind whose proposals are never right
+    often enough gets no threshold, so that none is added.
     """
-    side = F.pmod(F.xxhash64("row", F.lit("side")), F.lit(4)) == 0
-    counts = candidates.agg(F.count_if(side), F.count_if(~side)).first()
-
-    def sample(own: Column, rows: int, of: int) -> DataFrame:
-        chance = min(1.0, rows / max(of, 1))
-        return saved(candidates.where(own & (F.pmod(F.xxhash64("row", "start", "stop", "kind"), F.lit(1 << 30)) < int(chance * (1 << 30)))).select("kind", "agrees", *features), "private-sample")
-
-    fit = sample(~side, FIT_ROWS, counts[1])
-    if fit.select("agrees").distinct().count() < 2:
-        return None
-    ready = VectorAssembler(inputCols=features, outputCol="features").transform(fit.coalesce(4))
-    trees = GBTClassifier(featuresCol="features", labelCol="agrees", maxIter=ROUNDS, maxDepth=DEPTH, seed=7, stepSize=0.3, cacheNodeIds=False).fit(ready.select("features", "agrees"))
-    model = Model(trees, features, {})
-    binned = model.scored(sample(side, CALIBRATION_ROWS, counts[0])).groupBy("kind", F.floor(F.col("score") * BINS).cast("int").alias("bin")).agg(F.count("*").alias("n"), F.sum("agrees").alias("right"))
+    trees = []
+    for own in (_half(), ~_half()):
+        rows = candidates.where(own)
+        if rows.select("agrees").distinct().count() < 2:
+            return None
+        ready = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
+        trees.append(GBTClassifier(featuresCol="features", labelCol="agrees", maxIter=ROUNDS, maxDepth=DEPTH, seed=7, stepSize=0.3, cacheNodeIds=False).fit(ready.select("features", "agrees")))
+    model = Model(tuple(trees), features, {})
+    binned = model.scored(candidates).groupBy("kind", F.floor(F.col("score") * BINS).cast("int").alias("bin")).agg(F.count("*").alias("n"), F.sum("agrees").alias("right"))
     for kind in KINDS:
         n = right = 0
         for r in sorted((r for r in binned.where(F.col("kind") == kind).collect()), key=lambda r: -r.bin):

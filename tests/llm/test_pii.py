@@ -110,3 +110,17 @@ def test_query(spark):
 @pytest.mark.parametrize("digits, fits", [("4111111111111111", True), ("4111111111111112", False), ("0", True), ("79927398713", True)])
 def test_check_digit(spark, digits, fits):
     assert spark.range(1).select(pii._luhn(F.lit(digits))).first()[0] is fits
+
+
+def test_all_candidates_teach(spark):
+    """Trees and thresholds see every candidate: 30,000 of one kind, more than any bound on their number."""
+    rows = spark.range(30_000).select(F.col("id").alias("row"), F.lit(0).alias("start"), F.lit(9).alias("stop"), F.lit("phone").alias("kind"), (F.col("id") % 2).cast("double").alias("x"))
+    rows = rows.withColumn("agrees", F.when(F.col("row") % 1000 == 1, 0.0).otherwise(F.col("x")))
+    seen = []
+    fit = pii.GBTClassifier.fit
+    pii.GBTClassifier.fit = lambda self, df, *a: (seen.append(df.count()), fit(self, df, *a))[1]
+    try:
+        model = pii.model_of(rows, ["x"])
+    finally:
+        pii.GBTClassifier.fit = fit
+    assert sum(seen) == 30_000 and model.scored(rows).count() == 30_000 and 0 < model.thresholds["phone"] < 1
