@@ -18,7 +18,8 @@ similarity 0.8 share an anchor in one block with a chance of 0.0139, so 256 bloc
 any of more similar ones. Neighbours at an anchor are compared by their shingles; links found in the first blocks join
 classes, so that the later blocks only compare what is still apart. What the covering leaves apart is settled exactly:
 two sets that similar share one of their first shingles in any common order, so that all sets that are still apart meet
-at these, and none that is similar enough is left out.
+at these, and none that is similar enough is left out. The order goes by exact counts, as does a step before the
+covering: a text of whose shingles more than a fifth stand in no other text is similar to none and is done.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrule.llm.common import components, saved, with_values
+from ferrule.llm.common import components, forget, saved, with_values
 
 #: Fixed values of the method.
 BITS, THRESHOLD, CODE_LENGTH = 64, 3, 31
@@ -48,8 +49,10 @@ SALTS = 8
 #: round and of each later one; classes (as a power of two) up to which these blocks' anchors are enough.
 NEAR_WORDS, SIMILARITY = 5, 0.8
 WIDE_BITS, BLOCKS, FIRST_BLOCKS, ROUND_BLOCKS, CLASSES = 1024, 256, 32, 112, 24
-#: Leading bits of a shingle's hash by which shingles are counted, to put frequent ones last.
-COUNTED_BITS = 16
+#: One shingle in so many, by its hash, tells which texts are similar to none; all shingles are counted for the others.
+SLICE = 3
+#: A shingle with more than this part of all occurrences is joined by broadcast; there can't be many.
+HOT = 0.001
 
 _POSITIONS = np.arange(1, CODE_LENGTH + 1)
 #: By syndrome: the masks that lead to the home anchor (first) and to the anchors two bits away.
@@ -291,70 +294,91 @@ def near_copies(rows: DataFrame, words: int = NEAR_WORDS, similarity: float = SI
     read more than once. Null texts and texts without words are one class, which is linked to no other; texts of any
     length are taken whole. An empty table gives an empty result.
     """
-    often = _frequencies(rows, words)
 
-    def sketch(texts: list) -> Iterator[tuple]:
+    def count(texts: list) -> Iterator[tuple]:
         for t in texts:
             own = np.unique(shingle_hashes(t, words))
-            first = own[np.argsort(often[own >> np.uint64(64 - COUNTED_BITS)], kind="stable")][: len(own) - _least(len(own), similarity) + 1]
-            yield xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63), len(own), np.packbits(wide_bits(own)).tobytes(), first.view(np.int64)
+            yield xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63), len(own), own[own % np.uint64(SLICE) == 0].view(np.int64)
 
-    prints = saved(with_values(rows.select("row", "text"), "key long, n long, bits binary, lead array<long>", sketch).drop("text"), "sketches")
-    classes = saved(prints.groupBy("key").agg(F.min_by(F.struct("row", "n", "bits", "lead"), "row").alias("s")).select("key", "s.*").where("n > 0"), "sketched")
-    more, blocks = layout(classes.count(), blocks)
+    def sketch(texts: list) -> Iterator[tuple]:
+        for t in texts:
+            own = np.unique(shingle_hashes(t, words))
+            yield np.packbits(wide_bits(own)).tobytes(), own.view(np.int64)
+
+    counted = saved(with_values(rows.select("row", "text"), "key long, n long, some array<long>", count).drop("text"), "counted")
+    rest = saved(_not_alone(counted, similarity), "near-rest")
+    prints = saved(counted.select("row", "key"), "prints")
+    forget(counted)
+    classes = saved(with_values(rows.select("row", "text").join(rest, "row").drop("row"), "bits binary, tokens array<long>", sketch), "sketched", free=True)
+    more, blocks = layout(rest.count(), blocks)
     joined, found = None, []
     rounds = [0, *range(min(first_blocks, blocks), blocks, ROUND_BLOCKS), blocks]
     for first, last in zip(rounds, rounds[1:], strict=False):
         if first == last:
             continue
-        found.append(saved(_links(_candidates(_joined(classes, joined), first, last, more, similarity), classes, rows, words, similarity), f"near-links-{first}", free=True))
+        found.append(saved(_links(_candidates(_joined(classes, joined, "n", "bits"), first, last, more, similarity), classes, words, similarity), f"near-links-{first}", free=True))
         joined = components(functools.reduce(DataFrame.unionByName, found), "near")
-    found.append(saved(_links(_apart(_joined(classes, joined), similarity), classes, rows, words, similarity), "near-links-apart", free=True))
+    met = _leads(_joined(classes, joined, "n", "tokens"), similarity)
+    found.append(saved(_links(_apart(met, similarity), classes, words, similarity), "near-links-apart", free=True))
     joined = components(functools.reduce(DataFrame.unionByName, found), "near")
-    return prints.select("row", "key").join(joined.withColumnRenamed("node", "key"), "key", "left").select("row", F.coalesce("component", "key").alias("component"))
+    out = saved(prints.join(joined.withColumnRenamed("node", "key"), "key", "left").select("row", F.coalesce("component", "key").alias("component")), "near", free=True)
+    for table in (rest, prints, classes, met):
+        forget(table)
+    return out
 
 
-def _joined(classes: DataFrame, joined: DataFrame | None) -> DataFrame:
-    """classes with the component that the links so far give each."""
+def _joined(classes: DataFrame, joined: DataFrame | None, *columns: str) -> DataFrame:
+    """key and the named columns of classes with the component that the links so far give each."""
+    classes = classes.select("key", *columns)
     if joined is None:
         return classes.withColumn("component", F.col("key"))
     return classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
-def _least(n: int, share: float) -> int:
-    """The fewest of n that are at least that share."""
-    return math.ceil(share * n - 1e-9)
+def _spare(similarity: float) -> Column:
+    """How many of n shingles a set may hold alone and still have that similarity to another."""
+    return F.col("n") - F.ceil(F.col("n") * similarity - 1e-9)
 
 
-def _frequencies(rows: DataFrame, words: int) -> np.ndarray:
-    """How many shingles of all texts have each value of their hashes' leading bits. It only orders shingles."""
+def _not_alone(counted: DataFrame, similarity: float) -> DataFrame:
+    """(row, key, n), one for each set of shingles that may be that similar to another.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(1 << COUNTED_BITS, np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                own = shingle_hashes(text.as_py(), words)
-                np.add.at(n, (own >> np.uint64(64 - COUNTED_BITS)).astype(np.int64), 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], names=["slot", "n"])
+    A set with more than _spare() shingles that no other set has is similar to none. Those among `some` are counted: which
+    shingles these are depends on the shingle alone, so that they are counted in all texts that hold them.
+    """
+    holders = counted.select("key", F.explode("some").alias("token")).groupBy("token").agg(F.min("key").alias("key"), F.max("key").alias("high"))
+    own = holders.where("key = high").groupBy("key").agg(F.count("*").alias("own"))
+    firsts = counted.where("n > 0").groupBy("key").agg(F.min("row").alias("row"), F.min("n").alias("n"))
+    return firsts.join(own, "key", "left").where(F.coalesce("own", F.lit(0)) <= _spare(similarity)).select("row", "key", "n")
 
-    every = np.zeros(1 << COUNTED_BITS, np.int64)
-    for r in rows.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        every[r.slot] = r.n
-    return every
 
+def _leads(classes: DataFrame, similarity: float) -> DataFrame:
+    """(token, key, n, component, at): the first shingles of each class, as far as classes of other components have them too.
 
-def _apart(classes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): all pairs of classes of different components that may be that similar.
+    The order puts shingles whose classes are all of one component first and the others by the number of their classes.
+    The first ones lead nowhere and only take places. The count is exact: counts by a few bits of the hash tell rare
+    shingles from frequent ones only while texts are few.
+    """
+    tokens = classes.select("key", "n", "component", F.explode("tokens").alias("token"))
+    of = tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = saved(of.where("low <> high").select("token", "held"), "near-shared", free=True)
+    bound = (shared.agg(F.sum("held")).first()[0] or 0) * HOT
+    hot = F.broadcast(shared.where(F.col("held") > bound))
+    met = tokens.join(hot, "token").unionByName(tokens.join(hot, "token", "left_anti").join(shared.where(F.col("held") <= bound), "token"))
+    of_key = Window.partitionBy("key")
+    at = F.col("n") - F.count("*").over(of_key) + F.row_number().over(of_key.orderBy("held", "token")) - 1
+    leads = saved(met.withColumn("at", at).where(F.col("at") <= _spare(similarity)).select("token", "key", "n", "component", "at"), "near-met", free=True)
+    forget(shared)
+    return leads
+
+
+def _apart(met: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of classes of different components that may be that similar, of their _leads().
 
     Sets of n and m shingles need s (n + m) / (1 + s) common ones, c; their first common shingle in any order stands among
-    the first n - c + 1 of the one and m - c + 1 of the other. Rare shingles come first in the order, and shingles whose
-    classes are all of one component lead nowhere. At a shingle the members of its largest component, which may be many
-    near copies, meet the others only, not each other.
+    the first n - c + 1 of the one and m - c + 1 of the other. At a shingle the members of its largest component, which
+    may be many near copies, meet the others only, not each other.
     """
-    of_token = Window.partitionBy("token")
-    met = classes.select("key", "n", "component", F.posexplode("lead").alias("at", "token"))
-    met = met.withColumn("low", F.min("component").over(of_token)).withColumn("high", F.max("component").over(of_token)).where("low <> high").drop("low", "high")
-    met = saved(met, "near-met", free=True)
     main = met.groupBy("token", "component").agg(F.count("*").alias("members")).groupBy("token").agg(F.max(F.struct("members", "component"))["component"].alias("main"))
     rest = met.join(main, "token").where("component <> main").drop("main")
     x, y = (t.select("token", *(F.col(c).alias(f"{s}_{c}") for c in ("key", "n", "component", "at"))) for s, t in (("x", rest), ("y", met)))
@@ -386,12 +410,10 @@ def _candidates(classes: DataFrame, first: int, last: int, more: int, similarity
     return sized.where(F.least("n", "m") >= similarity * F.greatest("n", "m")).select("a", "b")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts are that similar."""
     pairs = saved(pairs, "near-pairs", free=True)
-    some = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    texts = saved(rows.join(classes.join(some, "key").select("row", "key"), "row").select("key", "text"), "near-texts")
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
+    both = pairs.join(classes.select(F.col("key").alias("a"), F.col("text").alias("x")), "a").join(classes.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

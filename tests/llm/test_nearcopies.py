@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import numpy as np
@@ -5,6 +6,7 @@ import pytest
 
 import corpus_pipeline
 from ferrule.llm import simhash
+from ferrule.llm.common import shared_folder
 
 COLUMNS = "doc_id long, text string"
 
@@ -129,3 +131,62 @@ def test_rest_is_exact_without_anchors(spark):
     for i, g in enumerate(brute_groups(texts)):
         want.setdefault(g, []).append(i)
     assert sorted(map(sorted, got.values())) == sorted(want.values())
+
+
+def passages(n, pool, seed=17):
+    """Texts of three passages out of a pool, which several texts share, and more words of their own."""
+    rnd = random.Random(seed)
+    shared = [" ".join(f"p{i}x{j}" for j in range(30)) for i in range(pool)]
+    return [" ".join([*rnd.sample(shared, 3), *(f"own{i}x{j}" for j in range(300))]) for i in range(n)]
+
+
+def test_texts_with_many_words_of_their_own_are_not_compared(spark, monkeypatch):
+    """However many texts share passages: pairs that can't be similar enough aren't even candidates."""
+    compared, save = [], simhash.saved
+
+    def counting(df, name, **more):
+        out = save(df, name, **more)
+        if name == "near-pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "saved", counting)
+    rows = save(spark.createDataFrame(list(enumerate(passages(1500, 1500))), "row long, text string").repartition(3), "rows")
+    assert simhash.near_copies(rows).select("component").distinct().count() == 1500
+    assert sum(compared) == 0
+
+
+def test_candidates_share_rare_shingles(spark):
+    """Passages of 20 texts and of 2: by exact counts only those of 2 lead, though most shingles are the frequent ones."""
+    frequent = [[f"f{g}x{j}" for j in range(120)] for g in range(3)]
+    rare = [[f"r{i}x{j}" for j in range(60)] for i in range(30)]
+    texts = [" ".join(frequent[i % 3] + rare[i // 2]) for i in range(60)]
+    tokens = [np.unique(simhash.shingle_hashes(t, 5)).view(np.int64).tolist() for t in texts]
+    classes = spark.createDataFrame([(i, len(x), i, x) for i, x in enumerate(tokens)], "key long, n long, component long, tokens array<long>")
+    leads = simhash._leads(classes, 0.8).groupBy("token").count().collect()
+    assert leads and {r["count"] for r in leads} == {2}
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.0005, 1.0])
+def test_shingles_of_any_frequency_join(spark, monkeypatch, hot):
+    """The groups are those of all pairs, whichever shingles count as frequent."""
+    monkeypatch.setattr(simhash, "HOT", hot)
+    texts = family(6) + passages(40, 4) + [f"{' '.join(f'w{j}' for j in range(200))} {' '.join(f't{i}x{j}' for j in range(i))}" for i in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    got, want = {}, {}
+    for r in simhash.near_copies(rows, blocks=1, first_blocks=1).collect():
+        got.setdefault(r.component, []).append(r.row)
+    for i, g in enumerate(brute_groups(texts)):
+        want.setdefault(g, []).append(i)
+    assert sorted(map(sorted, got.values())) == sorted(want.values())
+
+
+def test_large_tables_go_once_the_classes_are_known(spark):
+    """Texts and shingles that the stage wrote for itself don't stay on disk."""
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("ferrule-*/*"))
+    rows = spark.createDataFrame(list(enumerate(family(7))), "row long, text string")
+    simhash.near_copies(rows).collect()
+    left = {p for p in folder.glob("ferrule-*/*") if p not in before}
+    columns = {c for p in left for c in spark.read.parquet(str(p)).columns}
+    assert left and not columns & {"text", "x", "tokens", "some", "lead", "bits"}
