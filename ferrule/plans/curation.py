@@ -311,5 +311,7 @@ def affiliations(t):
 def first_external_id(t):
     # the place is one number, in which high order keys run into the next line; a part without a place or id has a null one
     place = F.col("l_linenumber").cast("long") * 1_000_000 + F.col("l_orderkey")
-    least = F.min(F.when(F.col("l_suppkey").isNotNull() & place.isNotNull(), F.struct(place.alias("place"), "l_orderkey", "l_suppkey")))
-    return t.lineitem.groupBy(F.col("l_partkey").alias("game")).agg(least["l_suppkey"].alias("id"))
+    rows = t.lineitem.select("l_partkey", "l_suppkey", place.alias("place"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    # of rows in one place the SQL keeps the first it reads: files by name, rows as they stand in them
+    least = F.min(F.when(F.col("l_suppkey").isNotNull() & F.col("place").isNotNull(), F.struct("place", "file", "row", "l_suppkey")))
+    return rows.groupBy(F.col("l_partkey").alias("game")).agg(least["l_suppkey"].alias("id"))
