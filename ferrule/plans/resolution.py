@@ -225,12 +225,13 @@ def varied_names(t):
 
 @query("fuzzy_flags")
 def fuzzy_flags(t):
-    """Companies whose core names are equal (0.95) or at least 0.93 alike, each pair once."""
-    core = varied_names(t).select("id", C.core_company_name(F.col("name")).alias("core"))
-    first = core.groupBy("core").agg(F.min("id").alias("id")).hint("merge")  # not broadcast: it has a row for each core name
-    equal = core.join(first.withColumnRenamed("id", "first").hint("merge"), "core").where("id <> first").select(F.col("first").alias("id"), F.col("id").alias("other"), F.lit(0.95).alias("score"))
+    """Companies whose core names are equal (0.95) or at least 0.93 alike, each pair of companies once. Names meet once
+    whatever number of companies share them; then every company of one name meets every company of the other."""
+    core = varied_names(t).select("id", C.core_company_name(F.col("name")).alias("core")).distinct()
+    # not broadcast: a row for each company
+    x, y = (core.select(F.col("core").alias(c), F.col("id").alias(f"{c}_id")).hint("merge") for c in "ab")
+    equal = x.join(y, F.col("a") == F.col("b")).where("a_id < b_id").select(F.col("a_id").alias("id"), F.col("b_id").alias("other"), F.lit(0.95).alias("score"))
     pairs = similar_names(core, "core", 0.93)
-    x, y = (first.select(F.col("core").alias(c), F.col("id").alias(f"{c}_id")).hint("merge") for c in "ab")
     found = pairs.join(x, "a").join(y, "b").select(F.least("a_id", "b_id").alias("id"), F.greatest("a_id", "b_id").alias("other"), "score")
     return equal.unionByName(found)
 

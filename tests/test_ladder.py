@@ -170,3 +170,32 @@ def test_names_meet_at_whole_subsets(spark):
     keyed = rows.mapInPandas(lambda b: resolver._subsets(b, plan), "name string, key long")
     met = keyed.join(keyed.withColumnRenamed("name", "other"), "key").where("name < other").select("name", "other").distinct()
     assert met.count() < 6 * len(names)
+
+
+def test_scores_that_are_rounded_up_to_the_threshold(spark):
+    """Names just below the threshold whose score of four digits is the threshold."""
+    stem = "abcdefghijklmnopqrst"
+    pairs = [(stem + "uv", stem + "0123456")]  # 0.929966
+    pairs += [(f"zyx{a}", f"zyx{b}") for a, b in [(stem + "ghijklmno", stem + "ghijkl" + "0123456789")]]  # 32 and 39 characters, 29 in common
+    names = sorted({n for p in pairs for n in p})
+    from ferrule.functions.columns import _jaro_winkler
+
+    want = {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if int(_jaro_winkler(a, b) * 10000 + 0.5) / 10000 >= 0.93}
+    assert any(_jaro_winkler(a, b) < 0.93 for a, b in want)
+    got = {(r.a, r.b): r.score for r in resolver.similar_names(spark.createDataFrame([(n,) for n in names], "n string"), "n", 0.93).collect()}
+    assert set(got) == want and min(got.values()) == 0.93
+
+
+def test_flags_are_pairs_of_companies(spark, tmp_path):
+    """Companies that share a core name are flagged with each other and with all companies of a similar one."""
+    from ferrule.functions.columns import _jaro_winkler
+    from ferrule.plans import catalogue, resolution
+    from ferrule.plans.base import Tables
+
+    spark.range(60).select(F.col("id").alias("s_suppkey")).write.parquet(str(tmp_path / "supplier.parquet"))
+    core = {r.id: r.name.removesuffix(" Games") for r in resolution.varied_names(Tables(spark, str(tmp_path))).collect()}
+    score = lambda a, b: 0.95 if a == b else int(_jaro_winkler(*sorted((a, b))) * 10000 + 0.5) / 10000
+    want = {(a, b, score(core[a], core[b])) for a in core for b in core if a < b and score(core[a], core[b]) >= 0.93}
+    got = [tuple(r) for r in catalogue.QUERIES["fuzzy_flags"](spark, str(tmp_path)).select("id", "other", "score").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {(0, 3), (1, 3)} <= {(a, b) for a, b, _ in want}  # the one name, and one of the second company of that name
